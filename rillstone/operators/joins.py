@@ -8,7 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rillstone.functions.text import ip_number
 from rillstone.operators.scan import BLOCK_ROWS, Fold, latest, scan
-from rillstone.operators.skew import BROADCAST_BYTES, SALTS, estimated_bytes, lookup
+from rillstone.operators.skew import (
+    BROADCAST_BYTES,
+    SALTS,
+    estimated_bytes,
+    every_salt,
+    lookup,
+    spread_salt,
+)
 from rillstone.timeunits import as_micros, epoch_micros, interval, interval_text
 
 
@@ -195,8 +202,9 @@ def range_lookup(
     """The row of ``rules`` whose closed range holds ``number``; NULL columns where none does.
 
     Ranges do not overlap. The number line is cut into buckets and each rule is repeated in every
-    bucket it touches, so this is a hash join on the bucket: broadcast if the rules are small,
-    otherwise shuffled with each bucket's rows spread over ``salts`` pieces.
+    bucket it touches (at most one row per rule and one per bucket more: 4096 buckets for IPv4), so
+    this is a hash join on the bucket: broadcast if the rules are small, otherwise shuffled with
+    each bucket's rows spread over ``salts`` pieces.
     """
     bucketed = rules.withColumn(
         "_bucket",
@@ -207,8 +215,8 @@ def range_lookup(
     if estimated_bytes(bucketed) <= broadcast_bytes:
         bucketed = F.broadcast(bucketed)
     else:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int"))
-        bucketed = bucketed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        left = left.withColumn("_salt", spread_salt(df, salts))
+        bucketed = bucketed.withColumn("_salt", every_salt(salts))
         on.append("_salt")
     l, r = left.alias("l"), bucketed.alias("r")
     condition = F.col(f"l.{number}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))

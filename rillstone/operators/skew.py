@@ -4,18 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: a side of a join is broadcast only if Catalyst's estimate of it stays below this
-BROADCAST_BYTES = 64 * 1024 * 1024
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 #: pieces a large side's key is spread over in a shuffled lookup
 SALTS = 16
 
 
+def spread_salt(df: DataFrame, salts: int = SALTS) -> Column:
+    """A salt from the row and the task that reads it: copies of one row differ too, and a task that
+    runs again gives the same salts."""
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return F.pmod(F.xxhash64(*hashable, F.spark_partition_id()), F.lit(salts)).cast("int")
+
+
+def every_salt(salts: int = SALTS) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan: file sizes and row widths, no job is run."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def salted_sum(
@@ -42,13 +53,12 @@ def lookup(
 
     A dimension whose estimated size is within ``broadcast_bytes`` is broadcast and the rows stay
     where they are. Otherwise both sides are shuffled: each key's rows are spread over ``salts``
-    pieces by a hash of the whole row and every dimension row is repeated once per piece.
+    pieces and every dimension row is repeated once per piece.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
     if estimated_bytes(dim) <= broadcast_bytes:
         return df.join(F.broadcast(dim), list(on), how)
-    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(*hashable), F.lit(salts)).cast("int"))
-    right = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    left = df.withColumn("_salt", spread_salt(df, salts))
+    right = dim.withColumn("_salt", every_salt(salts))
     return left.join(right, [*on, "_salt"], how).drop("_salt")

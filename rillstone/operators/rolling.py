@@ -17,6 +17,7 @@ from rillstone.operators.scan import (
     earliest,
     highest,
     lowest,
+    null_safe,
     scan,
     total,
 )
@@ -83,6 +84,31 @@ def rolling_by(
     )
 
 
+def with_first_appearances(
+    df: DataFrame, keys: Sequence[str], seq: str, value: str, known: DataFrame | None = None
+) -> DataFrame:
+    """The rows (``_row`` 1, ``_first`` 0) and, just before each first appearance of a (key, value), an
+    extra row (``_row`` 0, ``_first`` 1). Pairs in ``known`` have appeared already.
+
+    First appearances come from a map-side combined ``min(seq)``, so no (key, value) pair is gathered
+    in one task.
+    """
+    keys = list(keys)
+    firsts = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.min(seq).alias(seq))
+    if known is not None:
+        seen = known.select(*[F.col(c).alias("_seen_" + c) for c in (*keys, value)])
+        firsts = firsts.join(seen, null_safe(firsts, seen, [*keys, value], "_seen_"), "left_anti")
+    extra = firsts.select(
+        *keys, seq, F.col(value).alias("_value"), F.lit(0).alias("_row"), F.lit(1).cast("bigint").alias("_first")
+    )
+    rows = df.withColumn("_row", F.lit(1)).withColumn("_first", F.lit(0).cast("bigint"))
+    return rows.unionByName(extra, allowMissingColumns=True)
+
+
+def distinct_folds(hits: str, distinct: str) -> dict[str, Fold]:
+    return {hits: total(F.col("_row").cast("bigint")), distinct: total("_first")}
+
+
 def rolling_distinct(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,28 +118,10 @@ def rolling_distinct(
     distinct: str = "distinct_values",
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Running row count and running number of different ``value``s per key.
-
-    The first appearance of each (key, value) comes from a map-side combined ``min(seq)`` and joins
-    the scan as an extra row just before it, so no (key, value) pair is gathered in one task.
-    """
-    keys = list(keys)
-    firsts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*keys, value)
-        .agg(F.min(seq).alias(seq))
-        .select(*keys, seq, F.lit(0).alias("_row"), F.lit(1).cast("bigint").alias("_first"))
-    )
-    rows = df.withColumn("_row", F.lit(1)).withColumn("_first", F.lit(0).cast("bigint"))
-    both = rows.unionByName(firsts, allowMissingColumns=True)
-    out = scan(
-        both,
-        keys,
-        seq,
-        {hits: total(F.col("_row").cast("bigint")), distinct: total("_first")},
-        tie=["_row"],
-        block_rows=block_rows,
-    )
+    """Running row count and running number of different ``value``s per key."""
+    both = with_first_appearances(df, keys, seq, value).drop("_value")
+    folds = distinct_folds(hits, distinct)
+    out = scan(both, keys, seq, folds, tie=["_row"], block_rows=block_rows)
     return out.where(F.col("_row") == 1).drop("_row", "_first")
 
 

@@ -137,41 +137,61 @@ def scan(
     inclusive: bool = True,
     tie: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """Add one running column per fold: over the key's rows up to this one, or before this one.
 
-    ``seq`` is the arrival order (unique per key, or made so by the ``tie`` columns).
+    ``seq`` is the arrival order (unique per key, or made so by the ``tie`` columns). ``initial``
+    holds what keys start from: the key columns and one column per fold.
     """
     keys = list(keys)
     lifted = with_blocks(df, keys, seq, block_rows).drop(BLOCK_END)
     for name, fold in folds.items():
         lifted = lifted.withColumn(name, fold.lift)
 
+    def merged(windowed: Callable[[Column], Column]) -> list[Column]:
+        return [windowed(fold.merge(F.col(name))).alias(name) for name, fold in folds.items()]
+
+    totals = lifted.where(F.col(BLOCK) > 0).groupBy(*keys, BLOCK).agg(*merged(lambda c: c))
+    starts = None
+    if initial is not None:
+        starts = initial.select(*keys, F.lit(0).cast("bigint").alias(BLOCK), *folds)
+        totals = totals.unionByName(starts)
     per_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(BLOCK)
     before = per_key.rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        lifted.where(F.col(BLOCK) > 0)
-        .groupBy(*keys, BLOCK)
-        .agg(*[fold.merge(F.col(name)).alias(name) for name, fold in folds.items()])
-    )
-    inherited = totals.select(
-        *keys,
-        BLOCK,
-        *[fold.merge(F.col(name)).over(before).alias(name) for name, fold in folds.items()],
-        F.lit(0).alias(REAL),
-    )
-    rows = lifted.withColumn(REAL, F.lit(1)).unionByName(inherited, allowMissingColumns=True)
+    inherited = totals.select(*keys, BLOCK, *merged(lambda c: c.over(before)))
+    if starts is not None:
+        inherited = inherited.where(F.col(BLOCK) > 0).unionByName(starts)
+
+    first = inherited.withColumn(REAL, F.lit(0))
+    rows = lifted.withColumn(REAL, F.lit(1)).unionByName(first, allowMissingColumns=True)
     running = (
         Window.partitionBy(*keys, BLOCK)
         .orderBy(REAL, seq, *tie)
         .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     )
     return (
-        rows.select(
-            *[F.col(c) for c in df.columns],
-            REAL,
-            *[fold.merge(F.col(name)).over(running).alias(name) for name, fold in folds.items()],
-        )
+        rows.select(*df.columns, REAL, *merged(lambda c: c.over(running)))
         .where(F.col(REAL) == 1)
         .drop(REAL)
     )
+
+
+def ends(
+    df: DataFrame,
+    keys: Sequence[str],
+    folds: Mapping[str, Fold],
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    """What each key of ``df`` has reached after its last row: the next input's ``initial``."""
+    def merged(last: Column) -> list[Column]:
+        return [last, *[fold.merge(F.col(name)).alias(name) for name, fold in folds.items()]]
+
+    lifted = df.select(
+        *keys, F.lit(True).alias("_here"), *[fold.lift.alias(name) for name, fold in folds.items()]
+    )
+    here = lifted.groupBy(*keys).agg(*merged(F.max("_here").alias("_here")))
+    if initial is not None:
+        held = initial.select(*keys, F.lit(False).alias("_here"), *folds)
+        here = here.unionByName(held).groupBy(*keys).agg(*merged(F.max("_here").alias("_here")))
+    return here.where("_here").drop("_here")

@@ -221,16 +221,19 @@ def with_lateness(
     seq: str,
     late: str = "is_late",
     block_rows: int = BLOCK_ROWS,
+    newest_before: int | None = None,
 ) -> DataFrame:
     """Mark rows whose window was complete before they arrived: its end is not after the newest
-    time seen in earlier rows less ``delay``."""
+    time seen in earlier rows less ``delay``. ``newest_before`` is that time, in microseconds, from
+    before this input."""
     seen = scan(
         df, [], seq, {"_newest": highest(epoch_micros(ts))}, inclusive=False, block_rows=block_rows
     )
     micros = as_micros(size)
     at = epoch_micros(ts)
     window_end = at - F.pmod(at, F.lit(micros)) + micros
-    is_late = F.coalesce(window_end <= F.col("_newest") - as_micros(delay), F.lit(False))
+    newest = F.greatest("_newest", F.lit(newest_before).cast("bigint"))
+    is_late = F.coalesce(window_end <= newest - as_micros(delay), F.lit(False))
     return seen.withColumn(late, is_late).drop("_newest")
 
 

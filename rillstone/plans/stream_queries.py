@@ -1 +1,292 @@
-"""To come."""
+"""The operators on streams: the event table read as a stream to its end."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from rillstone.operators import joins, topn, windows
+from rillstone.operators.rows import split_lines, split_words
+from rillstone.operators.scan import count, highest, lowest, total
+from rillstone.plans import join_queries, rolling_queries, state_queries, window_queries  # noqa: F401
+from rillstone.plans.registry import CHECKS, query
+from rillstone.plans.tables import EV, shape_events, table, table_stream, two_arrivals
+from rillstone.session import fresh_path
+from rillstone.sinks.tables import read_latest, read_once, to_upsert, write_once
+from rillstone.streaming import stateful
+from rillstone.streaming.batches import distinct_batches, mark_late_batches, rolling_batches
+from rillstone.streaming.runner import closing_rows, run, run_to_end, write_closing_row
+from rillstone.timeunits import as_ntz, epoch_micros
+
+Build = Callable[[DataFrame], DataFrame]
+
+
+def _drained(spark: SparkSession, sf: str, build: Build) -> DataFrame:
+    """The result rows of a query that holds nothing back."""
+    out = fresh_path(spark, "out")
+    run(build(shape_events(table_stream(spark, sf, "events"))), fresh_path(spark, "progress"), path=out)
+    return spark.read.parquet(out)
+
+
+def _to_end(
+    spark: SparkSession, sf: str, build: Build, each=None, kinds: Sequence[str] = ("closing",)
+) -> DataFrame:
+    """The result rows of a query that waits for the watermark, without those of the closing rows."""
+    schema = table(spark, sf, "events").schema
+    closing, out = fresh_path(spark, "closing"), fresh_path(spark, "out")
+
+    def stream() -> DataFrame:
+        both = table_stream(spark, sf, "events").unionByName(closing_rows(spark, schema, closing))
+        return build(shape_events(both))
+
+    def close() -> None:
+        for i, kind in enumerate(kinds):
+            own = {"event_id": -1 - i, "user_id": -1 - i, "event_type": kind, "value": 0.0, "props": '{"k": -1}'}
+            write_closing_row(spark, schema, closing, "ts", own)
+
+    sink = {"each": each(out)} if each else {"path": out}
+    run_to_end(stream, fresh_path(spark, "progress"), close, **sink)
+    return read_once(spark, out) if each else spark.read.parquet(out)
+
+
+def _real(df: DataFrame, *bounds: str) -> DataFrame:
+    """Bounds as plain timestamps; windows at the end of time belong to the closing row."""
+    for name in bounds:
+        df = df.withColumn(name, as_ntz(name))
+    return df.where(F.year(bounds[0]) < 2099)
+
+
+@query("stream_word_count", CHECKS["word_count"])
+def stream_word_count(spark, sf):
+    """Counts per word in update mode, kept as the newest value per word."""
+    docs = table_stream(spark, sf, "documents").select("doc_id", "text")
+    lines = split_lines(docs, "text")
+    counts = split_words(lines, "line").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    out = fresh_path(spark, "counts")
+    run(counts, fresh_path(spark, "progress"), each=to_upsert(out, ["word"], "n"), mode="update")
+    return read_latest(spark, out, ["word"])
+
+
+@query("stream_tumble_keyed", CHECKS["tumble_keyed"])
+def stream_tumble_keyed(spark, sf):
+    def build(events):
+        timed = windows.with_event_time(events, "ts", "2 hours")
+        return windows.tumble(timed, "ts", "1 hour", {"cents": total("cents"), "n": count()}, ["user_id"])
+
+    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+
+
+@query("stream_slide_keyed", CHECKS["slide_keyed"])
+def stream_slide_keyed(spark, sf):
+    def build(events):
+        timed = windows.with_event_time(events, "ts", "0 seconds")
+        folds = {"cents": total("cents"), "n": count()}
+        return windows.slide(timed, "ts", "2 hours", "1 hour", folds, ["user_id"])
+
+    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+
+
+@query("stream_session_keyed", CHECKS["session_keyed"])
+def stream_session_keyed(spark, sf):
+    def build(events):
+        timed = windows.with_event_time(events, "ts", "0 seconds")
+        folds = {"cents": total("cents"), "n": count()}
+        return windows.session(timed, "ts", "6 hours", folds, ["user_id"])
+
+    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+
+
+@query("stream_window_history", CHECKS["window_reduce_history"])
+def stream_window_history(spark, sf):
+    """Window sums as they close, added to the key's total so far."""
+    held = fresh_path(spark, "held")
+
+    def build(events):
+        timed = windows.with_event_time(events, "ts", "0 seconds")
+        return windows.tumble(timed, "ts", "1 hour", {"cents": total("cents")}, ["user_id"])
+
+    def add_up(out):
+        return rolling_batches(out, held, ["user_id"], "window_start", {"cents_so_far": total("cents")})
+
+    return _real(_to_end(spark, sf, build, each=add_up), "window_start").drop("window_start", "window_end")
+
+
+@query("stream_hot_items", CHECKS["hot_items_topn"])
+def stream_hot_items(spark, sf):
+    """A window closes whole in one micro-batch, where its items are ranked."""
+    def build(events):
+        timed = windows.with_event_time(events, "ts", "0 seconds")
+        return windows.slide(
+            timed.withColumnRenamed("k", "item"), "ts", "10 hours", "2 hours", {"hits": count()},
+            ["event_type", "item", "category"],
+        )
+
+    def rank_each(out):
+        groups = ["category", "event_type", "window_start", "window_end"]
+        order = [F.col("hits").desc(), F.col("item").asc()]
+        return lambda df, batch_id: write_once(topn.top_n(df, groups, order, 3), out, batch_id)
+
+    return _real(_to_end(spark, sf, build, each=rank_each), "window_start", "window_end")
+
+
+@query("stream_timer_delay", CHECKS["timer_delay"])
+def stream_timer_delay(spark, sf):
+    """Timers fire when the watermark passes them, once per key and time."""
+    def build(events):
+        due = events.select("event_type", "k", (F.col("ts") + F.expr("INTERVAL 20 MINUTES")).alias("fires_at"))
+        timed = windows.with_event_time(due, "fires_at", "0 seconds")
+        return timed.groupBy("fires_at", "event_type", "k").agg(F.count(F.lit(1)).alias("set")).drop("set")
+
+    return _real(_to_end(spark, sf, build), "fires_at")
+
+
+def _side(events: DataFrame, kind: str, name: str) -> DataFrame:
+    rows = events.where(F.col("event_type") == kind).select(
+        F.col("event_id").alias(f"{name}_id"), "user_id", "ts", F.col("cents").alias(f"{name}_cents")
+    )
+    return windows.with_event_time(rows, "ts", "0 seconds")
+
+
+def _window_join(how: str) -> Build:
+    def build(events):
+        joined = joins.window_join(
+            _side(events, "view", "view"), _side(events, "click", "click"), ["user_id"], "1 hour", how
+        )
+        return joined.select(*join_queries._PAIR)
+
+    return build
+
+
+@query("stream_window_join_inner", CHECKS["window_join_inner"])
+def stream_window_join_inner(spark, sf):
+    return _real(_drained(spark, sf, _window_join("inner")), "window_start", "window_end")
+
+
+@query("stream_window_join_left", CHECKS["window_join_left"])
+def stream_window_join_left(spark, sf):
+    joined = _to_end(spark, sf, _window_join("left"), kinds=("view", "click"))
+    return _real(joined, "window_start", "window_end")
+
+
+@query("stream_interval_join", CHECKS["interval_join"])
+def stream_interval_join(spark, sf):
+    six_hours = 6 * 3_600_000_000
+
+    def build(events):
+        clicks = _side(events, "click", "click").withColumnRenamed("ts", "right_ts")
+        return joins.interval_join(
+            _side(events, "view", "view"), clicks, ["user_id"], -six_hours, six_hours
+        ).select("user_id", "view_id", "click_id", "view_cents", "click_cents")
+
+    return _drained(spark, sf, build)
+
+
+@query("stream_rolling_sum", CHECKS["rolling_sum"])
+def stream_rolling_sum(spark, sf):
+    return _drained(
+        spark, sf,
+        lambda events: stateful.rolling_sum_stream(events, ["event_type"], "event_id", "cents", "cents_so_far"),
+    )
+
+
+@query("stream_changelog", CHECKS["retract_changelog"])
+def stream_changelog(spark, sf):
+    return _drained(
+        spark, sf, lambda events: stateful.changelog_stream(events, ["event_type"], "event_id", "cents")
+    )
+
+
+@query("stream_list_last10", CHECKS["state_list_last10"])
+def stream_list_last10(spark, sf):
+    lists = _drained(
+        spark, sf, lambda events: stateful.last_n_stream(events, ["user_id"], "event_id", "event_type", 10)
+    )
+    return lists.select("event_id", "user_id", F.array_join("last_values", ",").alias("actions"))
+
+
+@query("stream_value_ttl", CHECKS["state_value_ttl"])
+def stream_value_ttl(spark, sf):
+    def build(events):
+        timed = events.withColumn("at", epoch_micros("ts"))
+        return stateful.rolling_ttl_stream(timed, ["user_id"], "event_id", "at", 6 * 3_600_000_000, "cents")
+
+    return _drained(spark, sf, build)
+
+
+@query("stream_count_window", CHECKS["count_window_keyed"])
+def stream_count_window(spark, sf):
+    return _drained(
+        spark, sf,
+        lambda events: stateful.count_window_stream(events, 5, "event_id", "cents", ["event_type"], "cents"),
+    )
+
+
+def _ad_counts(spark, sf):
+    out, held, pairs, progress = (fresh_path(spark, n) for n in ("out", "held", "pairs", "progress"))
+    each = distinct_batches(
+        out, held, pairs, ["aid", "event_type"], "event_id", "user_id", distinct="users"
+    )
+    for stream in two_arrivals(spark, sf):
+        ads = shape_events(stream).select("event_id", F.col("k").alias("aid"), "event_type", "user_id")
+        run(ads, progress, each=each)
+    return out, held
+
+
+@query("stream_ad_counts", CHECKS["ad_counts_running"])
+def stream_ad_counts(spark, sf):
+    """Running hits and distinct users over two arrivals of files."""
+    return read_once(spark, _ad_counts(spark, sf)[0])
+
+
+@query("stream_ad_counts_now", CHECKS["ad_counts_sql"])
+def stream_ad_counts_now(spark, sf):
+    """The exact counts per ad and event that the same stream has reached."""
+    return read_latest(spark, _ad_counts(spark, sf)[1], ["aid", "event_type"])
+
+
+@query("stream_rolling_reduce", CHECKS["rolling_reduce"])
+def stream_rolling_reduce(spark, sf):
+    """Several running aggregates at once, with large keys split inside the micro-batch."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    folds = {"total_cents": total("cents"), "n": count(), "least_k": lowest("k"), "most_k": highest("k")}
+    each = rolling_batches(out, held, ["event_type"], "event_id", folds)
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "event_type", "cents", "k"), progress, each=each)
+    return read_once(spark, out).drop("cents", "k")
+
+
+@query("stream_dim_join", CHECKS["broadcast_dim_join"])
+def stream_dim_join(spark, sf):
+    def build(events):
+        kind = F.col("event_type")
+        named = F.when(kind.isin("signup", "view"), F.concat(F.lit("name-"), F.col("k").cast("string")))
+        both = events.where(kind != "click").select(
+            "event_id",
+            (F.col("user_id") % 10).alias("cid"),
+            "cents",
+            (kind != "purchase").alias("is_change"),
+            named.alias("name"),
+        )
+        return stateful.dim_asof_stream(both, "cid", "event_id", "is_change", "name")
+
+    return _drained(spark, sf, build)
+
+
+@query(
+    "stream_late_split",
+    f"""WITH {EV}, seen AS (SELECT *, max(epoch_us(ts)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+      FROM (SELECT event_id, event_type, cents, ts - to_microseconds((event_id * 37) % 11 * 600000000) AS ts FROM ev))
+    SELECT event_id, event_type, cents, coalesce(epoch_us(time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01'))
+      + 3600000000 <= newest, false) AS is_late FROM seen""",
+)
+def stream_late_split(spark, sf):
+    """Late rows by the newest time of all earlier rows, carried from micro-batch to micro-batch."""
+    out, seen = fresh_path(spark, "out"), fresh_path(spark, "seen")
+    events = shape_events(table_stream(spark, sf, "events"))
+    shifted = events.withColumn(
+        "ts", F.timestamp_micros(epoch_micros("ts") - F.expr("(event_id * 37) % 11 * 600000000"))
+    ).select("event_id", "event_type", "cents", "ts")
+    late = mark_late_batches(out, seen, "ts", "1 hour", "0 seconds", "event_id")
+    run(shifted, fresh_path(spark, "progress"), each=late)
+    return read_once(spark, out)

@@ -5,10 +5,13 @@ The events are minutes apart, so durations of seconds become hours: see ``DURATI
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.operators.rows import split_lines, split_words
-from rillstone.session import use_utc
+from rillstone.session import fresh_path, use_utc
+from rillstone.sources.files import read_rows_stream
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -16,6 +19,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The table as a stream. The path is a pattern so that a single file will do as well as a folder,
+    which a plain stream path has to be."""
+    schema = table(spark, folder, name).schema
+    return read_rows_stream(spark, f"{folder}/{name}.parque[t]", schema)
+
+
+def two_arrivals(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
+    """The events as files that arrive in two steps, earlier ones first: a stream over the same folder
+    each time, to be run to its end in between."""
+    events = table(spark, folder, "events")
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    arriving = fresh_path(spark, "arriving")
+    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+        events.where(part).write.mode("append").parquet(arriving)
+        yield read_rows_stream(spark, arriving, events.schema)
+
+
 def shape_events(events: DataFrame) -> DataFrame:
     """Money as whole cents, the JSON item id, and its category."""
     k = F.get_json_object("props", "$.k").cast("int")

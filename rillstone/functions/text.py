@@ -5,16 +5,25 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+def literal_pattern(text: str) -> str:
+    """A regular expression for the text itself. One character stays one (escaped) character, which
+    Java splits on without compiling a pattern per row."""
+    if len(text) == 1:
+        return "\\" + text if text in ".$|()[]{}^?*+\\" else text
+    return "\\Q" + text + "\\E"
+
+
 def words(line: Column, sep: str = " ") -> Column:
     """Words of a line between single separators: inner empties stay, trailing empties go.
 
     An empty line is one empty word; a line of separators only has no words.
     """
-    text = F.rtrim(line) if sep == " " else F.regexp_replace(line, "(?:\\Q" + sep + "\\E)+$", "")
+    pattern = literal_pattern(sep)
+    text = F.rtrim(line) if sep == " " else F.regexp_replace(line, f"(?:{pattern})+$", "")
     return (
         F.when(line == "", F.array(F.lit("")))
         .when(text == "", F.array().cast("array<string>"))
-        .otherwise(F.split(text, "\\Q" + sep + "\\E", -1))
+        .otherwise(F.split(text, pattern, -1))
     )
 
 

@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from rillstone.functions.text import words
+from rillstone.functions.text import literal_pattern, words
 from rillstone.session import shared_dir
 
 
@@ -51,18 +51,18 @@ def parse_delimited(
     df: DataFrame, col: str, schema: T.StructType, sep: str = ",", strict: bool = True
 ) -> DataFrame:
     """Split one text column into typed fields. A bad field fails the job, or is NULL if lenient."""
-    parts = F.split(F.col(col), "\\Q" + sep + "\\E", -1)
+    rest = [c for c in df.columns if c != col]
+    parted = df.select(*rest, F.split(F.col(col), literal_pattern(sep), -1).alias("_parts"))
 
     def field(i: int, f: T.StructField) -> Column:
-        raw = F.get(parts, i)
+        raw = F.get("_parts", F.lit(i))
         if not strict:
             return raw.try_cast(f.dataType).alias(f.name)
         typed = raw.try_cast(f.dataType)
         bad = F.raise_error(F.concat(F.lit(f"bad {f.name}: "), F.coalesce(raw, F.lit("missing"))))
         return F.when(typed.isNotNull(), typed).otherwise(bad.cast(f.dataType)).alias(f.name)
 
-    rest = [c for c in df.columns if c != col]
-    return df.select(*rest, *[field(i, f) for i, f in enumerate(schema.fields)])
+    return parted.select(*rest, *[field(i, f) for i, f in enumerate(schema.fields)])
 
 
 def parse_json(df: DataFrame, col: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
@@ -96,6 +96,14 @@ def route(df: DataFrame, rules: Mapping[str, Column]) -> dict[str, DataFrame]:
     return {"main": df, **outputs}
 
 
+def routed(df: DataFrame, rules: Mapping[str, Column], output: str = "output") -> DataFrame:
+    """All outputs of :func:`route` in one pass: each row once for ``main`` and once for its side
+    output, named in a column. ``write.partitionBy(output)`` then makes one folder per output."""
+    marked = tagged(df, rules, "_tag")
+    names = F.array_compact(F.array(F.lit("main"), F.col("_tag")))
+    return marked.select(F.explode(names).alias(output), *df.columns)
+
+
 def quarantine(
     df: DataFrame, bad: Column, strict: bool = False
 ) -> tuple[DataFrame, DataFrame]:

@@ -5,14 +5,15 @@ rows of one key are sorted in one task, which a key with a third of the table do
 Here a key with more than ``block_rows`` rows is cut along ``seq`` into blocks:
 
 1. count rows per key (map-side combined); only keys over the limit come out, so there are at
-   most ``rows / block_rows`` of them and that list is what is broadcast;
+   most ``rows / block_rows`` of them and that list is what is broadcast. Cells of such a key that
+   are still too large, because ``seq`` is uneven, are cut once more in the same way;
 2. aggregate each block of those keys (map-side combined), and run the same aggregate over the
    block totals: what a block inherits from all earlier blocks of its key;
 3. put that inherited value into the block as a first row and window over (key, block).
 
-Keys under the limit stay in one piece (block 0) and never take part in step 2. One shuffle moves
-full rows; the others move one row per key or per block. All expressions are deterministic in the
-input, so a lost executor recomputes the same blocks.
+Keys under the limit stay in one piece (block 0) and never take part in step 2: without large keys
+adaptive execution drops it. One shuffle moves full rows; the others move one row per key or per
+block. All expressions are deterministic in the input, so a lost executor recomputes the same blocks.
 """
 
 from __future__ import annotations
@@ -27,7 +28,13 @@ from rillstone.timeunits import epoch_micros
 #: rows of one key that one task sorts and scans; more than this and the key is split
 BLOCK_ROWS = 2_000_000
 
-BLOCK, BLOCK_END, REAL = "_block", "_block_end", "_real"
+BLOCK, BLOCK_END, NEXT_BLOCK, REAL = "_block", "_block_end", "_next_block", "_real"
+
+#: a split key is cut into at least this many cells, fine enough to set stray early or late rows apart
+MIN_CELLS = 1024
+
+#: room for the pieces of one cell in a block number
+_PIECES = 1 << 24
 
 
 @dataclass(frozen=True)
@@ -86,6 +93,28 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return condition
 
 
+def _cuts(
+    df: DataFrame, keys: Sequence[str], at: Column, block_rows: int, limit: int, min_width: int
+) -> DataFrame:
+    """Groups of more than ``limit`` rows: first and last position, and the width of equal steps that
+    hold at most ``block_rows`` rows on average."""
+    pieces = F.greatest(F.ceil(F.col("_n") / F.lit(block_rows)), F.lit(MIN_CELLS))
+    step = F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces).cast("bigint")
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+        .where(F.col("_n") > limit)
+        .select(
+            *[F.col(k).alias("_big_" + k) for k in keys],
+            F.struct(
+                F.col("_lo").alias("lo"),
+                F.col("_hi").alias("hi"),
+                F.greatest(F.lit(min_width).cast("bigint"), step).alias("width"),
+            ).alias("_cut"),
+        )
+    )
+
+
 def with_blocks(
     df: DataFrame,
     keys: Sequence[str],
@@ -93,38 +122,37 @@ def with_blocks(
     block_rows: int = BLOCK_ROWS,
     min_width: int = 1,
 ) -> DataFrame:
-    """Add ``_block``: 0 for keys within the limit, else 1, 2, ... growing with ``seq``; and
-    ``_block_end``, where the next block begins (NULL for block 0).
+    """Add ``_block``: 0 for keys within the limit, else a number that grows with ``seq``. Also
+    ``_next_block``, and ``_block_end``, before which all of the block lies (NULL for block 0).
 
-    Block borders are equal steps of ``seq`` between the key's first and last value, at least
-    ``min_width`` wide.
+    A large key is cut into cells of equal steps of ``seq``; a cell that got more than twice its share
+    is cut again between its own first and last row. Steps are at least ``min_width`` wide.
     """
-    at = position(df, seq)
-    pieces = F.ceil(F.col("_n") / F.lit(block_rows))
-    big = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .where(F.col("_n") > block_rows)
-        .select(
-            *[F.col(k).alias("_big_" + k) for k in keys],
-            F.col("_lo"),
-            F.greatest(
-                F.lit(min_width).cast("bigint"),
-                F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces).cast("bigint"),
-            ).alias("_width"),
-        )
-    )
+    keys, at = list(keys), position(df, seq)
+    big = _cuts(df, keys, at, block_rows, block_rows, min_width)
     if keys:
-        joined = df.join(F.broadcast(big), null_safe(df, big, keys, "_big_"), "left")
-        lo, width = F.col("_lo"), F.col("_width")
+        placed = df.join(F.broadcast(big), null_safe(df, big, keys, "_big_"), "left")
     else:  # one row at most, so it is a scalar subquery and not a join
-        joined = df.withColumn("_cut", big.select(F.struct("_lo", "_width")).scalar())
-        lo, width = F.col("_cut._lo"), F.col("_cut._width")
-    block = F.floor((at - lo) / width).cast("bigint") + 1
-    return joined.select(
+        placed = df.withColumn("_cut", big.scalar())
+    first = F.floor((at - F.col("_cut.lo")) / F.col("_cut.width")).cast("bigint")
+    celled = placed.select(
+        *[F.col(c) for c in df.columns],
+        first.alias("_cell"),
+        (F.col("_cut.lo") + F.col("_cut.width") * (first + 1)).alias("_cell_end"),
+    )
+
+    in_cell = [*keys, "_cell"]
+    uneven = _cuts(celled.where(F.col("_cell").isNotNull()), in_cell, at, block_rows, 2 * block_rows, min_width)
+    cut = celled.join(F.broadcast(uneven), null_safe(celled, uneven, in_cell, "_big_"), "left")
+    lo, hi, width = (F.col(f"_cut.{name}") for name in ("lo", "hi", "width"))
+    second = F.coalesce(F.floor((at - lo) / width).cast("bigint"), F.lit(0).cast("bigint"))
+    more = F.coalesce(second < F.floor((hi - lo) / width), F.lit(False))
+    here, next_cell = F.col("_cell") * _PIECES + second + 1, (F.col("_cell") + 1) * _PIECES + 1
+    return cut.select(
         *[F.col(c) for c in df.columns],
-        F.coalesce(block, F.lit(0).cast("bigint")).alias(BLOCK),
-        (lo + width * block).alias(BLOCK_END),
+        F.coalesce(here, F.lit(0).cast("bigint")).alias(BLOCK),
+        F.when(more, here + 1).otherwise(next_cell).alias(NEXT_BLOCK),
+        F.least(F.col("_cell_end"), lo + width * (second + 1)).alias(BLOCK_END),
     )
 
 
@@ -145,7 +173,7 @@ def scan(
     holds what keys start from: the key columns and one column per fold.
     """
     keys = list(keys)
-    lifted = with_blocks(df, keys, seq, block_rows).drop(BLOCK_END)
+    lifted = with_blocks(df, keys, seq, block_rows).drop(BLOCK_END, NEXT_BLOCK)
     for name, fold in folds.items():
         lifted = lifted.withColumn(name, fold.lift)
 
@@ -182,8 +210,10 @@ def ends(
     keys: Sequence[str],
     folds: Mapping[str, Fold],
     initial: DataFrame | None = None,
+    every_key: bool = False,
 ) -> DataFrame:
-    """What each key of ``df`` has reached after its last row: the next input's ``initial``."""
+    """What each key of ``df`` (or every key, also those only in ``initial``) has reached after its last
+    row: the next input's ``initial``."""
     def merged(last: Column) -> list[Column]:
         return [last, *[fold.merge(F.col(name)).alias(name) for name, fold in folds.items()]]
 
@@ -194,4 +224,4 @@ def ends(
     if initial is not None:
         held = initial.select(*keys, F.lit(False).alias("_here"), *folds)
         here = here.unionByName(held).groupBy(*keys).agg(*merged(F.max("_here").alias("_here")))
-    return here.where("_here").drop("_here")
+    return (here if every_key else here.where("_here")).drop("_here")

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rillstone.operators.scan import BLOCK, BLOCK_END, BLOCK_ROWS, REAL, with_blocks
+from rillstone.operators.scan import BLOCK, BLOCK_END, BLOCK_ROWS, NEXT_BLOCK, REAL, with_blocks
 from rillstone.timeunits import as_micros, epoch_micros, interval
 
 
@@ -145,7 +145,7 @@ def last_within(
     )
     copies = (
         rows.where(F.col("_at") > F.col(BLOCK_END) - micros)
-        .select(*keys, (F.col(BLOCK) + 1).alias(BLOCK), seq, value, "_at", F.lit(0).alias(REAL))
+        .select(*keys, F.col(NEXT_BLOCK).alias(BLOCK), seq, value, "_at", F.lit(0).alias(REAL))
     )
     frame = Window.partitionBy(*keys, BLOCK).orderBy("_at").rangeBetween(-(micros - 1), 0)
     lists = (

@@ -18,6 +18,9 @@ from rillstone.timeunits import as_micros, epoch_micros, interval, interval_text
 #: rows in one element of a collected window; longer windows come out in several numbered parts
 PART_ROWS = 100_000
 
+#: gap-wide slots in one stretch of a key that is put in order in one task
+STRETCH_SLOTS = 1_000_000
+
 
 def with_event_time(df: DataFrame, col: str, delay: str, name: str | None = None) -> DataFrame:
     """Event time from a field, with a watermark trailing the newest row by ``delay``."""
@@ -121,17 +124,33 @@ def slide(
     return panes.groupBy(sliding("_pane"), *keys).agg(*_merged_again(folds)).select(*_bounds(names))
 
 
+def _chained(
+    df: DataFrame, partition: Sequence[str], micros: int, folds: Mapping[str, Fold], by: str
+) -> DataFrame:
+    """Join spans ``_from`` to ``_to`` that follow each other within the gap, per partition."""
+    along = Window.partitionBy(*(partition or [F.lit(0)])).orderBy("_from")
+    quiet = epoch_micros("_from") - epoch_micros(F.lag("_to").over(along)) > micros
+    return (
+        df.withColumn("_new", F.coalesce(quiet.cast("int"), F.lit(1)))
+        .withColumn(by, F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*partition, by)
+        .agg(F.min("_from").alias("_from"), F.max("_to").alias("_to"), *_merged_again(folds))
+    )
+
+
 def session(
     df: DataFrame,
     ts: str,
     gap: str,
     folds: Mapping[str, Fold],
     keys: Sequence[str] = (),
+    stretch_slots: int = STRETCH_SLOTS,
 ) -> DataFrame:
     """Session windows: a row more than ``gap`` after the last one opens a new session.
 
     In batch, rows in the same gap-wide slot are always in the same session, so they are combined
-    first; what is ordered per key afterwards is at most one row per slot.
+    first. The slots of a key are put in order stretch by stretch, and only the first and the last
+    session of a stretch can go on in another one: just these are ordered per key.
     """
     keys, names = list(keys), [*keys, *folds]
     if df.isStreaming:
@@ -142,21 +161,20 @@ def session(
         df.where(F.col(ts).isNotNull())
         .groupBy(*keys, F.floor(epoch_micros(ts) / micros).alias("_slot"))
         .agg(F.min(ts).alias("_from"), F.max(ts).alias("_to"), *_merged(folds))
+        .withColumn("_stretch", F.floor(F.col("_slot") / stretch_slots))
+        .drop("_slot")
     )
-    per_key = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_slot")
-    quiet = epoch_micros("_from") - epoch_micros(F.lag("_to").over(per_key)) > micros
-    opened = slots.withColumn("_new", F.coalesce(quiet.cast("int"), F.lit(1)))
-    numbered = opened.withColumn(
-        "_session", F.sum("_new").over(per_key.rowsBetween(Window.unboundedPreceding, 0))
-    )
+    stretch = [*keys, "_stretch"]
+    last_of_stretch = F.max("_no").over(Window.partitionBy(*stretch))
+    local = _chained(slots, stretch, micros, folds, by="_no").withColumn("_last", last_of_stretch)
+    at_edge = (F.col("_no") == 1) | (F.col("_no") == F.col("_last"))
+    spans = ["_from", "_to", *names]
+    joined = _chained(local.where(at_edge).select(*spans), keys, micros, folds, by="_no").select(*spans)
     return (
-        numbered.groupBy(*keys, "_session")
-        .agg(
-            F.min("_from").alias("window_start"),
-            (F.max("_to") + interval(gap)).alias("window_end"),
-            *_merged_again(folds),
-        )
-        .select("window_start", "window_end", *names)
+        local.where(~at_edge)
+        .select(*spans)
+        .unionByName(joined)
+        .select(F.col("_from").alias("window_start"), (F.col("_to") + interval(gap)).alias("window_end"), *names)
     )
 
 

@@ -98,17 +98,8 @@ def side_output_route(spark, sf):
         "event_id", F.expr(_MIXED.replace("VARCHAR", "STRING")).alias("v")
     )
     number = F.col("v").try_cast("int")
-    outputs = rows.route(
-        mixed,
-        {
-            "text": number.isNull(),
-            "even": number % 2 == 0,
-            "odd": number % 2 != 0,
-        },
-    )
-    return rows.union_all(
-        *[df.select(F.lit(name).alias("output"), "event_id", "v") for name, df in outputs.items()]
-    )
+    rules = {"text": number.isNull(), "even": number % 2 == 0, "odd": number % 2 != 0}
+    return rows.routed(mixed, rules)
 
 
 @query(

@@ -50,10 +50,10 @@ def to_upsert(path: str, keys: Sequence[str], order: str) -> Callable[[DataFrame
 
 
 def read_latest(
-    spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None
+    spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None, since: int = 0
 ) -> DataFrame:
-    """The current row per key (or as of before a micro-batch)."""
-    log = spark.read.parquet(path)
+    """The current row per key (or as of before a micro-batch), from micro-batch ``since`` on."""
+    log = spark.read.parquet(path).where(F.col(BATCH) >= since)
     if before is not None:
         log = log.where(F.col(BATCH) < before)
     return last_per_key(log, keys, [BATCH]).drop(BATCH)

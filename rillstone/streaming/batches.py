@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.operators.rolling import distinct_folds, with_first_appearances
 from rillstone.operators.scan import BLOCK_ROWS, Fold, ends, highest, scan
@@ -19,6 +19,24 @@ from rillstone.timeunits import epoch_micros
 
 OnBatch = Callable[[DataFrame, int], None]
 
+#: every so many micro-batches the reached values of all keys are written, not only of the touched ones,
+#: so that no more than this many micro-batches are read back and older ones can be removed
+SNAPSHOT_EVERY = 20
+
+
+def _reached(spark: SparkSession, held: str, keys: Sequence[str], batch_id: int) -> DataFrame | None:
+    if batch_id == 0:
+        return None
+    snapshot = (batch_id - 1) // SNAPSHOT_EVERY * SNAPSHOT_EVERY
+    return read_latest(spark, held, keys, before=batch_id, since=snapshot)
+
+
+def _reach(
+    df: DataFrame, held: str, keys: Sequence[str], folds: Mapping[str, Fold], initial: DataFrame | None, batch_id: int
+) -> None:
+    every_key = batch_id % SNAPSHOT_EVERY == 0
+    write_once(ends(df, keys, folds, initial, every_key), held, batch_id)
+
 
 def _once_read(write: OnBatch) -> OnBatch:
     """Keep the micro-batch while it is used several times."""
@@ -42,10 +60,10 @@ def rolling_batches(
 ) -> OnBatch:
     """Running aggregates per row, appended to ``out``; ``held`` keeps what each key has reached."""
     def write(df: DataFrame, batch_id: int) -> None:
-        initial = read_latest(df.sparkSession, held, keys, before=batch_id) if batch_id else None
+        initial = _reached(df.sparkSession, held, keys, batch_id)
         running = scan(df, keys, seq, folds, block_rows=block_rows, initial=initial)
         write_once(running, out, batch_id)
-        write_once(ends(df, keys, folds, initial), held, batch_id)
+        _reach(df, held, keys, folds, initial, batch_id)
 
     return _once_read(write)
 
@@ -65,7 +83,7 @@ def distinct_batches(
     (key, value) have appeared."""
     def write(df: DataFrame, batch_id: int) -> None:
         spark, folds = df.sparkSession, distinct_folds(hits, distinct)
-        initial = read_latest(spark, held, keys, before=batch_id) if batch_id else None
+        initial = _reached(spark, held, keys, batch_id)
         known = spark.read.parquet(pairs).where(F.col(BATCH) < batch_id) if batch_id else None
         both = with_first_appearances(df, keys, seq, value, known)
         new = both.where(F.col("_row") == 0).select(*keys, F.col("_value").alias(value))
@@ -74,7 +92,7 @@ def distinct_batches(
             both.drop("_value"), keys, seq, folds, tie=["_row"], block_rows=block_rows, initial=initial
         )
         write_once(running.where(F.col("_row") == 1).drop("_row", "_first"), out, batch_id)
-        write_once(ends(both, keys, folds, initial), held, batch_id)
+        _reach(both, held, keys, folds, initial, batch_id)
 
     return _once_read(write)
 

@@ -46,7 +46,10 @@ def test_json_good_and_bad(spark):
 def test_route(spark):
     df = spark.createDataFrame([("1",), ("2",), ("abc",)], "v string")
     n = F.col("v").try_cast("int")
-    out = rows.route(df, {"text": n.isNull(), "odd": n % 2 == 1, "even": n % 2 == 0})
+    rules = {"text": n.isNull(), "odd": n % 2 == 1, "even": n % 2 == 0}
+    out = rows.route(df, rules)
+    one_pass = sorted(map(tuple, rows.routed(df, rules).collect()))
+    assert one_pass == sorted((k, v) for k, d in out.items() for v in column(d, "v"))
     assert {k: column(d, "v") for k, d in out.items()} == {
         "main": ["1", "2", "abc"], "text": ["abc"], "odd": ["1"], "even": ["2"],
     }

@@ -6,6 +6,7 @@ import pytest
 from conftest import at, by_key
 from pyspark.sql import functions as F
 
+import rillstone.operators.scan as scan_module
 from rillstone.operators import rolling, state
 from rillstone.operators.scan import (
     BLOCK,
@@ -21,6 +22,12 @@ from rillstone.operators.scan import (
 SIZES = [2_000_000, 50, 7, 1]
 
 
+@pytest.fixture(autouse=True)
+def few_cells(monkeypatch):
+    """Blocks of several rows even for 300 rows."""
+    monkeypatch.setattr(scan_module, "MIN_CELLS", 1)
+
+
 def test_only_large_keys_are_split_and_no_block_is_large(skewed):
     df, rows = skewed
     sizes = {
@@ -53,6 +60,28 @@ def test_running_aggregates(skewed, block_rows):
     assert got == want
 
 
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_uneven_order_is_cut_again(spark, monkeypatch, keys):
+    """Microseconds of one second in 2024, and two stray rows: the year 1970 and the year 9999."""
+    monkeypatch.setattr(scan_module, "MIN_CELLS", 1024)
+    places = [0, *range(1_704_067_200_000_000, 1_704_067_201_000_000, 2000), 253_402_300_799_000_000]
+    df = spark.createDataFrame([(p, "k", 1) for p in places], "seq bigint, key string, v bigint")
+    blocks = with_blocks(df, keys, "seq", 20)
+    assert max(r["count"] for r in blocks.groupBy(BLOCK).count().collect()) <= 40
+    in_order = [r["seq"] for r in blocks.orderBy(BLOCK, "seq").collect()]
+    assert in_order == places
+    out = scan(df, keys, "seq", {"s": total("v")}, block_rows=20).orderBy("seq")
+    assert [r["s"] for r in out.collect()] == list(range(1, 503))
+
+
+def test_live_values_with_uneven_times(spark):
+    times = [0, *[10**9 + 400 * i for i in range(200)], 10**12]
+    df = spark.createDataFrame([(i, "k", at(ms), str(i)) for i, ms in enumerate(times)], "seq bigint, key string, ts timestamp_ntz, v string")
+    out = state.last_within(df, ["key"], "seq", "ts", "3 seconds", "v", block_rows=10).orderBy("seq")
+    for r, ms in zip(out.collect(), times):
+        assert r["live_values"] == [str(i) for i, t in enumerate(times) if ms - 3000 < t <= ms]
+
+
 @pytest.mark.parametrize("block_rows", SIZES)
 def test_no_key_and_rows_before_only(skewed, block_rows):
     df, rows = skewed

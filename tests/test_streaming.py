@@ -76,7 +76,8 @@ def test_dimension_over_micro_batches(spark, skewed, arriving):
 
 
 @pytest.mark.parametrize("block_rows", [2_000_000, 9])
-def test_split_scans_over_micro_batches(spark, skewed, arriving, block_rows):
+def test_split_scans_over_micro_batches(spark, skewed, arriving, monkeypatch, block_rows):
+    monkeypatch.setattr(batches, "SNAPSHOT_EVERY", 2)
     df, _ = skewed
     folds = {"s": total("v"), "hi": highest("v"), "n": count()}
     out, held = fresh_path(spark, "out"), fresh_path(spark, "held")

@@ -42,9 +42,10 @@ def test_session_merges_rows_exactly_one_gap_apart(spark):
     ]
 
 
-def test_session_brute_force(skewed):
+@pytest.mark.parametrize("stretch_slots", [1_000_000, 20, 3, 1])
+def test_session_brute_force(skewed, stretch_slots):
     df, rows = skewed
-    out = windows.session(df, "ts", "7 seconds", sums(), ["key"])
+    out = windows.session(df, "ts", "7 seconds", sums(), ["key"], stretch_slots)
     got = sorted((str(r["key"]), r["window_start"], r["window_end"], r["s"], r["n"]) for r in out.collect())
     want = []
     for key, group in by_key(rows).items():

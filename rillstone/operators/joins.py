@@ -12,9 +12,8 @@ from rillstone.operators.skew import (
     BROADCAST_BYTES,
     SALTS,
     estimated_bytes,
-    every_salt,
     lookup,
-    spread_salt,
+    salted_sides,
 )
 from rillstone.timeunits import as_micros, epoch_micros, interval, interval_text
 
@@ -32,20 +31,21 @@ def window_join(
     how: str = "inner",
     left_ts: str = "ts",
     right_ts: str = "ts",
+    salts: int = 1,
 ) -> DataFrame:
     """All pairs with equal key in the same tumbling window; ``how='left'`` keeps unmatched left rows.
 
-    The window is part of the join key, which spreads a key's rows over time.
+    The window is part of the join key, which spreads a key's rows over time; what is still too large
+    adaptive execution splits. ``salts`` splits beforehand: the left rows of a key and window go to so
+    many tasks and the right rows to each of them.
     """
     if how not in ("inner", "left"):
         raise ValueError("window joins are inner or left")
-    joined = _placed(left, left_ts, size).join(
-        _placed(right, right_ts, size).withColumnRenamed(right_ts, "_right_ts")
-        if right_ts == left_ts
-        else _placed(right, right_ts, size),
-        [*on, "_w"],
-        how,
-    )
+    right_side = _placed(right, right_ts, size)
+    if right_ts == left_ts:
+        right_side = right_side.withColumnRenamed(right_ts, "_right_ts")
+    left_side, right_side, salt = salted_sides(_placed(left, left_ts, size), right_side, salts)
+    joined = left_side.join(right_side, [*on, "_w", *salt], how).drop(*salt)
     return joined.select(
         F.col("_w.start").alias("window_start"),
         F.col("_w.end").alias("window_end"),
@@ -95,12 +95,14 @@ def interval_join(
     hi_open: bool = True,
     left_ts: str = "ts",
     right_ts: str = "right_ts",
+    salts: int = 1,
 ) -> DataFrame:
     """Pairs with equal key and ``right_ts`` from ``left_ts + lo`` up to ``left_ts + hi``.
 
     In batch, time is cut into slots as long as the interval and the slot becomes part of the key:
     a right row meets at most two slots, and one key's rows spread over as many tasks as it has
-    slots. On a stream the plain condition is kept, from which Spark derives what state to drop.
+    slots (``salts`` as in :func:`window_join`). On a stream the plain condition is kept, from which
+    Spark derives what state to drop.
     """
     lo_us, hi_us = as_micros(lo), as_micros(hi)
     if left.isStreaming or right.isStreaming:
@@ -119,11 +121,12 @@ def interval_join(
     slotted_right = right.withColumn("_r", right_at).withColumn(
         "_slot", F.explode(F.sequence(slot(F.col("_r") - hi_us), slot(F.col("_r") - lo_us)))
     )
-    past_end = F.col("_r") < F.col("_l") + hi_us if hi_open else F.col("_r") <= F.col("_l") + hi_us
+    before_end = F.col("_r") < F.col("_l") + hi_us if hi_open else F.col("_r") <= F.col("_l") + hi_us
+    slotted_left, slotted_right, salt = salted_sides(slotted_left, slotted_right, salts)
     return (
-        slotted_left.join(slotted_right, [*on, "_slot"], "inner")
-        .where((F.col("_r") >= F.col("_l") + lo_us) & past_end)
-        .drop("_slot", "_l", "_r")
+        slotted_left.join(slotted_right, [*on, "_slot", *salt], "inner")
+        .where((F.col("_r") >= F.col("_l") + lo_us) & before_end)
+        .drop("_slot", "_l", "_r", *salt)
     )
 
 
@@ -215,9 +218,8 @@ def range_lookup(
     if estimated_bytes(bucketed) <= broadcast_bytes:
         bucketed = F.broadcast(bucketed)
     else:
-        left = left.withColumn("_salt", spread_salt(df, salts))
-        bucketed = bucketed.withColumn("_salt", every_salt(salts))
-        on.append("_salt")
+        left, bucketed, salt = salted_sides(left, bucketed, salts)
+        on += salt
     l, r = left.alias("l"), bucketed.alias("r")
     condition = F.col(f"l.{number}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))
     for c in on:

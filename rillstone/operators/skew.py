@@ -41,6 +41,14 @@ def salted_sum(
     return partial.groupBy(*keys).agg(F.sum(value).alias(value))
 
 
+def salted_sides(left: DataFrame, right: DataFrame, salts: int) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join whose left rows are spread over ``salts`` pieces per key, with every right
+    row in each piece; and the column to add to the join key. Inner and left joins stay the same."""
+    if salts <= 1:
+        return left, right, []
+    return left.withColumn("_salt", spread_salt(left, salts)), right.withColumn("_salt", every_salt(salts)), ["_salt"]
+
+
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -59,6 +67,5 @@ def lookup(
         raise ValueError("a lookup is a left or an inner join")
     if estimated_bytes(dim) <= broadcast_bytes:
         return df.join(F.broadcast(dim), list(on), how)
-    left = df.withColumn("_salt", spread_salt(df, salts))
-    right = dim.withColumn("_salt", every_salt(salts))
-    return left.join(right, [*on, "_salt"], how).drop("_salt")
+    left, right, salt = salted_sides(df, dim, salts)
+    return left.join(right, [*on, *salt], how).drop(*salt)

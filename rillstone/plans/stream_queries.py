@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.operators import joins, topn, windows
 from rillstone.operators.rows import split_lines, split_words
-from rillstone.operators.scan import count, highest, lowest, total
+from rillstone.operators.scan import count, highest, latest, lowest, total
 from rillstone.plans import join_queries, rolling_queries, state_queries, window_queries  # noqa: F401
 from rillstone.plans.registry import CHECKS, query
 from rillstone.plans.tables import EV, shape_events, table, table_stream, two_arrivals
@@ -256,23 +256,38 @@ def stream_rolling_reduce(spark, sf):
     return read_once(spark, out).drop("cents", "k")
 
 
+def _facts_and_changes(events: DataFrame) -> DataFrame:
+    kind = F.col("event_type")
+    named = F.when(kind.isin("signup", "view"), F.concat(F.lit("name-"), F.col("k").cast("string")))
+    return events.where(kind != "click").select(
+        "event_id",
+        (F.col("user_id") % 10).alias("cid"),
+        "cents",
+        (kind != "purchase").alias("is_change"),
+        named.alias("name"),
+    )
+
+
 @query("stream_dim_join", CHECKS["broadcast_dim_join"])
 def stream_dim_join(spark, sf):
     def build(events):
-        kind = F.col("event_type")
-        named = F.when(kind.isin("signup", "view"), F.concat(F.lit("name-"), F.col("k").cast("string")))
-        both = events.where(kind != "click").select(
-            "event_id",
-            (F.col("user_id") % 10).alias("cid"),
-            "cents",
-            (kind != "purchase").alias("is_change"),
-            named.alias("name"),
-        )
-        return stateful.dim_asof_stream(both, "cid", "event_id", "is_change", "name")
+        return stateful.dim_asof_stream(_facts_and_changes(events), "cid", "event_id", "is_change", "name")
 
     return _drained(spark, sf, build)
 
 
+@query("stream_dim_join_split", CHECKS["broadcast_dim_join"])
+def stream_dim_join_split(spark, sf):
+    """The same with large dimension keys split inside the micro-batch, over two arrivals of files."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    current = latest("event_id", F.col("name"), when=F.col("is_change"))
+    each = rolling_batches(out, held, ["cid"], "event_id", {"current": current})
+    for stream in two_arrivals(spark, sf):
+        run(_facts_and_changes(shape_events(stream)), progress, each=each)
+    facts = read_once(spark, out).where(~F.col("is_change"))
+    return facts.select("event_id", "cid", "cents", F.col("current.value").alias("name"))
+
+
 @query(
     "stream_late_split",
     f"""WITH {EV}, seen AS (SELECT *, max(epoch_us(ts)) OVER (ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest

@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillstone.sources.files import read_rows_stream
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
+
 #: event time of the closing row; later than any real event
 END_OF_TIME = datetime(2100, 1, 1)
 
@@ -21,18 +23,30 @@ def start(
     each: Callable[[DataFrame, int], None] | None = None,
     mode: str = "append",
     every: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Start a query into parquet files at ``path`` or a function per micro-batch.
 
     Offsets and state live in ``checkpoint``: the same call after a stop or a failure goes on where
     the query was. Without ``every`` it takes what is there now, in as many micro-batches as the
     sources ask for, and ends.
+
+    The number of state partitions is fixed when a query first starts. A micro-batch is small, so
+    unless given it is one per core and at most ``spark.sql.shuffle.partitions``.
     """
     if (path is None) == (each is None):
         raise ValueError("give either path or each")
+    spark = df.sparkSession
+    configured = spark.conf.get(_PARTITIONS)
+    wanted = state_partitions or min(int(configured), spark.sparkContext.defaultParallelism)
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return (writer.foreachBatch(each) if each else writer.format("parquet").option("path", path)).start()
+    writer = writer.foreachBatch(each) if each else writer.format("parquet").option("path", path)
+    spark.conf.set(_PARTITIONS, str(wanted))
+    try:  # the query keeps its own copy of the settings from here on
+        return writer.start()
+    finally:
+        spark.conf.set(_PARTITIONS, configured)
 
 
 def run(df: DataFrame, checkpoint: str, **options: object) -> None:

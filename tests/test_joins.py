@@ -13,12 +13,13 @@ def orders(spark, *rows):
     return spark.createDataFrame([(o, at(ms)) for ms, o in rows], "oid string, ts timestamp_ntz")
 
 
-def test_window_join_left(spark):
+@pytest.mark.parametrize("salts", [1, 4])
+def test_window_join_left(spark, salts):
     left = orders(spark, (1000, "o1"), (5000, "o2")).withColumnRenamed("ts", "l_ts")
     right = orders(spark, (1500, "o1"), (2000, "o2")).withColumnRenamed("ts", "r_ts")
-    out = joins.window_join(left, right, ["oid"], "5 seconds", "left", "l_ts", "r_ts")
+    out = joins.window_join(left, right, ["oid"], "5 seconds", "left", "l_ts", "r_ts", salts)
     assert sorted((r["oid"], r["r_ts"]) for r in out.collect()) == [("o1", at(1500)), ("o2", None)]
-    inner = joins.window_join(left, right, ["oid"], "5 seconds", "inner", "l_ts", "r_ts")
+    inner = joins.window_join(left, right, ["oid"], "5 seconds", "inner", "l_ts", "r_ts", salts)
     assert [r["oid"] for r in inner.collect()] == ["o1"]
 
 
@@ -38,12 +39,14 @@ def test_interval_edges(spark):
     assert sorted(r["right_ts"] for r in closed.collect()) == [at(0), at(1999), at(2000)]
 
 
-@pytest.mark.parametrize(("lo", "hi"), [(-3000, 2000), (1000, 5000), (-5000, -1000), (0, 1)])
-def test_interval_brute_force(skewed, lo, hi):
+@pytest.mark.parametrize(
+    ("lo", "hi", "salts"), [(-3000, 2000, 1), (-3000, 2000, 5), (1000, 5000, 1), (-5000, -1000, 1), (0, 1, 1)]
+)
+def test_interval_brute_force(skewed, lo, hi, salts):
     df, rows = skewed
     left = df.select("key", "seq", "ts")
     right = df.selectExpr("key", "seq AS r_seq", "ts AS right_ts")
-    out = joins.interval_join(left, right, ["key"], lo * 1000, hi * 1000)
+    out = joins.interval_join(left, right, ["key"], lo * 1000, hi * 1000, salts=salts)
     ms = {r[0]: (r[1], (r[2] - EPOCH).total_seconds() * 1000) for r in rows}
     want = sorted(
         (a, b)

@@ -123,7 +123,7 @@ def stream_hot_items(spark, sf):
         )
 
     def rank_each(out):
-        groups = ["category", "event_type", "window_start", "window_end"]
+        groups = ["window_start", "category", "event_type"]
         order = [F.col("hits").desc(), F.col("item").asc()]
         return lambda df, batch_id: write_once(topn.top_n(df, groups, order, 3), out, batch_id)
 

@@ -1,6 +1,7 @@
 """The given tables and the views the queries share, as DataFrames and as SQL for the checks.
 
-The events are minutes apart, so durations of seconds become hours: see ``DURATIONS`` in README.
+The events are minutes apart, so durations that are seconds for a live stream are minutes to hours
+here.
 """
 
 from __future__ import annotations

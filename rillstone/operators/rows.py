@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillstone.functions.text import literal_pattern, words
-from rillstone.session import shared_dir
+from rillstone.session import fresh_path
 
 
 def upper_case(df: DataFrame, col: str) -> DataFrame:
@@ -68,14 +68,12 @@ def parse_delimited(
 def parse_json(df: DataFrame, col: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
     """``(good, bad)``: typed records, and the rows whose text is not such a record."""
     checked = T.StructType([*schema.fields, T.StructField("_broken", T.StringType())])
-    parsed = df.withColumn(
-        "_record",
-        F.from_json(col, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"}),
-    )
-    broken = F.col("_record").isNull() | F.col("_record._broken").isNotNull()
+    parsed = F.from_json(col, checked, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    # as an array of none or one, so that a text is parsed once and not again for the filter
+    whole = F.filter(F.array(parsed), lambda r: r.isNotNull() & r["_broken"].isNull())
     rest = [c for c in df.columns if c != col]
-    good = parsed.where(~broken).select(*rest, *[f"_record.{f.name}" for f in schema.fields])
-    return good, parsed.where(broken).select(*df.columns)
+    good = df.select(*rest, F.explode(whole).alias("_record"))
+    return good.select(*rest, *[f"_record.{f.name}" for f in schema.fields]), df.where(F.size(whole) == 0)
 
 
 def tagged(df: DataFrame, rules: Mapping[str, Column], tag: str = "tag") -> DataFrame:
@@ -140,7 +138,7 @@ def iterate(
     """Apply ``step`` to a value, and once more as long as ``again`` holds for the result.
 
     A pass takes up to ``steps_per_pass`` steps inside the row. Rows that still go on are written
-    to the checkpoint folder and take another pass, so no number of steps is too many.
+    to a table in the shared folder and take another pass, so no number of steps is too many.
     """
     def one_pass(rows: DataFrame) -> DataFrame:
         start = F.struct(F.col(col).alias("v"), F.lit(True).alias("on"))
@@ -156,12 +154,13 @@ def iterate(
     def finished(rows: DataFrame) -> DataFrame:
         return rows.where(~F.col("_state.on")).withColumn(col, F.col("_state.v")).drop("_state")
 
-    shared_dir(df.sparkSession)
     outputs, rows = [], df
     while True:
         moved = one_pass(rows)
         outputs.append(finished(moved))
+        path = fresh_path(df.sparkSession, "going-on")
         going_on = moved.where("_state.on").withColumn(col, F.col("_state.v")).drop("_state")
-        rows = going_on.checkpoint()
+        going_on.write.parquet(path)
+        rows = df.sparkSession.read.parquet(path)
         if rows.isEmpty():
             return union_all(*outputs)

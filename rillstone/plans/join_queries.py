@@ -143,12 +143,16 @@ _LON, _LAT = "(user_id * 37 % 360) - 180", "(user_id * 53 % 180) - 90"
     ON floor(lon / 60.0) = cell_x AND floor(lat / 60.0) = cell_y""",
 )
 def geo_enrich(spark, sf):
+    return with_province(spark, sf, ev(spark, sf))
+
+
+def with_province(spark, sf, events):
     grid = table(spark, sf, "nation").select(
         (F.col("n_nationkey") % 6 - 3).cast("bigint").alias("cell_x"),
         (F.floor(F.col("n_nationkey") / 6) - 2).alias("cell_y"),
         F.col("n_name").alias("province"),
     )
-    placed = ev(spark, sf).select("event_id", F.expr(_LON).alias("lon"), F.expr(_LAT).alias("lat"))
+    placed = events.select("event_id", F.expr(_LON).alias("lon"), F.expr(_LAT).alias("lat"))
     return ops.geo_enrich(placed, grid, 60.0)
 
 

@@ -62,14 +62,17 @@ _BROKEN = "CASE WHEN event_id % 11 = 0 THEN substr(props, 2) ELSE props END"
 _PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 
 
+def with_broken(events):
+    return events.select("event_id", F.expr(_BROKEN).alias("j"))
+
+
 @query(
     "parse_json_drop_bad",
     f"SELECT event_id, CAST(json_extract(j, '$.k') AS INTEGER) AS k FROM "
     f"(SELECT event_id, {_BROKEN} AS j FROM events) WHERE json_valid(j)",
 )
 def parse_json_drop_bad(spark, sf):
-    text = table(spark, sf, "events").select("event_id", F.expr(_BROKEN).alias("j"))
-    return rows.parse_json(text, "j", _PROPS)[0]
+    return rows.parse_json(with_broken(table(spark, sf, "events")), "j", _PROPS)[0]
 
 
 @query(
@@ -77,8 +80,7 @@ def parse_json_drop_bad(spark, sf):
     f"SELECT event_id, j FROM (SELECT event_id, {_BROKEN} AS j FROM events) WHERE NOT json_valid(j)",
 )
 def parse_json_bad_rows(spark, sf):
-    text = table(spark, sf, "events").select("event_id", F.expr(_BROKEN).alias("j"))
-    return rows.parse_json(text, "j", _PROPS)[1]
+    return rows.parse_json(with_broken(table(spark, sf, "events")), "j", _PROPS)[1]
 
 
 #: numbers and words mixed: the item id, or for errors the event's name
@@ -94,9 +96,11 @@ _MIXED = "CASE WHEN event_type = 'error' THEN event_type ELSE CAST(k AS VARCHAR)
     UNION ALL SELECT tag AS output, event_id, v FROM tagged""",
 )
 def side_output_route(spark, sf):
-    mixed = ev(spark, sf).select(
-        "event_id", F.expr(_MIXED.replace("VARCHAR", "STRING")).alias("v")
-    )
+    return mixed_outputs(ev(spark, sf))
+
+
+def mixed_outputs(events):
+    mixed = events.select("event_id", F.expr(_MIXED.replace("VARCHAR", "STRING")).alias("v"))
     number = F.col("v").try_cast("int")
     rules = {"text": number.isNull(), "even": number % 2 == 0, "odd": number % 2 != 0}
     return rows.routed(mixed, rules)

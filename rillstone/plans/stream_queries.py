@@ -7,13 +7,19 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.operators import joins, topn, windows
-from rillstone.operators.rows import split_lines, split_words
+from rillstone.operators.rows import parse_json, split_lines, split_words
 from rillstone.operators.scan import count, highest, latest, lowest, total
-from rillstone.plans import join_queries, rolling_queries, state_queries, window_queries  # noqa: F401
+from rillstone.plans import (  # noqa: F401
+    join_queries,
+    rolling_queries,
+    row_queries,
+    state_queries,
+    window_queries,
+)
 from rillstone.plans.registry import CHECKS, query
 from rillstone.plans.tables import EV, shape_events, table, table_stream, two_arrivals
 from rillstone.session import fresh_path
-from rillstone.sinks.tables import read_latest, read_once, to_upsert, write_once
+from rillstone.sinks.tables import BATCH, read_latest, read_once, to_upsert, write_once
 from rillstone.streaming import stateful
 from rillstone.streaming.batches import distinct_batches, mark_late_batches, rolling_batches
 from rillstone.streaming.runner import closing_rows, run, run_to_end, write_closing_row
@@ -68,6 +74,32 @@ def stream_word_count(spark, sf):
     return read_latest(spark, out, ["word"])
 
 
+@query("stream_parse_json", CHECKS["parse_json_drop_bad"])
+def stream_parse_json(spark, sf):
+    out = fresh_path(spark, "out")
+    text = row_queries.with_broken(table_stream(spark, sf, "events"))
+    run(parse_json(text, "j", row_queries._PROPS)[0], fresh_path(spark, "progress"), path=out)
+    return spark.read.parquet(out)
+
+
+@query("stream_side_output", CHECKS["side_output_route"])
+def stream_side_output(spark, sf):
+    """One pass over each micro-batch, and a folder per output."""
+    out = fresh_path(spark, "out")
+
+    def write(df, batch_id):
+        row_queries.mixed_outputs(df).write.mode("overwrite").partitionBy("output").parquet(f"{out}/{BATCH}={batch_id}")
+
+    run(shape_events(table_stream(spark, sf, "events")), fresh_path(spark, "progress"), each=write)
+    return read_once(spark, out)
+
+
+@query("stream_geo_enrich", CHECKS["geo_enrich"])
+def stream_geo_enrich(spark, sf):
+    """A stream looking up a table."""
+    return _drained(spark, sf, lambda events: join_queries.with_province(spark, sf, events))
+
+
 @query("stream_tumble_keyed", CHECKS["tumble_keyed"])
 def stream_tumble_keyed(spark, sf):
     def build(events):

@@ -9,7 +9,7 @@ from rillstone.functions import script
 from rillstone.functions.sql import average, random_int, register_functions, register_split_udtf
 from rillstone.functions.text import concat_with, ip_number, number_ip
 from rillstone.operators import placement, rows
-from rillstone.sources import generated, kafka
+from rillstone.sources import generated, jdbc, kafka
 
 
 def column(df, name):
@@ -154,6 +154,15 @@ def test_kafka_reader_options():
     }
 
 
+def test_jdbc_reader_options():
+    assert jdbc.jdbc_options("jdbc:x", "t", "id", 1, 9, readers=2, user="u") == {
+        "url": "jdbc:x", "dbtable": "t", "fetchsize": "10000", "user": "u", "partitionColumn": "id",
+        "lowerBound": "1", "upperBound": "9", "numPartitions": "2",
+    }
+    with pytest.raises(ValueError):
+        jdbc.jdbc_options("jdbc:x", "t", "id")
+
+
 def test_lenient_csv(spark):
     schema = T.StructType.fromDDL("user_id BIGINT, item_id BIGINT, behavior STRING")
     df = spark.createDataFrame([("u01,5,view",), ("7,6,pay",), ("8",)], "value string")

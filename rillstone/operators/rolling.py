@@ -121,7 +121,8 @@ def rolling_distinct(
     """Running row count and running number of different ``value``s per key."""
     both = with_first_appearances(df, keys, seq, value).drop("_value")
     folds = distinct_folds(hits, distinct)
-    out = scan(both, keys, seq, folds, tie=["_row"], block_rows=block_rows)
+    # a key has at most one extra row per row, so counting the rows is near enough
+    out = scan(both, keys, seq, folds, tie=["_row"], block_rows=block_rows, sized_by=df)
     return out.where(F.col("_row") == 1).drop("_row", "_first")
 
 

@@ -4,16 +4,16 @@ A running aggregate is ``agg(...) OVER (PARTITION BY key ORDER BY seq)``. Writte
 rows of one key are sorted in one task, which a key with a third of the table does not survive.
 Here a key with more than ``block_rows`` rows is cut along ``seq`` into blocks:
 
-1. count rows per key (map-side combined); only keys over the limit come out, so there are at
-   most ``rows / block_rows`` of them and that list is what is broadcast. Cells of such a key that
-   are still too large, because ``seq`` is uneven, are cut once more in the same way;
+1. count rows per key (map-side combined, the one job that runs before the plan is made). If no key is
+   over the limit, the plain window is the plan. Otherwise those keys, at most ``rows / block_rows``
+   of them, are what is broadcast. Cells of such a key that are still too large, because ``seq`` is
+   uneven, are cut once more in the same way;
 2. aggregate each block of those keys (map-side combined), and run the same aggregate over the
    block totals: what a block inherits from all earlier blocks of its key;
 3. put that inherited value into the block as a first row and window over (key, block).
 
-Keys under the limit stay in one piece (block 0) and never take part in step 2: without large keys
-adaptive execution drops it. One shuffle moves full rows; the others move one row per key or per
-block. All expressions are deterministic in the input, so a lost executor recomputes the same blocks.
+Keys under the limit stay in one piece (block 0) and never take part in step 2. One shuffle moves full
+rows; the others move one row per key or per block. All expressions are deterministic in the input, so a lost executor recomputes the same blocks.
 """
 
 from __future__ import annotations
@@ -121,15 +121,20 @@ def with_blocks(
     seq: str,
     block_rows: int = BLOCK_ROWS,
     min_width: int = 1,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``_block``: 0 for keys within the limit, else a number that grows with ``seq``. Also
     ``_next_block``, and ``_block_end``, before which all of the block lies (NULL for block 0).
 
     A large key is cut into cells of equal steps of ``seq``; a cell that got more than twice its share
-    is cut again between its own first and last row. Steps are at least ``min_width`` wide.
+    is cut again between its own first and last row. Steps are at least ``min_width`` wide. ``sized_by``
+    is what to count instead of ``df``, if that is cheaper and about as large.
     """
     keys, at = list(keys), position(df, seq)
-    big = _cuts(df, keys, at, block_rows, block_rows, min_width)
+    big = _cuts(df if sized_by is None else sized_by, keys, at, block_rows, block_rows, min_width)
+    if big.isEmpty():
+        whole, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+        return df.select("*", whole.alias(BLOCK), none.alias(NEXT_BLOCK), none.alias(BLOCK_END))
     if keys:
         placed = df.join(F.broadcast(big), null_safe(df, big, keys, "_big_"), "left")
     else:  # one row at most, so it is a scalar subquery and not a join
@@ -166,14 +171,16 @@ def scan(
     tie: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
     initial: DataFrame | None = None,
+    sized_by: DataFrame | None = None,
 ) -> DataFrame:
     """Add one running column per fold: over the key's rows up to this one, or before this one.
 
     ``seq`` is the arrival order (unique per key, or made so by the ``tie`` columns). ``initial``
-    holds what keys start from: the key columns and one column per fold.
+    holds what keys start from: the key columns and one column per fold. ``sized_by``: see
+    :func:`with_blocks`.
     """
     keys = list(keys)
-    lifted = with_blocks(df, keys, seq, block_rows).drop(BLOCK_END, NEXT_BLOCK)
+    lifted = with_blocks(df, keys, seq, block_rows, sized_by=sized_by).drop(BLOCK_END, NEXT_BLOCK)
     for name, fold in folds.items():
         lifted = lifted.withColumn(name, fold.lift)
 

@@ -89,7 +89,7 @@ def distinct_batches(
         new = both.where(F.col("_row") == 0).select(*keys, F.col("_value").alias(value))
         write_once(new, pairs, batch_id)
         running = scan(
-            both.drop("_value"), keys, seq, folds, tie=["_row"], block_rows=block_rows, initial=initial
+            both.drop("_value"), keys, seq, folds, tie=["_row"], block_rows=block_rows, initial=initial, sized_by=df
         )
         write_once(running.where(F.col("_row") == 1).drop("_row", "_first"), out, batch_id)
         _reach(both, held, keys, folds, initial, batch_id)

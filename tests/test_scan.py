@@ -218,7 +218,13 @@ def test_timers_fire_once_per_key_and_time(spark):
 
 def test_plan_moves_full_rows_once(skewed):
     df, _ = skewed
-    plan = scan(df.withColumn("wide", F.lit("w")), ["key"], "seq", {"s": total("v")})
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    wide = [line for line in text.splitlines() if "Exchange hashpartitioning(key" in line and "_block" in line]
+    def exchanges(block_rows):
+        plan = scan(df.withColumn("wide", F.lit("w")), ["key"], "seq", {"s": total("v")}, block_rows=block_rows)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        return text, [line for line in text.splitlines() if "Exchange" in line]
+
+    text, all_exchanges = exchanges(2_000_000)
+    assert len(all_exchanges) == 1 and "Union" not in text  # no large key: the plain window
+    text, all_exchanges = exchanges(50)
+    wide = [line for line in all_exchanges if "hashpartitioning(key" in line and "_block" in line]
     assert len(wide) == 2 and "CartesianProduct" not in text and "BroadcastNestedLoop" not in text

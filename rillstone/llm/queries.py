@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import decontam, mixing, quality, secrets
+from rillstone.llm import chat, decontam, hmm, licenses, mixing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +52,14 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op4_chat_format")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string")
+    turns = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat.read_back(chat.format_turns(turns))
+
+
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
@@ -60,6 +68,16 @@ def op5(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("doc_id", *[F.col(f"q.{c}") for c in counts], F.array_join("q.failed", ",").alias("failed_rules"))
 
 
+@query("op6_license_scan")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.find_licenses(table(spark, sf, "documents")).drop("spans")
+
+
+@query("op8_lm_scores")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    return hmm.language_model(table(spark, sf, "documents"))
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     windows = decontam.item_windows(table(spark, sf, "benchmark"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import chat, decontam, hmm, licenses, mixing, quality, secrets
+from rillstone.llm import chat, decontam, hmm, jaccard, licenses, mixing, quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,12 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return hmm.language_model(table(spark, sf, "documents"))
 
 
+@query("op9_jaccard_join")
+def op9(spark: SparkSession, sf: str) -> DataFrame:
+    joined = jaccard.join_components(table(spark, sf, "documents"))
+    return joined.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
 @query("op10_decontamination")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     windows = decontam.item_windows(table(spark, sf, "benchmark"))

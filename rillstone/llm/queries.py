@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import chat, decontam, hmm, jaccard, licenses, mixing, quality, secrets
+from rillstone.llm import chat, decontam, hmm, jaccard, licenses, mixing, quality, secrets, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +46,12 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("op2_suffix_dedup")
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, sf, "documents"), digest=True)
+    return kept.select(F.col("doc").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.lower(F.hex("kept")).alias("kept_sha256"))
+
+
 @query("op3_mix_sources")
 def op3(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"))

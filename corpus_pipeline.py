@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rillstone.llm import decontam, mixing, quality
+from rillstone.llm import decontam, jaccard, line_dedup, mixing, quality
 from rillstone.llm.common import cut
 
 #: no SQL: line matching and the mix's schedule are not expressible in it
@@ -16,6 +16,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Runs of lines that repeat an earlier one go, and documents of which no word is left."""
+    return line_dedup.drop_repeated_lines(docs, emptied=False)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the smallest id stays."""
+    return jaccard.keep_one(docs)
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a word window of a test item go."""
     return decontam.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
@@ -28,6 +38,8 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("line dedup", line_deduplication),
+    ("n-gram Jaccard join", ngram_jaccard_join),
     ("benchmark decontamination", benchmark_decontamination),
     ("mixing sources to target weights", mixing_sources),
 ]

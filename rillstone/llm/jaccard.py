@@ -305,3 +305,16 @@ def join_components(
     return placed_docs.join(least.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left").select(
         "doc", "key", "n", F.coalesce("component", "doc").alias("component")
     )
+
+
+def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 5, part: int = 80, whole: int = 100) -> DataFrame:
+    """The documents, with their columns, less all but one of each component of near duplicates: five words and a
+    similarity of 0.8, unless given. The smallest id stays; of rows that share it, the least text hash. Documents
+    without words are linked with nothing and stay."""
+    joined = join_components(docs, doc, text, size, part, whole)
+    stays = joined.groupBy("component").agg(F.min(F.struct(F.col("doc"), F.col("key"))).alias("first")).select("first.*")
+    wordless = joined.where("n = 0").select("doc", "key")
+    kept = stays.union(wordless).distinct().select(F.col("doc").alias("_doc"), F.col("key").alias("_of"))
+    keyed = docs.withColumn("_key", row_key(doc, text))
+    first = keyed.join(kept, (F.col("_key") == F.col("_of")) & F.col(doc).cast("bigint").eqNullSafe(F.col("_doc")))
+    return first.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import SPACE, let, split_words, whole_text
+from rillstone.llm.common import SPACE, cut, let, row_key, split_words, whole_text
 
 #: share of a stratum's good documents that the chosen cutoffs may reject, and the probability of being wrong
 RISK, DOUBT = 0.05, 0.05
@@ -140,10 +140,9 @@ def choose_cutoffs(
             F.count_if(~F.col("good") & F.col("g.hit")).alias("k_bad"),
         )
     )
-    strata = counted.agg(F.count_distinct(F.coalesce(F.to_json(F.struct("stratum")), F.lit(""))).alias("n_strata"))
     share = risk / len(cutoffs)
     tested = counted.withColumn("p_value", binomial_tail(F.col("k_good"), F.col("n_good"), share))
-    n_strata = strata.first()[0] or 1  # one number
+    n_strata = holdout.select(stratum).distinct().count() or 1
     level = doubt / (len(cutoffs) * n_strata)
     return (
         tested.where((F.col("p_value") <= level) & (F.col("k_bad") > gain * F.col("k_good")))
@@ -158,44 +157,47 @@ def choose_cutoffs(
     )
 
 
-def with_verdict(
+def judge(
     docs: DataFrame,
     labels: DataFrame,
     doc: str = "doc_id",
     text: str = "text",
     stratum: str = "lang",
-    out: str = "quality_check",
     risk: float = RISK,
     doubt: float = DOUBT,
     gain: float = GAIN,
     cutoffs: dict[str, tuple[float, ...]] | None = None,
 ) -> DataFrame:
-    """Adds ``out``: the features, ``failed`` (names of the rules that reject) and ``kept``."""
+    """doc, key, stratum, q per row: q has the features, ``failed`` (names of the rules that reject) and ``kept``.
+
+    The texts are read once; what is joined and counted afterwards are their features.
+    """
     cutoffs = cutoffs or CUTOFFS
-    known = labels.where("quality IS NOT NULL").select(F.col(doc).alias("_doc"), (F.col("quality") == 1).alias("_good"))
-    holdout = docs.join(known, F.col(doc) == F.col("_doc")).select(
-        F.col(stratum).alias("_stratum"), "_good", text_features(text).alias("_f")
+    rows = cut(
+        docs.select(F.col(doc).alias("doc"), row_key(doc, text).alias("key"), F.col(stratum).alias("stratum"), text_features(text).alias("q")),
+        "features",
     )
-    rules = choose_cutoffs(holdout, "_stratum", "_f", "_good", cutoffs, risk, doubt, gain)
-    # a row per stratum: its cutoffs in the order of the features
-    per_stratum = rules.groupBy("stratum").agg(
-        *[F.min(F.when(F.col("feature") == f, F.col("cutoff"))).alias(f) for f in cutoffs]
-    ).select(F.col("stratum").alias("_stratum"), F.struct(*cutoffs).alias("_rules"))
-    joined = docs.withColumn(out, text_features(text)).join(
-        per_stratum, F.col(stratum).eqNullSafe(F.col("_stratum")), "left"
+    known = labels.where("quality IS NOT NULL").select(F.col(doc).alias("_doc"), (F.col("quality") == 1).alias("good"))
+    holdout = rows.join(known, F.col("doc") == F.col("_doc")).select("stratum", "good", "q")
+    rules = choose_cutoffs(holdout, "stratum", "q", "good", cutoffs, risk, doubt, gain)
+    # a row per stratum: its cutoffs by feature
+    per_stratum = rules.groupBy(F.col("stratum").alias("_stratum")).agg(
+        F.struct(*[F.min(F.when(F.col("feature") == f, F.col("cutoff"))).alias(f) for f in cutoffs]).alias("_rules")
     )
     failed = F.filter(
-        F.array(*[F.when(F.col(out)[f] > F.col("_rules")[f], F.lit(f)) for f in cutoffs]), lambda f: f.isNotNull()
+        F.array(*[F.when(F.col("q")[f] > F.col("_rules")[f], F.lit(f)) for f in cutoffs]), lambda f: f.isNotNull()
     )
-    kept = ~F.col(f"{out}.base_failed") & (F.size("_failed") == 0)
     return (
-        joined.withColumn("_failed", failed)
-        .withColumn(out, F.col(out).withField("failed", F.col("_failed")).withField("kept", kept))
-        .drop("_failed", "_stratum", "_rules")
+        rows.join(per_stratum, F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
+        .withColumn("_failed", failed)
+        .withColumn("q", F.col("q").withField("failed", F.col("_failed")).withField("kept", ~F.col("q.base_failed") & (F.size("_failed") == 0)))
+        .select("doc", "key", "stratum", "q")
     )
 
 
-def keep_good(docs: DataFrame, labels: DataFrame, **how: object) -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", **how: object) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    judged = with_verdict(docs, labels, out="_quality", **how)
-    return judged.where("_quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = judge(docs, labels, doc, text, **how).where("q.kept").select(F.col("doc").alias("_doc"), F.col("key").alias("_of")).distinct()
+    keyed = docs.withColumn("_key", row_key(doc, text))
+    good = keyed.join(kept, (F.col("_key") == F.col("_of")) & F.col(doc).eqNullSafe(F.col("_doc")))
+    return good.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import chat, decontam, hmm, jaccard, licenses, mixing, quality, secrets, suffix_dedup
+from rillstone.llm import chat, decontam, hmm, jaccard, licenses, line_dedup, mixing, quality, secrets, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,10 +68,11 @@ def op4(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("op5_quality_rules")
 def op5(spark: SparkSession, sf: str) -> DataFrame:
-    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
-    judged = quality.with_verdict(docs, table(spark, sf, "labels"), out="q")
+    judged = quality.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
     counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select("doc_id", *[F.col(f"q.{c}") for c in counts], F.array_join("q.failed", ",").alias("failed_rules"))
+    return judged.select(
+        F.col("doc").alias("doc_id"), *[F.col(f"q.{c}") for c in counts], F.array_join("q.failed", ",").alias("failed_rules")
+    )
 
 
 @query("op6_license_scan")
@@ -79,6 +80,13 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.find_licenses(table(spark, sf, "documents")).drop("spans")
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(docs, count="n_removed")
+    return kept.select("doc_id", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op8_lm_scores")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return hmm.language_model(table(spark, sf, "documents"))

@@ -133,9 +133,10 @@ def drop_repeated_lines(
                 if not touched[i]:
                     continue
                 lines = texts[i].split("\n")
-                gone = line_mask(len(lines), batch.column(len(names))[i].as_py())
-                texts[i] = "\n".join(line for line, g in zip(lines, gone, strict=True) if not g)
-                removed[i], keep[i] = sum(gone), emptied or bool(texts[i].encode().split())
+                mask = line_mask(len(lines), batch.column(len(names))[i].as_py())
+                left = [line for line, g in zip(lines, mask, strict=True) if not g or not line.encode().split()]
+                texts[i], removed[i] = "\n".join(left), len(lines) - len(left)
+                keep[i] = emptied or bool(texts[i].encode().split())
             columns = [batch.column(j) for j in range(len(names))]
             columns[place] = pa.array(texts, pa.string())
             out = pa.RecordBatch.from_arrays([*columns, batch.column(len(names)), pa.array(removed, pa.int64())], names=batch.schema.names)

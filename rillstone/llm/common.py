@@ -39,6 +39,30 @@ def row_key(*cols: str) -> Column:
     return F.xxhash64(*cols)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that a column of the rows has already."""
+    used, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in used:
+            name = "_" + name
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
+def columns_of(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def marked(docs: DataFrame, wanted: DataFrame, doc: str, text: str, how: str, extra: str | None = None) -> tuple[DataFrame, str]:
+    """Documents joined to rows of (doc, key, ...) by id and text hash, and the name under which ``extra`` comes along."""
+    mine, theirs, of, more = spare(docs, "_mine", "_theirs", "_of", "_more")
+    right = wanted.select(F.col("doc").alias(theirs), F.col("key").alias(of), *([F.col(extra).alias(more)] if extra else []))
+    keyed = docs.withColumn(mine, row_key(doc, text))
+    same = (F.col(mine) == F.col(of)) & F.col(doc).cast("bigint").eqNullSafe(F.col(theirs))
+    return keyed.join(right, same, how).select(*columns_of(docs), *([more] if extra else [])), more
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read from there: what follows starts from files that
     outlive any executor, and its size is known to the optimizer."""

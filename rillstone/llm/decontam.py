@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import NOT_WORD, ascii_lower, let, row_key, split_words, whole_text
+from rillstone.llm.common import NOT_WORD, ascii_lower, let, marked, row_key, split_words, whole_text
 
 WORDS = 10
 #: a set of window hashes is sent with the plan up to this many entries (8 bytes each)
@@ -123,7 +123,7 @@ def covered(spans: Column) -> Column:
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
+    docs: DataFrame, items: DataFrame, n: int = WORDS, doc: str = "doc_id", text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
 ) -> DataFrame:
     """The documents in which no window of an item occurs, with their columns."""
     windows = item_windows(items, n, item, text)
@@ -131,10 +131,8 @@ def drop_contaminated(
     if lists is not None:
         # equal hashes settle it in place but for a chance of about 1e-11 per 1e8 windows; find_hits compares words
         return docs.where(let(normal_words(text), lambda words: F.size(hits_in(words, lists)) == 0))
-    hits = find_hits(docs.select(F.lit(0).alias("_doc"), text), windows, "_doc", text, most)
-    dirty = hits.where(F.size("spans") > 0).select(F.col("key").alias("_key")).distinct()
-    keyed = docs.withColumn("_key", F.xxhash64(F.lit(0), F.col(text)))
-    return keyed.join(dirty, "_key", "left_anti").drop("_key")
+    clean = find_hits(docs, windows, doc, text, most).where(F.size("spans") == 0)
+    return marked(docs, clean, doc, text, "inner")[0]
 
 
 def remove_spans(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id") -> DataFrame:

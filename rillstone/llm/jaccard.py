@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rillstone.llm.common import cut, mix64, row_key
+from rillstone.llm.common import cut, marked, mix64, row_key
 from rillstone.llm.graph import components
 
 #: the ratio of the sizes within a band
@@ -271,8 +271,9 @@ def across_components(members: DataFrame, facts: DataFrame, part: int, whole: in
 def join_components(
     docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int = 4, part: int = 85, whole: int = 100
 ) -> DataFrame:
-    """doc, key, n, component per document: sets of ``size``-word shingles link when ``whole`` times their
-    intersection is at least ``part`` times their union; component is the smallest id that links lead to."""
+    """doc, key, n, root, component per document: sets of ``size``-word shingles link when ``whole`` times their
+    intersection is at least ``part`` times their union; root numbers what is linked
+    (NULL without words), component is the smallest id in it."""
     rows = docs.select(F.col(doc).cast("bigint").alias("doc"), row_key(doc, text).alias("key"), F.col(text).cast("string").alias("text"))
     facts = cut(describe(rows, size), "sets")
     classes = facts.where("sig IS NOT NULL").groupBy("sig").agg(
@@ -303,7 +304,7 @@ def join_components(
     placed_docs = facts.join(final.withColumnRenamed("node", "sig"), "sig", "left").select("doc", "key", "n", root.alias("root"))
     least = placed_docs.where("root IS NOT NULL").groupBy("root").agg(F.min("doc").alias("component"))
     return placed_docs.join(least.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left").select(
-        "doc", "key", "n", F.coalesce("component", "doc").alias("component")
+        "doc", "key", "n", "root", F.coalesce("component", "doc").alias("component")
     )
 
 
@@ -312,9 +313,7 @@ def keep_one(docs: DataFrame, doc: str = "doc_id", text: str = "text", size: int
     similarity of 0.8, unless given. The smallest id stays; of rows that share it, the least text hash. Documents
     without words are linked with nothing and stay."""
     joined = join_components(docs, doc, text, size, part, whole)
-    stays = joined.groupBy("component").agg(F.min(F.struct(F.col("doc"), F.col("key"))).alias("first")).select("first.*")
-    wordless = joined.where("n = 0").select("doc", "key")
-    kept = stays.union(wordless).distinct().select(F.col("doc").alias("_doc"), F.col("key").alias("_of"))
-    keyed = docs.withColumn("_key", row_key(doc, text))
-    first = keyed.join(kept, (F.col("_key") == F.col("_of")) & F.col(doc).cast("bigint").eqNullSafe(F.col("_doc")))
-    return first.select(*[F.col(f"`{c}`") for c in docs.columns])
+    least = F.min(F.struct(F.col("doc").isNull().alias("unnamed"), "doc", "key"))
+    stays = joined.where("n > 0").groupBy("root").agg(least.alias("first")).select("first.doc", "first.key")
+    kept = stays.union(joined.where("n = 0").select("doc", "key")).distinct()
+    return marked(docs, kept, doc, text, "inner")[0]

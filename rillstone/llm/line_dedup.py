@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rillstone.llm.common import cut, row_key
+from rillstone.llm.common import columns_of, cut, marked, row_key, spare
 
 LEAST_WORDS = 30
 
@@ -116,14 +116,11 @@ def drop_repeated_lines(
     """The documents with their columns and without repeated runs. ``emptied``: whether texts stay of which no word is
     left. ``count`` names a new column for the number of removed lines."""
     runs = repeated_lines(docs, doc, text, least)
-    keyed = docs.withColumn("_key", row_key(doc, text)).join(
-        runs.select(F.col("doc").alias("_doc"), F.col("key").alias("_of"), F.col("runs").alias("_runs")),
-        (F.col("_key") == F.col("_of")) & F.col(doc).cast("bigint").eqNullSafe(F.col("_doc")),
-        "left",
-    )
     names = docs.columns
     place = names.index(text)
-    kept = keyed.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text else F.col(f"`{c}`") for c in names], "_runs", F.lit(0).cast("bigint").alias("_gone"))
+    joined, more = marked(docs.withColumn(text, F.col(text).cast("string")), runs, doc, text, "left", "runs")
+    gone_name = spare(joined, "_gone")[0]
+    kept = joined.withColumn(gone_name, F.lit(0).cast("bigint"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,5 +140,4 @@ def drop_repeated_lines(
             yield out.filter(pa.array(keep))
 
     done = kept.mapInArrow(run, kept.schema)
-    out = done.select(*[F.col(f"`{c}`") for c in names], *([F.col("_gone").alias(count)] if count else []))
-    return out
+    return done.select(*columns_of(docs), *([F.col(gone_name).alias(count)] if count else []))

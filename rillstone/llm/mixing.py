@@ -15,7 +15,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rillstone.llm.common import cut, split_words, whole_text
+from rillstone.llm.common import columns_of, cut, spare, split_words, whole_text
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -215,12 +215,13 @@ def mix_documents(docs: DataFrame, doc: str = "doc_id", text: str = "text", sour
     ).groupBy("_doc", "_mixed_key", "_source").agg(
         *[F.max(c).alias(c) for c in ("size", "source_size", "target")], F.sort_array(F.collect_list("taken"), asc=False).alias("_each")
     )
-    # rows equal in id, text and source are one document here: its first row stands for all
+    # rows equal in id, text and source each say what the mix takes of the first of them
     new = ("size", "source_size", "target", "taken")
-    kept = [c for c in docs.columns if c not in new]
-    keyed = docs.select(*[F.col(f"`{c}`") for c in kept]).withColumn("_text_key", F.xxhash64(text))
-    return (
-        keyed.join(taken, F.col(doc).eqNullSafe(F.col("_doc")) & (F.col("_text_key") == F.col("_mixed_key"))
-                   & F.col(source).cast("string").eqNullSafe(F.col("_source")))
-        .select(*[F.col(f"`{c}`") for c in kept], "size", "source_size", "target", F.get("_each", F.lit(0)).alias("taken"))
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in new])
+    mine, doc_, key_, of_, size_, source_size_, target_, each_ = spare(kept, "_mine", "_d", "_k", "_s", "_size", "_source_size", "_target", "_each")
+    renamed = taken.toDF(doc_, key_, of_, size_, source_size_, target_, each_)
+    same = F.col(doc).eqNullSafe(F.col(doc_)) & (F.col(mine) == F.col(key_)) & F.col(source).cast("string").eqNullSafe(F.col(of_))
+    return kept.withColumn(mine, F.xxhash64(text)).join(renamed, same).select(
+        *columns_of(kept), F.col(size_).alias("size"), F.col(source_size_).alias("source_size"), F.col(target_).alias("target"),
+        F.get(each_, F.lit(0)).alias("taken"),
     )

@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import SPACE, cut, let, row_key, split_words, whole_text
+from rillstone.llm.common import SPACE, cut, let, marked, row_key, split_words, whole_text
 
 #: share of a stratum's good documents that the chosen cutoffs may reject, and the probability of being wrong
 RISK, DOUBT = 0.05, 0.05
@@ -174,7 +174,7 @@ def judge(
     """
     cutoffs = cutoffs or CUTOFFS
     rows = cut(
-        docs.select(F.col(doc).alias("doc"), row_key(doc, text).alias("key"), F.col(stratum).alias("stratum"), text_features(text).alias("q")),
+        docs.select(F.col(doc).cast("bigint").alias("doc"), row_key(doc, text).alias("key"), F.col(stratum).alias("stratum"), text_features(text).alias("q")),
         "features",
     )
     known = labels.where("quality IS NOT NULL").select(F.col(doc).alias("_doc"), (F.col("quality") == 1).alias("good"))
@@ -197,7 +197,5 @@ def judge(
 
 def keep_good(docs: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", **how: object) -> DataFrame:
     """The documents that no rule rejects, with their columns."""
-    kept = judge(docs, labels, doc, text, **how).where("q.kept").select(F.col("doc").alias("_doc"), F.col("key").alias("_of")).distinct()
-    keyed = docs.withColumn("_key", row_key(doc, text))
-    good = keyed.join(kept, (F.col("_key") == F.col("_of")) & F.col(doc).eqNullSafe(F.col("_doc")))
-    return good.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = judge(docs, labels, doc, text, **how).where("q.kept").select("doc", "key").distinct()
+    return marked(docs, kept, doc, text, "inner")[0]

@@ -326,13 +326,16 @@ def repeated_ranges(docs: DataFrame, doc: str = "doc_id", text: str = "text", lo
     # where no id repeats, none needs the text's hash beside it
     key = row_key(doc, text) if ids > 1 else F.lit(0).cast("bigint")
     rows = docs.select(F.col(doc).alias("doc"), at.alias("at"), key.alias("key"), F.col(text).cast("string").alias("text"))
-    found = cut(repeated_stretches(stretch_rows(rows.select("at", "key", "text"), long, gram)), "stretches")
+    once = rows.select("at", "key", "text")
+    if ids > 1:
+        once = once.dropDuplicates(["at", "key"])
+    found = cut(repeated_stretches(stretch_rows(once, long, gram)), "stretches")
     search = found.where("NOT repeated")
     crowds = search.groupBy("least").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD)
     wanted = search.join(crowds.select(F.col("least").alias("_least")), F.col("least") == F.col("_least"), "left").withColumn(
         "crowded", F.col("_least").isNotNull()
     )
-    parts = cut(stretch_texts(rows.select("at", "key", "text"), wanted, long), "parts")
+    parts = cut(stretch_texts(once, wanted, long), "parts")
     whole = found.where("repeated").select("at", "key", "start", (F.col("start") + F.col("n") + (long - 1)).alias("end"))
     again = parts.where("again").select("at", "key", "start", (F.col("start") + long).alias("end"))
     return rows, whole.union(again).union(search_buckets(parts, long))

@@ -22,7 +22,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.llm.common import cut, row_key
 
-STATES, PASSES = 4, 3
+STATES, PASSES = 6, 3
+#: how likely a state goes on before training
+GO_ON = 0.95
 #: words that are symbols of the model, and words whose count travels with the tasks; both bounds on what is sent
 OWN, KNOWN = 8_192, 262_144
 #: the words of a task that are counted at once, the tokens that are trained on at once, and a training stretch
@@ -162,15 +164,16 @@ class Model:
 
 
 def first_model(vocabulary: Vocabulary, states: int) -> Model:
-    """Shares of the symbols, and states made unequal by fixed pseudo-random numbers."""
+    """Shares of the symbols, made unequal between the states by fixed pseudo-random numbers. A state mostly goes on:
+    if it did not, the states would start so alike that training leaves them so."""
     noise = np.random.default_rng(11)
     share = np.zeros(vocabulary.n_symbols)
     for word, symbol in vocabulary.own.items():
         share[symbol] = vocabulary.known.get(word, 0)
     share[len(vocabulary.own) :] = vocabulary.class_tokens
-    emit = (share + 0.1)[:, None] * (0.5 + noise.random((len(share), states)))
-    move = 0.5 + noise.random((states, states))
-    return Model(np.full(states, 1 / states), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+    emit = (share + 0.1)[:, None] * np.exp(noise.standard_normal((len(share), states)))
+    move = (1 - GO_ON) / states + GO_ON * np.eye(states)
+    return Model(np.full(states, 1 / states), move, emit / emit.sum(0))
 
 
 def by_time(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

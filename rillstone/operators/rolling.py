@@ -18,6 +18,7 @@ from rillstone.operators.scan import (
     highest,
     lowest,
     null_safe,
+    position,
     scan,
     total,
 )
@@ -68,11 +69,15 @@ def rolling_by(
 ) -> DataFrame:
     """The whole row that has the running max (or min) of ``by``; ties go to the first or the latest row.
 
-    ``<seq>_at`` names the row that was taken.
+    ``<seq>_at`` names the row that was taken. Rows whose ``by`` is NULL are never taken; before any other
+    row all columns are NULL.
     """
     others = [c for c in df.columns if c not in keys and c != seq]
-    earlier_wins = F.lit(-1 if first_on_tie == largest else 1) * F.col(seq)
-    row = F.struct(F.col(by).alias("by"), earlier_wins.alias("rank"), F.struct(seq, *others).alias("row"))
+    earlier_wins = F.lit(-1 if first_on_tie == largest else 1) * position(df, seq)
+    row = F.when(
+        F.col(by).isNotNull(),
+        F.struct(F.col(by).alias("by"), earlier_wins.alias("rank"), F.struct(seq, *others).alias("row")),
+    )
     out = scan(
         df, keys, seq, {"_best": (highest if largest else lowest)(row)}, block_rows=block_rows
     )

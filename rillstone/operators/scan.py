@@ -4,10 +4,11 @@ A running aggregate is ``agg(...) OVER (PARTITION BY key ORDER BY seq)``. Writte
 rows of one key are sorted in one task, which a key with a third of the table does not survive.
 Here a key with more than ``block_rows`` rows is cut along ``seq`` into blocks:
 
-1. count rows per key (map-side combined, the one job that runs before the plan is made). If no key is
-   over the limit, the plain window is the plan. Otherwise those keys, at most ``rows / block_rows``
-   of them, are what is broadcast. Cells of such a key that are still too large, because ``seq`` is
-   uneven, are cut once more in the same way;
+1. count rows per key (map-side combined, the one job that always runs before the plan is made). If no key is
+   over the limit, the plain window is the plan. Otherwise the rows are written to the shared folder, so that an
+   expensive input is computed twice at most, and the large keys are cut at quantiles of ``seq``: into
+   ``rows / block_rows`` blocks of about equally many rows, however uneven ``seq`` is. Rows of one key with
+   one ``seq`` value stay together;
 2. aggregate each block of those keys (map-side combined), and run the same aggregate over the
    block totals: what a block inherits from all earlier blocks of its key;
 3. put that inherited value into the block as a first row and window over (key, block).
@@ -23,18 +24,16 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from rillstone.session import written
 from rillstone.timeunits import epoch_micros
 
 #: rows of one key that one task sorts and scans; more than this and the key is split
 BLOCK_ROWS = 2_000_000
 
-BLOCK, BLOCK_END, NEXT_BLOCK, REAL = "_block", "_block_end", "_next_block", "_real"
+BLOCK, CUTS, REAL = "_block", "_cuts", "_real"
 
-#: a split key is cut into at least this many cells, fine enough to set stray early or late rows apart
-MIN_CELLS = 1024
-
-#: room for the pieces of one cell in a block number
-_PIECES = 1 << 24
+#: cuts that are looked through at a time: a place is found by the first cuts of all groups, then in one group
+_GROUP = 64
 
 
 @dataclass(frozen=True)
@@ -93,26 +92,35 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], prefix: st
     return condition
 
 
-def _cuts(
-    df: DataFrame, keys: Sequence[str], at: Column, block_rows: int, limit: int, min_width: int
-) -> DataFrame:
-    """Groups of more than ``limit`` rows: first and last position, and the width of equal steps that
-    hold at most ``block_rows`` rows on average."""
-    pieces = F.greatest(F.ceil(F.col("_n") / F.lit(block_rows)), F.lit(MIN_CELLS))
-    step = F.ceil((F.col("_hi") - F.col("_lo") + 1) / pieces).cast("bigint")
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(at).alias("_lo"), F.max(at).alias("_hi"))
-        .where(F.col("_n") > limit)
-        .select(
-            *[F.col(k).alias("_big_" + k) for k in keys],
-            F.struct(
-                F.col("_lo").alias("lo"),
-                F.col("_hi").alias("hi"),
-                F.greatest(F.lit(min_width).cast("bigint"), step).alias("width"),
-            ).alias("_cut"),
-        )
+def block_at(at: Column) -> Column:
+    """The block of a large key that a position belongs to: 1 plus the number of cuts up to it."""
+    groups = F.size(F.filter(F.col(f"{CUTS}.heads"), lambda cut: cut <= at))
+    first = F.greatest(groups - 1, F.lit(0)) * _GROUP
+    inside = F.filter(F.slice(f"{CUTS}.cuts", first + 1, F.lit(_GROUP)), lambda cut: cut <= at)
+    return (first + F.size(inside) + 1).cast("bigint")
+
+
+def _large_keys(stored: DataFrame, keys: Sequence[str], at: Column, block_rows: int) -> DataFrame:
+    """Keys over the limit, as ``_big_<key>``, with their cuts: quantiles that part them into ``n / block_rows`` blocks."""
+    counted = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+    large = written(counted.select(*[F.col(k).alias("_big_" + k) for k in keys], "_n"), "large-keys")
+    most = large.agg(F.max("_n")).first()[0] or 0
+    pieces = max(2, -(-most // block_rows))
+    rows = stored.select(*keys, at.alias("_at"))
+    rows = rows.join(large, null_safe(rows, large, keys, "_big_")) if keys else rows.withColumn("_n", large.scalar())
+    shares = [i / pieces for i in range(1, pieces)]
+    quantiles = F.percentile_approx("_at", shares, max(10_000, 50 * pieces))
+    parted = rows.groupBy(*["_big_" + k for k in keys], "_n").agg(quantiles.alias("_q"))
+    wanted = F.ceil(F.col("_n") / block_rows)
+    picked = F.transform(
+        F.sequence(F.lit(1).cast("bigint"), wanted - 1),
+        lambda j: F.get("_q", (F.floor(j * pieces / wanted) - 1).cast("int")),
+    )
+    cuts = parted.select(*["_big_" + k for k in keys], F.sort_array(F.array_distinct(picked)).alias("_c"))
+    heads = F.transform(
+        F.sequence(F.lit(0), F.floor((F.size("_c") - 1) / _GROUP).cast("int")), lambda g: F.get("_c", g * _GROUP)
     )
+    return written(cuts.select(*["_big_" + k for k in keys], F.struct(heads.alias("heads"), F.col("_c").alias("cuts")).alias(CUTS)), "cuts")
 
 
 def with_blocks(
@@ -120,45 +128,26 @@ def with_blocks(
     keys: Sequence[str],
     seq: str,
     block_rows: int = BLOCK_ROWS,
-    min_width: int = 1,
     sized_by: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``_block``: 0 for keys within the limit, else a number that grows with ``seq``. Also
-    ``_next_block``, and ``_block_end``, before which all of the block lies (NULL for block 0).
+    """Add ``_block``: 0 for keys within the limit, else a number from 1 that grows with ``seq``; and ``_cuts``, where
+    the key is cut (NULL for block 0, see :func:`block_at`).
 
-    A large key is cut into cells of equal steps of ``seq``; a cell that got more than twice its share
-    is cut again between its own first and last row. Steps are at least ``min_width`` wide. ``sized_by``
-    is what to count instead of ``df``, if that is cheaper and about as large.
+    ``sized_by`` is what to count first instead of ``df``, if that is cheaper and about as large.
     """
     keys, at = list(keys), position(df, seq)
-    big = _cuts(df if sized_by is None else sized_by, keys, at, block_rows, block_rows, min_width)
-    if big.isEmpty():
-        whole, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
-        return df.select("*", whole.alias(BLOCK), none.alias(NEXT_BLOCK), none.alias(BLOCK_END))
+    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if (sizes.agg(F.max("_n")).first()[0] or 0) <= block_rows:
+        none = F.lit(None).cast("struct<heads:array<bigint>,cuts:array<bigint>>")
+        return df.select("*", F.lit(0).cast("bigint").alias(BLOCK), none.alias(CUTS))
+    stored = written(df, "ordered")
+    large = _large_keys(stored, keys, at, block_rows)
     if keys:
-        placed = df.join(F.broadcast(big), null_safe(df, big, keys, "_big_"), "left")
+        placed = stored.join(large, null_safe(stored, large, keys, "_big_"), "left")
     else:  # one row at most, so it is a scalar subquery and not a join
-        placed = df.withColumn("_cut", big.scalar())
-    first = F.floor((at - F.col("_cut.lo")) / F.col("_cut.width")).cast("bigint")
-    celled = placed.select(
-        *[F.col(c) for c in df.columns],
-        first.alias("_cell"),
-        (F.col("_cut.lo") + F.col("_cut.width") * (first + 1)).alias("_cell_end"),
-    )
-
-    in_cell = [*keys, "_cell"]
-    uneven = _cuts(celled.where(F.col("_cell").isNotNull()), in_cell, at, block_rows, 2 * block_rows, min_width)
-    cut = celled.join(F.broadcast(uneven), null_safe(celled, uneven, in_cell, "_big_"), "left")
-    lo, hi, width = (F.col(f"_cut.{name}") for name in ("lo", "hi", "width"))
-    second = F.coalesce(F.floor((at - lo) / width).cast("bigint"), F.lit(0).cast("bigint"))
-    more = F.coalesce(second < F.floor((hi - lo) / width), F.lit(False))
-    here, next_cell = F.col("_cell") * _PIECES + second + 1, (F.col("_cell") + 1) * _PIECES + 1
-    return cut.select(
-        *[F.col(c) for c in df.columns],
-        F.coalesce(here, F.lit(0).cast("bigint")).alias(BLOCK),
-        F.when(more, here + 1).otherwise(next_cell).alias(NEXT_BLOCK),
-        F.least(F.col("_cell_end"), lo + width * (second + 1)).alias(BLOCK_END),
-    )
+        placed = stored.withColumn(CUTS, large.scalar())
+    block = F.when(F.col(CUTS).isNull(), F.lit(0).cast("bigint")).otherwise(block_at(at))
+    return placed.select(*[F.col(c) for c in df.columns], block.alias(BLOCK), CUTS)
 
 
 def scan(
@@ -180,7 +169,7 @@ def scan(
     :func:`with_blocks`.
     """
     keys = list(keys)
-    lifted = with_blocks(df, keys, seq, block_rows, sized_by=sized_by).drop(BLOCK_END, NEXT_BLOCK)
+    lifted = with_blocks(df, keys, seq, block_rows, sized_by=sized_by).drop(CUTS)
     for name, fold in folds.items():
         lifted = lifted.withColumn(name, fold.lift)
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rillstone.operators.scan import BLOCK, BLOCK_END, BLOCK_ROWS, NEXT_BLOCK, REAL, with_blocks
+from rillstone.operators.scan import BLOCK, BLOCK_ROWS, CUTS, REAL, block_at, with_blocks
 from rillstone.timeunits import as_micros, epoch_micros, interval
 
 
@@ -28,6 +28,7 @@ def rolling_ttl(
     keys, micros = list(keys), as_micros(ttl)
     rows = (
         with_blocks(df, keys, seq, block_rows)
+        .drop(CUTS)
         .withColumn("_at", epoch_micros(ts))
         .withColumn("_v", F.coalesce(F.col(value), F.lit(0)))
         .withColumn(REAL, F.lit(1))
@@ -91,7 +92,7 @@ def last_n(
 ) -> DataFrame:
     """Per row the last ``n`` values of its key, oldest first. Blocks repeat the ``n - 1`` rows before them."""
     keys = list(keys)
-    rows = with_blocks(df, keys, seq, block_rows).withColumn(REAL, F.lit(1))
+    rows = with_blocks(df, keys, seq, block_rows).drop(CUTS).withColumn(REAL, F.lit(1))
     newest_first = Window.partitionBy(*keys, BLOCK).orderBy(F.col(seq).desc())
     tails = (
         rows.where(F.col(BLOCK) > 0)
@@ -134,28 +135,31 @@ def last_within(
 ) -> DataFrame:
     """Per row the key's values that arrived less than ``ttl`` ago, oldest first.
 
-    Blocks of a split key are cut along ``ts`` and at least ``ttl`` long, so a block needs only the
-    last ``ttl`` of the one before it; those rows are copied over.
+    A split key is cut along ``ts``, and each row is copied to the later blocks that start while it lives. A row's
+    list is as long as the key has rows in ``ttl``, so the result grows with their product.
     """
     keys, micros = list(keys), as_micros(ttl)
     rows = (
-        with_blocks(df, keys, ts, block_rows, min_width=micros)
+        with_blocks(df, keys, ts, block_rows)
         .withColumn("_at", epoch_micros(ts))
+        .withColumn("_seq", F.col(seq))
+        .withColumn("_value", F.col(value))
         .withColumn(REAL, F.lit(1))
     )
+    later = F.explode(F.sequence(F.col(BLOCK) + 1, block_at(F.col("_at") + (micros - 1))))
     copies = (
-        rows.where(F.col("_at") > F.col(BLOCK_END) - micros)
-        .select(*keys, F.col(NEXT_BLOCK).alias(BLOCK), seq, value, "_at", F.lit(0).alias(REAL))
+        rows.where((F.col(BLOCK) > 0) & (block_at(F.col("_at") + (micros - 1)) > F.col(BLOCK)))
+        .select(*keys, later.alias(BLOCK), "_seq", "_value", "_at", F.lit(0).alias(REAL))
     )
     frame = Window.partitionBy(*keys, BLOCK).orderBy("_at").rangeBetween(-(micros - 1), 0)
     lists = (
-        rows.unionByName(copies, allowMissingColumns=True)
-        .withColumn("_live", F.collect_list(F.struct("_at", seq, value)).over(frame))
+        rows.drop(CUTS).unionByName(copies, allowMissingColumns=True)
+        .withColumn("_live", F.collect_list(F.struct("_at", "_seq", "_value")).over(frame))
         .where(F.col(REAL) == 1)
     )
     # rows of the very same time share a frame; those that arrived later are not there yet
-    arrived = F.filter(F.sort_array("_live"), lambda x: x[seq] <= F.col(seq))
-    return lists.select(*df.columns, F.transform(arrived, lambda x: x[value]).alias(out))
+    arrived = F.filter(F.sort_array("_live"), lambda x: x["_seq"] <= F.col("_seq"))
+    return lists.select(*df.columns, F.transform(arrived, lambda x: x["_value"]).alias(out))
 
 
 def delayed(

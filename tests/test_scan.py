@@ -6,7 +6,6 @@ import pytest
 from conftest import at, by_key
 from pyspark.sql import functions as F
 
-import rillstone.operators.scan as scan_module
 from rillstone.operators import rolling, state
 from rillstone.operators.scan import (
     BLOCK,
@@ -22,12 +21,6 @@ from rillstone.operators.scan import (
 SIZES = [2_000_000, 50, 7, 1]
 
 
-@pytest.fixture(autouse=True)
-def few_cells(monkeypatch):
-    """Blocks of several rows even for 300 rows."""
-    monkeypatch.setattr(scan_module, "MIN_CELLS", 1)
-
-
 def test_only_large_keys_are_split_and_no_block_is_large(skewed):
     df, rows = skewed
     sizes = {
@@ -61,9 +54,8 @@ def test_running_aggregates(skewed, block_rows):
 
 
 @pytest.mark.parametrize("keys", [["key"], []])
-def test_uneven_order_is_cut_again(spark, monkeypatch, keys):
+def test_uneven_order_is_cut_evenly(spark, keys):
     """Microseconds of one second in 2024, and two stray rows: the year 1970 and the year 9999."""
-    monkeypatch.setattr(scan_module, "MIN_CELLS", 1024)
     places = [0, *range(1_704_067_200_000_000, 1_704_067_201_000_000, 2000), 253_402_300_799_000_000]
     df = spark.createDataFrame([(p, "k", 1) for p in places], "seq bigint, key string, v bigint")
     blocks = with_blocks(df, keys, "seq", 20)
@@ -82,6 +74,42 @@ def test_live_values_with_uneven_times(spark):
         assert r["live_values"] == [str(i) for i, t in enumerate(times) if ms - 3000 < t <= ms]
 
 
+def test_gaps_at_three_scales_and_many_rows_at_one_place(spark):
+    places = [*range(3000), *range(10**9, 10**9 + 1500), *range(10**15, 10**15 + 500), 10**18]
+    df = spark.createDataFrame([(p, "k", 1) for p in places], "seq bigint, key string, v bigint")
+    sizes = [r["count"] for r in with_blocks(df, ["key"], "seq", 50).groupBy(BLOCK).count().collect()]
+    assert max(sizes) <= 100 and len(sizes) >= len(places) / 100
+    same = spark.createDataFrame([(i, 7, "k", 1) for i in range(3000)], "id bigint, seq bigint, key string, v bigint")
+    out = scan(same, ["key"], "seq", {"s": total("v")}, tie=["id"], block_rows=50)
+    assert {r["id"]: r["s"] for r in out.collect()} == {i: i + 1 for i in range(3000)}
+
+
+def test_many_cuts_of_one_key(spark):
+    df = spark.range(5000).select(F.col("id").alias("seq"), F.lit("k").alias("key"), F.lit(1).cast("bigint").alias("v"))
+    out = scan(df, ["key"], "seq", {"s": total("v")}, block_rows=20)
+    assert out.where("s != seq + 1").count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [3, 10, 25])
+def test_live_values_reach_over_several_blocks(spark, block_rows):
+    """A crowd of rows at one time, and rows within the expiry behind it."""
+    times = [*range(0, 40_000, 1000), *[40_000] * 60, *[40_000 + 7 * i for i in range(60)], *range(41_000, 80_000, 500)]
+    df = spark.createDataFrame([(i, "k", at(ms)) for i, ms in enumerate(times)], "seq bigint, key string, ts timestamp_ntz")
+    out = state.last_within(df, ["key"], "seq", "ts", "3 seconds", "seq", block_rows=block_rows).orderBy("seq")
+    for i, (r, ms) in enumerate(zip(out.collect(), times, strict=True)):
+        assert r["live_values"] == [j for j, t in enumerate(times[: i + 1]) if ms - 3000 < t]
+
+
+def test_arg_extreme_leaves_null_out_and_takes_times(spark):
+    df = spark.createDataFrame(
+        [(at(i), "p", c, m) for i, (c, m) in enumerate([("v", None), ("x", 5), ("y", None), ("z", 3)])],
+        "ts timestamp_ntz, p string, city string, money int",
+    )
+    for block_rows in (100, 1):
+        out = rolling.rolling_by(df, ["p"], "ts", "money", largest=False, block_rows=block_rows).orderBy("ts")
+        assert [r["city"] for r in out.collect()] == [None, "x", "x", "z"]
+
+
 @pytest.mark.parametrize("block_rows", SIZES)
 def test_no_key_and_rows_before_only(skewed, block_rows):
     df, rows = skewed

@@ -8,8 +8,8 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 
 def register_functions(spark: SparkSession) -> None:
-    """``my_concat_ws(sep, a, b)``, ``my_avg_of(total, n)``, ``rand_int(n)``, ``ip_number(ip)``
-    and the table function ``split_words(line, sep)`` for this session."""
+    """``my_concat_ws(sep, a, b)``, ``rand_int(n)``, ``ip_number(ip)``
+    and the table function ``split_words(line, sep)``, which leaves out empty words at the end, for this session."""
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION my_concat_ws(sep STRING, a STRING, b STRING) "
         "RETURNS STRING RETURN a || sep || b"
@@ -25,8 +25,9 @@ def register_functions(spark: SparkSession) -> None:
     )
     spark.sql(
         "CREATE OR REPLACE TEMPORARY FUNCTION split_words(line STRING, sep STRING) "
-        "RETURNS TABLE(word STRING) RETURN SELECT w FROM (SELECT explode(split("
-        "line, concat('\\\\Q', sep, '\\\\E'), -1)) AS w)"
+        "RETURNS TABLE(word STRING) RETURN SELECT w FROM (SELECT explode(CASE WHEN line = '' THEN array('') ELSE "
+        "transform(array(split(line, concat('\\\\Q', sep, '\\\\E'), -1)), words -> slice(words, 1, "
+        "array_max(transform(words, (x, i) -> IF(x <> '', i + 1, 0)))))[0] END) AS w)"
     )
 
 
@@ -40,13 +41,16 @@ def random_int(n: int) -> Column:
 
 
 def register_split_udtf(spark: SparkSession, name: str = "py_split_words") -> None:
-    """The same table function in Python, for rules SQL cannot state; one Python call per row."""
+    """The same table function in Python, for rules SQL cannot state; rows come and go in Arrow batches."""
 
-    @F.udtf(returnType="word: string")
+    @F.udtf(returnType="word: string", useArrow=True)
     class SplitWords:
         def eval(self, line: str, sep: str) -> Iterator[tuple[str]]:
             if line is not None:
-                for word in line.split(sep):
+                words = line.split(sep)
+                while len(words) > 1 and not words[-1] or line and words == [""]:
+                    words.pop()  # empty words at the end don't count
+                for word in words:
                     yield (word,)
 
     spark.udtf.register(name, SplitWords)

@@ -10,7 +10,6 @@ from rillstone.functions.text import ip_number
 from rillstone.operators.scan import BLOCK_ROWS, Fold, latest, scan
 from rillstone.operators.skew import (
     BROADCAST_BYTES,
-    SALTS,
     estimated_bytes,
     lookup,
     salted_sides,
@@ -196,38 +195,36 @@ def range_lookup(
     df: DataFrame,
     rules: DataFrame,
     number: str,
-    bucket_size: int = 1 << 20,
     start: str = "range_start",
     end: str = "range_end",
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """The row of ``rules`` whose closed range holds ``number``; NULL columns where none does.
 
-    Ranges do not overlap. The number line is cut into buckets and each rule is repeated in every
-    bucket it touches (at most one row per rule and one per bucket more: 4096 buckets for IPv4), so
-    this is a hash join on the bucket: broadcast if the rules are small, otherwise shuffled with
-    each bucket's rows spread over ``salts`` pieces.
+    Ranges do not overlap. Rules are sorted into classes by their width, 8 bits to a class. The number line of
+    a class is cut into buckets of its greatest width, so a rule touches two buckets and a bucket has some hundred
+    rules at most, be the ranges narrow or as wide as the line. Each class present (8 at most) is a hash join on
+    the bucket; the joins follow each other over the same rows.
     """
-    bucketed = rules.withColumn(
-        "_bucket",
-        F.explode(F.sequence(F.floor(F.col(start) / bucket_size), F.floor(F.col(end) / bucket_size))),
-    )
-    left = df.withColumn("_bucket", F.floor(F.col(number) / bucket_size))
-    on = ["_bucket"]
-    if estimated_bytes(bucketed) <= broadcast_bytes:
-        bucketed = F.broadcast(bucketed)
-    else:
-        left, bucketed, salt = salted_sides(left, bucketed, salts)
-        on += salt
-    l, r = left.alias("l"), bucketed.alias("r")
-    condition = F.col(f"l.{number}").between(F.col(f"r.{start}"), F.col(f"r.{end}"))
-    for c in on:
-        condition = condition & (F.col(f"l.{c}") == F.col(f"r.{c}"))
     extra = [c for c in rules.columns if c not in (start, end)]
-    return l.join(r, condition, "left").select(
-        *[f"l.{c}" for c in df.columns], *[f"r.{c}" for c in extra]
+    bits = F.ceil(F.log2(F.col(end).cast("double") - F.col(start).cast("double") + 1))
+    classed = rules.where(F.col(end) >= F.col(start)).withColumn(
+        "_shift", F.least(F.greatest(F.ceil(bits / 8) * 8, F.lit(8)), F.lit(56)).cast("int")
     )
+    shifts = sorted(r[0] for r in classed.select("_shift").distinct().collect())  # 7 numbers at most
+    if not shifts:
+        return df.select("*", *[F.lit(None).cast(rules.schema[c].dataType).alias(c) for c in extra])
+    small = 3 * estimated_bytes(rules) <= broadcast_bytes
+    out = df.withColumn("_rule", F.lit(None).cast(classed.select(F.struct(*extra).alias("r")).schema["r"].dataType))
+    for shift in shifts:
+        buckets = F.sequence(F.shiftright(start, shift), F.shiftright(end, shift))
+        right = classed.where(F.col("_shift") == shift).select(
+            F.explode(buckets).alias("_bucket"), F.col(start).alias("_from"), F.col(end).alias("_to"), F.struct(*extra).alias("_found")
+        )
+        inside = (F.shiftright(number, shift) == F.col("_bucket")) & F.col(number).between(F.col("_from"), F.col("_to"))
+        joined = out.join(F.broadcast(right) if small else right, inside, "left")
+        out = joined.withColumn("_rule", F.coalesce("_rule", "_found")).drop("_bucket", "_from", "_to", "_found")
+    return out.select(*df.columns, *[F.col(f"_rule.{c}").alias(c) for c in extra])
 
 
 def ip_lookup(df: DataFrame, rules: DataFrame, ip: str, **options: object) -> DataFrame:

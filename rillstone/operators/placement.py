@@ -10,8 +10,10 @@ def round_robin(df: DataFrame, n: int) -> DataFrame:
 
 
 def random_spread(df: DataFrame, n: int) -> DataFrame:
-    """Spread without regard to content but the same way on a retry: by a hash of the row."""
-    return df.repartition(n, F.xxhash64(*df.columns))
+    """Spread without regard to content but the same way on a retry: by a hash of the row and its place
+    in what is read, so that equal rows spread too."""
+    hashable = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return df.repartition(n, F.xxhash64(*hashable, F.monotonically_increasing_id()))
 
 
 def by_key(df: DataFrame, n: int, *keys: str) -> DataFrame:

@@ -60,12 +60,16 @@ def lookup(
     """Join rows to a dimension by equal keys.
 
     A dimension whose estimated size is within ``broadcast_bytes`` is broadcast and the rows stay
-    where they are. Otherwise both sides are shuffled: each key's rows are spread over ``salts``
-    pieces and every dimension row is repeated once per piece.
+    where they are. Otherwise both sides are shuffled, each row once: adaptive execution splits the partitions of
+    hot keys. Where it is switched off, each key's rows are spread over ``salts`` pieces and every dimension row is
+    repeated once per piece.
     """
     if how not in ("left", "inner"):
         raise ValueError("a lookup is a left or an inner join")
     if estimated_bytes(dim) <= broadcast_bytes:
         return df.join(F.broadcast(dim), list(on), how)
+    settings = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if all(df.sparkSession.conf.get(name, "true") == "true" for name in settings):
+        return df.join(dim, list(on), how)
     left, right, salt = salted_sides(df, dim, salts)
     return left.join(right, [*on, *salt], how).drop(*salt)

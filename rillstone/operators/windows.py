@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rillstone.operators.scan import BLOCK_ROWS, Fold, count, highest, scan
+from rillstone.session import written
 from rillstone.timeunits import as_micros, epoch_micros, interval, interval_text
 
 #: rows in one element of a collected window; longer windows come out in several numbered parts
@@ -178,32 +179,49 @@ def session(
     )
 
 
-def tumble_collect(
+def tumble_rows(
     df: DataFrame,
     ts: str,
     size: str,
     seq: str,
     cols: Sequence[str],
     keys: Sequence[str] = (),
-    part_rows: int = PART_ROWS,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """All rows of each window, in arrival order, as the array ``rows``.
-
-    A window of more than ``part_rows`` rows comes out as several arrays, numbered by ``part``: all
-    rows are there, and no array outgrows a task.
-    """
+    """The rows of each window with their ``position`` in it by arrival, from 1: one row per window and element,
+    however many a window has."""
     keys = list(keys)
     start = F.window(ts, interval_text(size))
     placed = df.select(
         *keys, seq, *[c for c in cols if c not in keys and c != seq], start.alias("_w")
     ).select("*", F.col("_w.start").alias("window_start"), F.col("_w.end").alias("window_end"))
     where = [*keys, "window_start", "window_end"]
-    numbered = scan(placed.drop("_w"), where, seq, {"_i": count()}, block_rows=block_rows)
+    return scan(placed.drop("_w"), where, seq, {"position": count()}, block_rows=block_rows)
+
+
+def tumble_collect(
+    df: DataFrame,
+    ts: str,
+    size: str,
+    seq: str,
+    cols: Sequence[str],
+    keys: Sequence[str] = (),
+    most: int = PART_ROWS,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """All rows of each window, in arrival order, as the array ``rows``.
+
+    An array is one value in one task, so a window of more than ``most`` rows is an error; :func:`tumble_rows` takes
+    windows of any size.
+    """
+    where = [*keys, "window_start", "window_end"]
+    numbered = tumble_rows(df, ts, size, seq, cols, keys, block_rows)
+    fits = F.assert_true(F.col("position") <= most, F.lit(f"a window has more than {most} rows"))
     return (
-        numbered.groupBy(*where, F.floor((F.col("_i") - 1) / part_rows).cast("bigint").alias("part"))
+        numbered.where(fits.isNull())
+        .groupBy(*where)
         .agg(F.sort_array(F.collect_list(F.struct(seq, *cols))).alias("rows"))
-        .select("window_start", "window_end", *keys, "part", "rows")
+        .select("window_start", "window_end", *keys, "rows")
     )
 
 
@@ -240,12 +258,13 @@ def with_lateness(
     late: str = "is_late",
     block_rows: int = BLOCK_ROWS,
     newest_before: int | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
     """Mark rows whose window was complete before they arrived: its end is not after the newest
-    time seen in earlier rows less ``delay``. ``newest_before`` is that time, in microseconds, from
+    time seen in earlier rows less ``delay``; ``tie`` settles equal arrivals. ``newest_before`` is that time, in microseconds, from
     before this input."""
     seen = scan(
-        df, [], seq, {"_newest": highest(epoch_micros(ts))}, inclusive=False, block_rows=block_rows
+        df, [], seq, {"_newest": highest(epoch_micros(ts))}, inclusive=False, tie=tie, block_rows=block_rows
     )
     micros = as_micros(size)
     at = epoch_micros(ts)
@@ -263,6 +282,7 @@ def split_late(
     seq: str,
     block_rows: int = BLOCK_ROWS,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(on_time, late)`` rows in the order of arrival ``seq``."""
-    marked = with_lateness(df, ts, size, delay, seq, "_late", block_rows)
+    """``(on_time, late)`` rows in the order of arrival ``seq``, from one marked table in the shared folder; where the
+    mark alone will do, :func:`with_lateness` gives both in one pass."""
+    marked = written(with_lateness(df, ts, size, delay, seq, "_late", block_rows), "marked")
     return marked.where(~F.col("_late")).drop("_late"), marked.where("_late").drop("_late")

@@ -8,7 +8,7 @@ from rillstone.functions.script import register, run_script, with_schema
 from rillstone.functions.sql import register_functions, register_split_udtf
 from rillstone.functions.text import concat_with
 from rillstone.plans.registry import query
-from rillstone.plans.tables import LINES, doc_lines, table
+from rillstone.plans.tables import WORDS, doc_lines, table
 from rillstone.session import fresh_path
 from rillstone.sinks.external import insert_select
 
@@ -97,7 +97,7 @@ def udf_concat_ws(spark, sf):
     return spark.sql("SELECT c_custkey, label, my_concat_ws('-', c_mktsegment, c_name) AS sql_label FROM labelled")
 
 
-_SPLIT = f"WITH {LINES} SELECT doc_id, unnest(string_split(line, ' ')) AS word FROM lines"
+_SPLIT = f"WITH {WORDS} SELECT doc_id, word FROM words"
 
 
 @query("udtf_split", _SPLIT)

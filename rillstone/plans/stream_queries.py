@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rillstone.operators import joins, topn, windows
 from rillstone.operators.rows import parse_json, split_lines, split_words
-from rillstone.operators.scan import count, highest, latest, lowest, total
+from rillstone.operators.scan import count, earliest, highest, latest, lowest, total
 from rillstone.plans import (  # noqa: F401
     join_queries,
     rolling_queries,
@@ -56,11 +56,23 @@ def _to_end(
     return read_once(spark, out) if each else spark.read.parquet(out)
 
 
-def _real(df: DataFrame, *bounds: str) -> DataFrame:
-    """Bounds as plain timestamps; windows at the end of time belong to the closing row."""
+#: how much later than a newer row an event may come; the closing row moves the watermark past it all
+_DELAY = "2 hours"
+
+
+def _real(df: DataFrame, real: Column, *bounds: str) -> DataFrame:
+    """Bounds as plain timestamps, without what the closing row made, which is told by its own key."""
     for name in bounds:
         df = df.withColumn(name, as_ntz(name))
-    return df.where(F.year(bounds[0]) < 2099)
+    return df.where(real)
+
+
+def _users() -> Column:
+    return F.col("user_id") >= 0
+
+
+def _kinds() -> Column:
+    return F.col("event_type") != "closing"
 
 
 @query("stream_word_count", CHECKS["word_count"])
@@ -103,30 +115,30 @@ def stream_geo_enrich(spark, sf):
 @query("stream_tumble_keyed", CHECKS["tumble_keyed"])
 def stream_tumble_keyed(spark, sf):
     def build(events):
-        timed = windows.with_event_time(events, "ts", "2 hours")
+        timed = windows.with_event_time(events, "ts", _DELAY)
         return windows.tumble(timed, "ts", "1 hour", {"cents": total("cents"), "n": count()}, ["user_id"])
 
-    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+    return _real(_to_end(spark, sf, build), _users(), "window_start", "window_end")
 
 
 @query("stream_slide_keyed", CHECKS["slide_keyed"])
 def stream_slide_keyed(spark, sf):
     def build(events):
-        timed = windows.with_event_time(events, "ts", "0 seconds")
+        timed = windows.with_event_time(events, "ts", _DELAY)
         folds = {"cents": total("cents"), "n": count()}
         return windows.slide(timed, "ts", "2 hours", "1 hour", folds, ["user_id"])
 
-    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+    return _real(_to_end(spark, sf, build), _users(), "window_start", "window_end")
 
 
 @query("stream_session_keyed", CHECKS["session_keyed"])
 def stream_session_keyed(spark, sf):
     def build(events):
-        timed = windows.with_event_time(events, "ts", "0 seconds")
+        timed = windows.with_event_time(events, "ts", _DELAY)
         folds = {"cents": total("cents"), "n": count()}
         return windows.session(timed, "ts", "6 hours", folds, ["user_id"])
 
-    return _real(_to_end(spark, sf, build), "window_start", "window_end")
+    return _real(_to_end(spark, sf, build), _users(), "window_start", "window_end")
 
 
 @query("stream_window_history", CHECKS["window_reduce_history"])
@@ -135,20 +147,20 @@ def stream_window_history(spark, sf):
     held = fresh_path(spark, "held")
 
     def build(events):
-        timed = windows.with_event_time(events, "ts", "0 seconds")
+        timed = windows.with_event_time(events, "ts", _DELAY)
         return windows.tumble(timed, "ts", "1 hour", {"cents": total("cents")}, ["user_id"])
 
     def add_up(out):
         return rolling_batches(out, held, ["user_id"], "window_start", {"cents_so_far": total("cents")})
 
-    return _real(_to_end(spark, sf, build, each=add_up), "window_start").drop("window_start", "window_end")
+    return _real(_to_end(spark, sf, build, each=add_up), _users(), "window_start").drop("window_start", "window_end")
 
 
 @query("stream_hot_items", CHECKS["hot_items_topn"])
 def stream_hot_items(spark, sf):
     """A window closes whole in one micro-batch, where its items are ranked."""
     def build(events):
-        timed = windows.with_event_time(events, "ts", "0 seconds")
+        timed = windows.with_event_time(events, "ts", _DELAY)
         return windows.slide(
             timed.withColumnRenamed("k", "item"), "ts", "10 hours", "2 hours", {"hits": count()},
             ["event_type", "item", "category"],
@@ -159,7 +171,7 @@ def stream_hot_items(spark, sf):
         order = [F.col("hits").desc(), F.col("item").asc()]
         return lambda df, batch_id: write_once(topn.top_n(df, groups, order, 3), out, batch_id)
 
-    return _real(_to_end(spark, sf, build, each=rank_each), "window_start", "window_end")
+    return _real(_to_end(spark, sf, build, each=rank_each), _kinds(), "window_start", "window_end")
 
 
 @query("stream_timer_delay", CHECKS["timer_delay"])
@@ -167,17 +179,17 @@ def stream_timer_delay(spark, sf):
     """Timers fire when the watermark passes them, once per key and time."""
     def build(events):
         due = events.select("event_type", "k", (F.col("ts") + F.expr("INTERVAL 20 MINUTES")).alias("fires_at"))
-        timed = windows.with_event_time(due, "fires_at", "0 seconds")
+        timed = windows.with_event_time(due, "fires_at", _DELAY)
         return timed.groupBy("fires_at", "event_type", "k").agg(F.count(F.lit(1)).alias("set")).drop("set")
 
-    return _real(_to_end(spark, sf, build), "fires_at")
+    return _real(_to_end(spark, sf, build), _kinds(), "fires_at")
 
 
 def _side(events: DataFrame, kind: str, name: str) -> DataFrame:
     rows = events.where(F.col("event_type") == kind).select(
         F.col("event_id").alias(f"{name}_id"), "user_id", "ts", F.col("cents").alias(f"{name}_cents")
     )
-    return windows.with_event_time(rows, "ts", "0 seconds")
+    return windows.with_event_time(rows, "ts", _DELAY)
 
 
 def _window_join(how: str) -> Build:
@@ -192,13 +204,13 @@ def _window_join(how: str) -> Build:
 
 @query("stream_window_join_inner", CHECKS["window_join_inner"])
 def stream_window_join_inner(spark, sf):
-    return _real(_drained(spark, sf, _window_join("inner")), "window_start", "window_end")
+    return _real(_drained(spark, sf, _window_join("inner")), F.lit(True), "window_start", "window_end")
 
 
 @query("stream_window_join_left", CHECKS["window_join_left"])
 def stream_window_join_left(spark, sf):
     joined = _to_end(spark, sf, _window_join("left"), kinds=("view", "click"))
-    return _real(joined, "window_start", "window_end")
+    return _real(joined, _users(), "window_start", "window_end")
 
 
 @query("stream_interval_join", CHECKS["interval_join"])
@@ -337,3 +349,52 @@ def stream_late_split(spark, sf):
     late = mark_late_batches(out, seen, "ts", "1 hour", "0 seconds", "event_id")
     run(shifted, fresh_path(spark, "progress"), each=late)
     return read_once(spark, out)
+
+
+@query("stream_rolling_max", CHECKS["rolling_max"])
+def stream_rolling_max(spark, sf):
+    """The running maximum with the other columns of the key's first row, carried from micro-batch to micro-batch."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    folds = {"best": highest("cents"), "first": earliest("event_id", F.struct("user_id", "k"))}
+    each = rolling_batches(out, held, ["event_type"], "event_id", folds)
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "event_type", "cents", "user_id", "k"), progress, each=each)
+    rows = read_once(spark, out)
+    first = [F.col(f"first.value.{c}").alias(c) for c in ("user_id", "k")]
+    return rows.select("event_id", "event_type", F.col("best").alias("cents"), *first)
+
+
+@query(
+    "stream_grand_total",
+    f"WITH {EV} SELECT event_id, CAST(sum(cents) OVER (ORDER BY event_id) AS BIGINT) AS cents_so_far FROM ev",
+)
+def stream_grand_total(spark, sf):
+    """The total of all rows so far, at each row; no single task sees all of a micro-batch."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = rolling_batches(out, held, [], "event_id", {"cents_so_far": total("cents")})
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "cents"), progress, each=each)
+    return read_once(spark, out).drop("cents")
+
+
+@query("stream_map_ttl", CHECKS["state_map_ttl"])
+def stream_map_ttl(spark, sf):
+    """An entry of a user's map expires on its own: the entry is part of the key."""
+    def build(events):
+        timed = events.withColumn("at", epoch_micros("ts"))
+        return stateful.rolling_ttl_stream(timed, ["user_id", "event_type"], "event_id", "at", 6 * 3_600_000_000, "cents")
+
+    return _drained(spark, sf, build)
+
+
+@query("stream_window_cogroup", CHECKS["window_cogroup"])
+def stream_window_cogroup(spark, sf):
+    """Both sides from one stream, met in one windowed aggregation."""
+    def build(events):
+        return joins.window_cogroup(
+            _side(events, "view", "view"), _side(events, "click", "click"), ["user_id"], "1 hour",
+            {"views": count(), "view_cents": total("view_cents")},
+            {"clicks": count(), "click_cents": total("click_cents")},
+        )
+
+    return _real(_to_end(spark, sf, build, kinds=("view", "click")), _users(), "window_start", "window_end")

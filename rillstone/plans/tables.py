@@ -20,11 +20,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The table as a stream. The path is a pattern so that a single file will do as well as a folder,
+def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int | None = 1) -> DataFrame:
+    """The table as a stream, file by file unless said otherwise. The path is a pattern so that a single file will do as well as a folder,
     which a plain stream path has to be."""
     schema = table(spark, folder, name).schema
-    return read_rows_stream(spark, f"{folder}/{name}.parque[t]", schema)
+    return read_rows_stream(spark, f"{folder}/{name}.parque[t]", schema, files_per_trigger)
 
 
 def two_arrivals(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
@@ -33,7 +33,8 @@ def two_arrivals(spark: SparkSession, folder: str) -> Iterator[DataFrame]:
     events = table(spark, folder, "events")
     middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
     arriving = fresh_path(spark, "arriving")
-    for part in (F.col("event_id") <= middle, F.col("event_id") > middle):
+    early = F.coalesce(F.col("event_id") <= middle, F.lit(False))  # a NULL id comes with the later ones
+    for part in (early, ~early):
         events.where(part).write.mode("append").parquet(arriving)
         yield read_rows_stream(spark, arriving, events.schema)
 
@@ -97,7 +98,7 @@ def priced_orders(spark: SparkSession, folder: str) -> DataFrame:
     )
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(place), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(place, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("o_orderkey", "o_custkey", "cents", F.col("r_name").alias("region"), F.col("n_name").alias("nation"))
     )
 

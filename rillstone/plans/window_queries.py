@@ -83,7 +83,7 @@ def tumble_reduce(spark, sf):
     "tumble_collect",
     _tumble_check(
         "event_type",
-        measures="CAST(0 AS BIGINT) AS part, count(*) AS n, "
+        measures="count(*) AS n, "
         "string_agg(CAST(cents AS VARCHAR), ',' ORDER BY event_id) AS listed",
     ),
 )
@@ -93,7 +93,6 @@ def tumble_collect(spark, sf):
         "window_start",
         "window_end",
         "event_type",
-        "part",
         F.size("rows").cast("bigint").alias("n"),
         F.array_join(F.transform("rows", lambda r: r["cents"].cast("string")), ",").alias("listed"),
     )
@@ -201,7 +200,7 @@ def _arriving(spark, sf):
 
 def _late_check(delay: str) -> str:
     return f"""WITH {EV}, arriving AS (SELECT *, epoch_us(ts) {_ARRIVAL} AS arrival FROM ev),
-    seen AS (SELECT *, max(epoch_us(ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+    seen AS (SELECT *, max(epoch_us(ts)) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
       FROM arriving)
     SELECT event_id, event_type, cents, arrival, coalesce(epoch_us(time_bucket(INTERVAL '1 hour', ts, TIMESTAMP '1970-01-01'))
       + 3600000000 <= newest - {delay}, false) AS is_late FROM seen"""
@@ -209,14 +208,13 @@ def _late_check(delay: str) -> str:
 
 @query("late_data_split", _late_check("0"))
 def late_data_split(spark, sf):
-    on_time, late = ops.split_late(_arriving(spark, sf), "ts", "1 hour", "0 seconds", "arrival")
-    both = on_time.withColumn("is_late", F.lit(False)).unionByName(late.withColumn("is_late", F.lit(True)))
-    return both.drop("ts")
+    marked = ops.with_lateness(_arriving(spark, sf), "ts", "1 hour", "0 seconds", "arrival", tie=["event_id"])
+    return marked.drop("ts")
 
 
 @query("late_data_delayed", _late_check("3600000000"))
 def late_data_delayed(spark, sf):
-    return ops.with_lateness(_arriving(spark, sf), "ts", "1 hour", "1 hour", "arrival").drop("ts")
+    return ops.with_lateness(_arriving(spark, sf), "ts", "1 hour", "1 hour", "arrival", tie=["event_id"]).drop("ts")
 
 
 @query(

@@ -48,7 +48,7 @@ def to_jdbc(
     settings = jdbc_properties(batchsize, **properties)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.coalesce(writers).write.jdbc(url, table, mode="append", properties=settings)
+        df.repartition(writers).write.jdbc(url, table, mode="append", properties=settings)
 
     return write
 

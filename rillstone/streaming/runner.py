@@ -13,7 +13,7 @@ from rillstone.sources.files import read_rows_stream
 _PARTITIONS = "spark.sql.shuffle.partitions"
 
 #: event time of the closing row; later than any real event
-END_OF_TIME = datetime(2100, 1, 1)
+END_OF_TIME = datetime(9999, 1, 1)
 
 
 def start(
@@ -31,17 +31,20 @@ def start(
     the query was. Without ``every`` it takes what is there now, in as many micro-batches as the
     sources ask for, and ends.
 
-    The number of state partitions is fixed when a query first starts. A micro-batch is small, so
-    unless given it is one per core and at most ``spark.sql.shuffle.partitions``.
+    The number of state partitions is fixed when a query first starts: ``spark.sql.shuffle.partitions`` unless
+    given, and on a single machine not more than its cores. (On a cluster the cores of the moment say nothing.)
     """
     if (path is None) == (each is None):
         raise ValueError("give either path or each")
     spark = df.sparkSession
     configured = spark.conf.get(_PARTITIONS)
-    wanted = state_partitions or min(int(configured), spark.sparkContext.defaultParallelism)
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    wanted = state_partitions or (min(int(configured), spark.sparkContext.defaultParallelism) if local else int(configured))
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     writer = writer.foreachBatch(each) if each else writer.format("parquet").option("path", path)
+    if str(wanted) == configured:
+        return writer.start()
     spark.conf.set(_PARTITIONS, str(wanted))
     try:  # the query keeps its own copy of the settings from here on
         return writer.start()

@@ -82,19 +82,19 @@ def test_incomplete_count_window_waits(spark):
 
 
 @pytest.mark.parametrize("block_rows", [2_000_000, 9])
-def test_collected_windows_keep_all_rows_in_parts(skewed, block_rows):
+def test_collected_windows(skewed, block_rows):
     df, rows = skewed
-    out = windows.tumble_collect(
-        df, "ts", "1 minute", "seq", ["v"], ["key"], part_rows=4, block_rows=block_rows
-    ).orderBy("key", "window_start", "part")
-    found = {}
-    for r in out.collect():
-        assert 0 < len(r["rows"]) <= 4
-        found.setdefault((r["key"], r["window_start"]), []).extend(x["seq"] for x in r["rows"])
     want = {}
     for seq, key, ts, _, _ in rows:
         want.setdefault((key, ts.replace(second=0, microsecond=0)), []).append(seq)
-    assert found == want
+    out = windows.tumble_collect(df, "ts", "1 minute", "seq", ["v"], ["key"], block_rows=block_rows).collect()
+    assert {(r["key"], r["window_start"]): [x["seq"] for x in r["rows"]] for r in out} == want and len(out) == len(want)
+    each = windows.tumble_rows(df, "ts", "1 minute", "seq", ["v"], ["key"], block_rows=block_rows).collect()
+    assert len(each) == len(rows)
+    for r in each:
+        assert want[r["key"], r["window_start"]][r["position"] - 1] == r["seq"]
+    with pytest.raises(Exception, match="more than 4 rows"):
+        windows.tumble_collect(df, "ts", "1 minute", "seq", ["v"], ["key"], most=4, block_rows=block_rows).collect()
 
 
 def test_history(spark):

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from rillstone.functions.text import literal_pattern, words
-from rillstone.session import fresh_path
+from rillstone.session import written
 
 
 def upper_case(df: DataFrame, col: str) -> DataFrame:
@@ -134,11 +134,13 @@ def iterate(
     step: Callable[[Column], Column],
     again: Callable[[Column], Column],
     steps_per_pass: int = 64,
+    max_passes: int = 1000,
 ) -> DataFrame:
     """Apply ``step`` to a value, and once more as long as ``again`` holds for the result.
 
-    A pass takes up to ``steps_per_pass`` steps inside the row. Rows that still go on are written
-    to a table in the shared folder and take another pass, so no number of steps is too many.
+    A pass takes up to ``steps_per_pass`` steps inside the row and is written once to a table in the shared folder,
+    each row marked whether it goes on; those that do take another pass. The passes run when this is called. A value
+    that still goes on after ``max_passes`` of them is an error.
     """
     def one_pass(rows: DataFrame) -> DataFrame:
         start = F.struct(F.col(col).alias("v"), F.lit(True).alias("on"))
@@ -155,12 +157,10 @@ def iterate(
         return rows.where(~F.col("_state.on")).withColumn(col, F.col("_state.v")).drop("_state")
 
     outputs, rows = [], df
-    while True:
-        moved = one_pass(rows)
+    for _ in range(max_passes):
+        moved = written(one_pass(rows), "pass")
         outputs.append(finished(moved))
-        path = fresh_path(df.sparkSession, "going-on")
-        going_on = moved.where("_state.on").withColumn(col, F.col("_state.v")).drop("_state")
-        going_on.write.parquet(path)
-        rows = df.sparkSession.read.parquet(path)
+        rows = moved.where("_state.on").withColumn(col, F.col("_state.v")).drop("_state")
         if rows.isEmpty():
             return union_all(*outputs)
+    raise RuntimeError(f"values still go on after {max_passes} passes of {steps_per_pass} steps")

@@ -9,6 +9,7 @@ from rillstone.plans import (  # noqa: F401
     rolling_queries,
     row_queries,
     source_queries,
+    split_queries,
     sql_queries,
     state_queries,
     stream_queries,

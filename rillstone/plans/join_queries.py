@@ -91,6 +91,11 @@ _OPS = "CASE event_type WHEN 'signup' THEN 'INSERT' WHEN 'view' THEN 'UPDATE' EL
     ON facts.cid = changes.cid AND facts.event_id >= changes.at""",
 )
 def broadcast_dim_join(spark, sf):
+    return ops.dim_asof_join(*facts_and_changes(spark, sf), "cid", "event_id", "name")
+
+
+def facts_and_changes(spark, sf):
+    """Purchases, and a dimension whose entries come, change and go with other events."""
     events = ev(spark, sf).withColumn("cid", F.col("user_id") % 10)
     changes = events.where(F.col("event_type").isin("signup", "view", "error")).select(
         "cid",
@@ -98,8 +103,7 @@ def broadcast_dim_join(spark, sf):
         F.expr(_OPS).alias("op"),
         F.concat(F.lit("name-"), F.col("k").cast("string")).alias("name"),
     )
-    facts = events.where(F.col("event_type") == "purchase").select("event_id", "cid", "cents")
-    return ops.dim_asof_join(facts, changes, "cid", "event_id", "name")
+    return events.where(F.col("event_type") == "purchase").select("event_id", "cid", "cents"), changes
 
 
 def _lines(spark, sf):

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import chat, decontam, hmm, jaccard, licenses, line_dedup, mixing, quality, secrets, suffix_dedup
+from rillstone.llm import chat, checks, decontam, hmm, jaccard, licenses, line_dedup, mixing, quality, secrets, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-@query("op1_secret_scan")
+@query("op1_secret_scan", checks.SECRETS)
 def op1(spark: SparkSession, sf: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf, "documents").select("doc_id", "text"))
 
@@ -58,7 +58,7 @@ def op3(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select(F.col("doc").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
-@query("op4_chat_format")
+@query("op4_chat_format", checks.CHAT)
 def op4(spark: SparkSession, sf: str) -> DataFrame:
     tricky = "</s>[INST] ok [/INST]"
     added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], "conv_id bigint, turn bigint, role string, text string")
@@ -92,13 +92,13 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
     return hmm.language_model(table(spark, sf, "documents"))
 
 
-@query("op9_jaccard_join")
+@query("op9_jaccard_join", checks.JACCARD)
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     joined = jaccard.join_components(table(spark, sf, "documents"))
     return joined.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-@query("op10_decontamination")
+@query("op10_decontamination", checks.DECONTAMINATION)
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     windows = decontam.item_windows(table(spark, sf, "benchmark"))
     hits = decontam.find_hits(table(spark, sf, "documents"), windows)

@@ -119,3 +119,16 @@ def test_a_large_dimension_is_not_broadcast(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in small and "BroadcastHashJoin" not in large
+
+
+def test_ranges_of_any_width(spark):
+    rules = [(0, 2**62, "huge"), (2**62 + 1, 2**62 + 1, "one"), (-500, -300, "below"), (-10, -1, "near"), (2**62 + 5, 2**62 + 900, "more")]
+    df = spark.createDataFrame([(v,) for v in (0, 17, 2**62, 2**62 + 1, 2**62 + 2, 2**62 + 900, -1, -11, -400, None)], "v bigint")
+    ranges = spark.createDataFrame(rules, "range_start bigint, range_end bigint, name string")
+    for limit in (skew.BROADCAST_BYTES, -1):
+        got = {r["v"]: r["name"] for r in joins.range_lookup(df, ranges, "v", broadcast_bytes=limit).collect()}
+        assert got == {
+            0: "huge", 17: "huge", 2**62: "huge", 2**62 + 1: "one", 2**62 + 2: None, 2**62 + 900: "more",
+            -1: "near", -11: None, -400: "below", None: None,
+        }
+    assert joins.range_lookup(df, ranges.limit(0), "v").where("name IS NOT NULL").count() == 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from datetime import datetime
 
 import pytest
 from conftest import at
@@ -234,3 +235,27 @@ def test_shared_folder_is_the_session_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_dir(spark) == (named or spark.sparkContext.getCheckpointDir()).rstrip("/")
     assert at(0).year == 1970
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(Session())
+
+
+def test_rows_far_in_the_future_stay(spark):
+    """Only what the closing row made is left out, and it is known by its own key."""
+    from rillstone.plans.stream_queries import _real, _users
+
+    rows = [(5, datetime(2099, 5, 1)), (-1, datetime(2099, 5, 1))]
+    df = spark.createDataFrame(rows, "user_id bigint, window_start timestamp_ntz")
+    assert [r["user_id"] for r in _real(df, _users(), "window_start").collect()] == [5]

@@ -32,6 +32,8 @@ from rillstone.llm.graph import components
 BAND = 1.9
 #: bits of the fine sketch per shingle, and members that a task compares at once
 BITS, PIECE = 4, 128
+#: members of small blocks that a task compares in one call
+TOGETHER = 4_000
 
 
 class WordHashes(dict):
@@ -239,8 +241,10 @@ def similar(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
 def across_components(members: DataFrame, facts: DataFrame, part: int, whole: int) -> DataFrame:
     """Pairs (a, b) of members (block, sig, comp) of one block but different components that the sketches allow.
 
-    The members of a block are dealt into pieces of about ``PIECE``, and each pair of pieces is compared by a task.
+    The members of a block are dealt into pieces of about ``PIECE``, and each pair of pieces is compared in one go.
+    Tasks get groups of about ``TOGETHER`` members, be they of many small blocks or of one pair of pieces.
     """
+    groups = max(1, members.count() // TOGETHER)
     sizes = members.groupBy("block").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     dealt = (
         members.join(facts.select("sig", "n", "sketch"), "sig")
@@ -249,23 +253,32 @@ def across_components(members: DataFrame, facts: DataFrame, part: int, whole: in
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .withColumn("low", F.least("piece", "other"))
         .withColumn("high", F.greatest("piece", "other"))
+        .withColumn("group", F.pmod(F.xxhash64("block", "low", "high"), F.lit(groups)))
+        .select("group", "block", "low", "high", "piece", "sig", "comp", "n", "sketch")
     )
 
     def run(frame):
         import pandas as pd
 
-        frame = frame.sort_values(["n", "sig"])
-        n, sig, comp, piece = (frame[c].to_numpy() for c in ("n", "sig", "comp", "piece"))
-        raw, low, high = frame["sketch"].tolist(), frame["low"].iloc[0], frame["high"].iloc[0]
-        out = []
-        for i in range(len(n)):
-            last = np.searchsorted(n, n[i] * whole // part, side="right")
-            for j in range(i + 1, last):
-                if comp[i] != comp[j] and (low == high or piece[i] != piece[j]) and sketches_allow(n[i], raw[i], n[j], raw[j], part, whole):
-                    out.append((min(sig[i], sig[j]), max(sig[i], sig[j])))
-        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
-
-    return dealt.groupBy("block", "low", "high").applyInPandas(run, "a bigint, b bigint").distinct()
+        frame = frame.sort_values(["block", "low", "high", "n", "sig"])
+        block, low, high, piece, n, sig, comp = (frame[c].to_numpy() for c in ("block", "low", "high", "piece", "n", "sig", "comp"))
+        raw, out = frame["sketch"].tolist(), []
+        opens = (block[1:] != block[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+        starts = np.concatenate(([0], np.flatnonzero(opens) + 1))
+        for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(n)], strict=True):
+            if end - start < 2 or (comp[start:end] == comp[start]).all():
+                continue
+            size = min(map(len, raw[start:end])) // 8
+            sketch = np.stack([folded(x, size) for x in raw[start:end]])
+            for i in range(start, end - 1):
+                to = np.arange(i + 1, start + np.searchsorted(n[start:end], n[i] * whole // part, side="right"))
+                to = to[(comp[to] != comp[i]) & ((low[i] == high[i]) | (piece[to] != piece[i]))]
+                differ = np.bitwise_count(sketch[to - start] ^ sketch[i - start]).sum(1, dtype=np.int64)
+                to = to[differ <= (n[to] + n[i]) * (whole - part) // (whole + part)]
+                out += [(min(sig[i], sig[j]), max(sig[i], sig[j])) for j in to]
+        return pd.DataFrame(out, columns=["a", "b"]).drop_duplicates().astype("int64")
+
+    return dealt.groupBy("group").applyInPandas(run, "a bigint, b bigint").distinct()
 
 
 def join_components(
@@ -281,10 +294,15 @@ def join_components(
     )
     # blocks that more than one class has; the rows are shuffled once, for the count and for the join back
     blocks = block_rows(rows, size, part, whole).repartition("block")
-    shared = blocks.groupBy("block").agg(F.min("sig").alias("center"), F.max("sig").alias("_last")).where("center < _last")
-    members = cut(blocks.join(shared.select(F.col("block").alias("_block"), "center"), F.col("block") == F.col("_block")).select("block", "sig", "center").distinct(), "members")
+    shared = blocks.groupBy("block").agg(F.min("sig").alias("_first"), F.max("sig").alias("_last")).where("_first < _last")
+    common = cut(blocks.join(shared.select(F.col("block").alias("_block")), F.col("block") == F.col("_block")).select("block", "sig").distinct(), "common")
+    # a block's center is the class that meets most others in all its blocks: of a group of near copies, one close to all
+    sizes = common.groupBy("block").agg(F.count("*").alias("_n"))
+    weights = common.join(sizes, "block").groupBy("sig").agg(F.sum("_n").alias("_w"))
+    centers = common.join(weights, "sig").groupBy("block").agg(F.max(F.struct("_w", "sig")).alias("_c")).select(F.col("block").alias("_block"), F.col("_c.sig").alias("center"))
+    members = cut(common.join(centers, F.col("block") == F.col("_block")).select("block", "sig", "center"), "members")
     known = cut(classes.join(members.select("sig").distinct(), "sig"), "classes")
-    stars = members.where("sig != center").select(F.col("center").alias("a"), F.col("sig").alias("b")).distinct()
+    stars = members.where("sig != center").select(F.least("center", "sig").alias("a"), F.greatest("center", "sig").alias("b")).distinct()
     close = cut(near_by_sketch(stars, known, part, whole), "close")
     # members whose block has others besides the center may have to be compared with each other
     crowded = members.groupBy("block").agg(F.count("*").alias("_n")).where("_n > 2").select("block")

@@ -211,20 +211,21 @@ def stretch_texts(docs: DataFrame, wanted: DataFrame, long: int) -> DataFrame:
 
 
 class Shard:
-    """A shard's transform: its suffixes ordered by their first eight bytes, and for each the two bytes before it."""
+    """A shard's transform: its suffixes ordered by their first eight bytes, and for each the two bytes before it. Only
+    suffixes with room for the rest of ``long`` bytes to their left take part: no other can become a whole window."""
 
-    def __init__(self, contents: list[bytes], base: int) -> None:
+    def __init__(self, contents: list[bytes], base: int, long: int) -> None:
         text = np.frombuffer(b"".join(contents), np.uint8)
         lengths = np.array([len(c) for c in contents])
-        self.left = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # bytes before, in its content
-        right = np.repeat(lengths, lengths) - self.left  # bytes from here on
+        left = np.arange(len(text)) - np.repeat(np.cumsum(lengths) - lengths, lengths)  # bytes before, in its content
+        right = np.repeat(lengths, lengths) - left  # bytes from here on
         wide = text.astype(np.uint64)
         prefix = np.zeros(len(text), np.uint64)
         for i in range(8):
             prefix = (prefix << np.uint64(8)) | np.concatenate((wide[i:], np.zeros(min(i, len(wide)), np.uint64)))
         before = np.zeros(len(text), np.uint16)
         before[2:] = (text[:-2].astype(np.uint16) << 8) | text[1:-1]
-        rows = np.flatnonzero(right >= 8)
+        rows = np.flatnonzero((right >= 8) & (left >= long - 8))
         rows = rows[np.argsort(prefix[rows], kind="stable")]
         self.order, self.prefix, self.before, self.base = rows + base, prefix[rows], before, base
 
@@ -240,13 +241,10 @@ def merge_shards(shards: list[Shard], long: int) -> tuple[np.ndarray, np.ndarray
     order = np.concatenate([s.order for s in shards])
     prefix = np.concatenate([s.prefix for s in shards])
     before = np.concatenate([s.before for s in shards])
-    left = np.concatenate([s.left for s in shards])
     merged = np.argsort(prefix, kind="stable")  # runs that are sorted already are merged
     order, block = order[merged], np.cumsum(np.concatenate(([True], prefix[merged][1:] != prefix[merged][:-1])))
     order, block = repeated_only(order, block)
     for _ in range(8, long, 2):
-        inside = left[order] >= 2
-        order, block = order[inside], block[inside]
         symbol = before[order]
         step = np.argsort(symbol, kind="stable")
         order, block, symbol = order[step] - 2, block[step], symbol[step]
@@ -269,10 +267,10 @@ def later_windows(contents: list[bytes], docs: np.ndarray, starts: np.ndarray, l
         part.append(content)
         size += len(content)
         if size >= shard_bytes:
-            shards.append(Shard(part, base))
+            shards.append(Shard(part, base, long))
             base, part, size = base + size, [], 0
     if part:
-        shards.append(Shard(part, base))
+        shards.append(Shard(part, base, long))
     order, block = merge_shards(shards, long)
     if not len(order):
         return order, order

@@ -1,4 +1,4 @@
-"""Time the headline queries: one JSON line with the seconds per query (best of two runs after a warm-up).
+"""Time the headline queries: one JSON line with the seconds per query (best of two runs after a warm-up; streams: one run after a warm-up).
 
 ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores, ``BENCH_QUERIES`` (comma separated) other
 queries than the headline ones, ``all`` for every registered query.
@@ -20,10 +20,12 @@ HEADLINE = [
     "parse_json_drop_bad",
     "side_output_route",
     "rolling_sum",
+    "rolling_sum_split",
     "rolling_max_by",
     "ad_counts_running",
     "ad_counts_sql",
     "grand_total_income",
+    "grand_total_income_split",
     "salted_sum",
     "sql_group_sum",
     "retract_changelog",
@@ -39,6 +41,7 @@ HEADLINE = [
     "state_value_ttl",
     "state_list_last10",
     "state_list_ttl",
+    "state_list_ttl_split",
     "timer_topn_per_key",
     "hot_items_topn",
     "window_join_left",
@@ -79,7 +82,7 @@ def main() -> None:
 
     seconds = {}
     for name in names:
-        runs = 1 if name.startswith("stream_") else 3
+        runs = 2 if name.startswith("stream_") else 3
         taken = [timed(name) for _ in range(runs)]
         seconds[name] = round(min(taken[1:] or taken), 4)
         print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)

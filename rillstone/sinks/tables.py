@@ -28,6 +28,12 @@ def read_once(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(BATCH)
 
 
+def read_batches(spark: SparkSession, path: str, first: int, last: int) -> DataFrame:
+    """The rows of micro-batches from ``first`` on and before ``last``, with their number."""
+    folders = [f"{path}/{BATCH}={i}" for i in range(first, last)]
+    return spark.read.option("basePath", path).parquet(*folders)
+
+
 def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row of each key; combined before the shuffle."""
     rest = [c for c in df.columns if c not in keys]
@@ -52,10 +58,12 @@ def to_upsert(path: str, keys: Sequence[str], order: str) -> Callable[[DataFrame
 def read_latest(
     spark: SparkSession, path: str, keys: Sequence[str], before: int | None = None, since: int = 0
 ) -> DataFrame:
-    """The current row per key (or as of before a micro-batch), from micro-batch ``since`` on."""
-    log = spark.read.parquet(path).where(F.col(BATCH) >= since)
-    if before is not None:
-        log = log.where(F.col(BATCH) < before)
+    """The current row per key, from micro-batch ``since`` on. With ``before``, as of before that micro-batch: then the
+    folders in between are read by name, and the rest of the log is not even listed."""
+    if before is None:
+        log = spark.read.parquet(path).where(F.col(BATCH) >= since)
+    else:
+        log = read_batches(spark, path, since, before)
     return last_per_key(log, keys, [BATCH]).drop(BATCH)
 
 

@@ -12,9 +12,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rillstone.operators.rolling import distinct_folds, with_first_appearances
-from rillstone.operators.scan import BLOCK_ROWS, Fold, ends, highest, scan
+from rillstone.operators.scan import BLOCK_ROWS, Fold, ends, scan
 from rillstone.operators.windows import with_lateness
-from rillstone.sinks.tables import BATCH, read_latest, write_once
+from rillstone.sinks.tables import BATCH, read_batches, read_latest, write_once
 from rillstone.timeunits import epoch_micros
 
 OnBatch = Callable[[DataFrame, int], None]
@@ -99,14 +99,14 @@ def distinct_batches(
 
 def mark_late_batches(out: str, held: str, ts: str, size: str, delay: str, seq: str) -> OnBatch:
     """Rows with ``is_late``, by the newest time of all rows before them in this and earlier
-    micro-batches; ``held`` gets one row per micro-batch, the newest time in it."""
+    micro-batches; ``held`` gets one row per micro-batch, the newest time up to it."""
     def write(df: DataFrame, batch_id: int) -> None:
         newest = None
         if batch_id:
-            earlier = df.sparkSession.read.parquet(held).where(F.col(BATCH) < batch_id)
-            newest = earlier.agg(F.max("newest")).first()[0]  # one number
+            newest = read_batches(df.sparkSession, held, batch_id - 1, batch_id).first()["newest"]  # one number
         marked = with_lateness(df, ts, size, delay, seq, newest_before=newest)
         write_once(marked.drop(ts), out, batch_id)
-        write_once(ends(df, [], {"newest": highest(epoch_micros(ts))}), held, batch_id)
+        here = df.agg(F.greatest(F.max(epoch_micros(ts)), F.lit(newest).cast("bigint")).alias("newest"))
+        write_once(here, held, batch_id)
 
     return _once_read(write)

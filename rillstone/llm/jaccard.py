@@ -31,7 +31,7 @@ from rillstone.llm.graph import components
 #: the ratio of the sizes within a band
 BAND = 1.9
 #: bits of the fine sketch per shingle, and members that a task compares at once
-BITS, PIECE = 4, 128
+BITS, PIECE = 2, 128
 #: members of small blocks that a task compares in one call
 TOGETHER = 4_000
 
@@ -247,13 +247,13 @@ def across_components(members: DataFrame, facts: DataFrame, part: int, whole: in
     groups = max(1, members.count() // TOGETHER)
     sizes = members.groupBy("block").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
     dealt = (
-        members.join(facts.select("sig", "n", "sketch"), "sig")
-        .join(sizes, "block")
+        members.join(sizes, "block")
         .withColumn("piece", F.pmod(F.xxhash64("sig", F.lit(3)), F.col("pieces")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .withColumn("low", F.least("piece", "other"))
         .withColumn("high", F.greatest("piece", "other"))
         .withColumn("group", F.pmod(F.xxhash64("block", "low", "high"), F.lit(groups)))
+        .join(facts.select("sig", "n", "sketch"), "sig")  # last, so that sketches are moved once
         .select("group", "block", "low", "high", "piece", "sig", "comp", "n", "sketch")
     )
 

@@ -4,6 +4,8 @@ Lines with a word are a text's units. From each line on, and up to each line, th
 ``LEAST_WORDS`` words is a window. The line with the least hash in a window is its fingerprint, so equal windows have
 equal fingerprints, and neighbouring windows mostly share one. Fingerprints that occur at one place only are dropped;
 at the others the windows around them extend the match both ways, and all but the first place of a window are repeats.
+A line with ``LEAST_WORDS`` words is a window of its own, so a line of boilerplate goes wherever it stands; shorter
+lines go as part of a run only.
 
 So a line goes exactly if it is part of a run of lines, with ``LEAST_WORDS`` words or more, that also starts earlier:
 in a document with a smaller id, or in the same one before. Rows equal in id and text are one document; where an id
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rillstone.llm.common import columns_of, cut, marked, row_key, spare
 
-LEAST_WORDS = 30
+LEAST_WORDS = 5
 
 POINT = "print bigint, doc bigint, key bigint, windows array<struct<run:bigint,start:int,end:int>>"
 WINDOWS = pa.list_(pa.struct([("run", pa.int64()), ("start", pa.int32()), ("end", pa.int32())]))
@@ -93,10 +95,12 @@ def repeated_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", lea
     found = cut(points(rows, least), "fingerprints")
     # a fingerprint of one place may still be that of two equal windows there, if its line repeats
     shared = found.groupBy("print").agg(F.sum(F.size("windows")).alias("_n")).where("_n > 1").select(F.col("print").alias("_print"))
+    # written, so that both sides of the join are shuffled as they are and the key of a very common line can be split
+    shared = cut(shared, "shared")
     extended = found.join(shared, F.col("print") == F.col("_print")).select("doc", "key", F.explode("windows").alias("w"))
     places = extended.select(F.col("w.run").alias("run"), "doc", "key", F.col("w.start").alias("start"), F.col("w.end").alias("end"))
     first = places.groupBy("run").agg(F.min(F.struct("doc", "key", "start")).alias("first"), F.count("*").alias("_n")).where("_n > 1")
-    later = places.join(first.withColumnRenamed("run", "_run"), F.col("run") == F.col("_run")).where(F.struct("doc", "key", "start") > F.col("first"))
+    later = places.join(cut(first, "first").withColumnRenamed("run", "_run"), F.col("run") == F.col("_run")).where(F.struct("doc", "key", "start") > F.col("first"))
     return later.groupBy("doc", "key").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("runs"))
 
 

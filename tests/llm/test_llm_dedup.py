@@ -77,6 +77,23 @@ def test_line_dedup(spark, docs):
     assert got == set(plain.line_dedup(rows, 8))
 
 
+def test_line_dedup_short_boilerplate(spark):
+    """A short line that many otherwise different documents have stays once, by the operator's own bound."""
+    pick = random.Random(11)
+
+    def own():
+        return " ".join(f"w{pick.randrange(10**6)}" for _ in range(pick.choice([2, 9, 40])))
+
+    common, few = "All rights reserved by the owners of this page.", "Read more"
+    menu = "Home page\nAbout us\nOur contact"
+    rows = [(i, "\n".join([own(), common, own(), few, own(), menu, own()])) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = {(r.doc_id, r.n, r.text) for r in line_dedup.drop_repeated_lines(df, count="n").collect()}
+    assert got == set(plain.line_dedup(rows, 5))
+    assert sum(common in text for _, _, text in got) == sum(menu in text for _, _, text in got) == 1
+    assert all(few in text for _, _, text in got)
+
+
 def test_line_dedup_keeps_columns(docs):
     df, rows = docs
     done = line_dedup.drop_repeated_lines(df, least=12)

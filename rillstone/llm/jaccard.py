@@ -9,6 +9,7 @@ symmetric difference too, sorts out chance pairs, and the sets themselves decide
 Equal sets are one class from the start. Sets that share a block are compared with one of them first; what is linked
 by then needs no further comparing, and only members of different components are compared with each other. These
 comparisons are made inside tasks, on pieces of bounded size; only pairs that the sketches let pass are rows.
+Members of a block with very many, such as texts that share a phrase, meet on their rarest shingles instead.
 
 NULL and empty texts, and texts without words, have an empty set and no links. Rows with one id but different texts
 are documents of their own; NULL ids don't name a component unless there is no other id in it. Empty tables give
@@ -32,8 +33,10 @@ from rillstone.llm.graph import components
 BAND = 1.9
 #: bits of the fine sketch per shingle, and members that a task compares at once
 BITS, PIECE = 2, 128
-#: members of small blocks that a task compares in one call
+#: rows, with a sketch each, that a task compares in one call
 TOGETHER = 4_000
+#: members up to which a block is compared as it is
+CROWD = 1_024
 
 
 class WordHashes(dict):
@@ -238,25 +241,62 @@ def similar(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def across_components(members: DataFrame, facts: DataFrame, part: int, whole: int) -> DataFrame:
-    """Pairs (a, b) of members (block, sig, comp) of one block but different components that the sketches allow.
+def narrowed(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+    """The members (block, sig, comp), those of blocks with more than ``CROWD`` by their rarest shingles as blocks.
+
+    Of two similar sets each has ``part / whole`` of its shingles in common with the other. In any one order of all
+    shingles, the first that they share is thus in both among the first ``n - ceil(n * part / whole) + 1``. The order
+    goes by how many of the sets have a shingle, so what very many share comes last.
+    """
+    crowded = cut(
+        members.groupBy("block").agg(F.count("*").alias("_n")).where(F.col("_n") > CROWD).select(F.col("block").alias("_block")), "crowded"
+    )
+    if crowded.isEmpty():
+        return members
+    same = F.col("block") == F.col("_block")
+    wanted = members.join(crowded, same, "leftsemi").select("sig", "comp").distinct()
+    each = sets.join(wanted, "sig").select("sig", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    often = each.groupBy("hash").agg(F.count("*").alias("_n")).where(F.col("_n") >= PIECE).select(F.col("hash").alias("_hash"), "_n")
+    order = F.sort_array(F.collect_set(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "hash")))
+    first = F.expr(f"n - (n * {part} + {whole - 1}) div {whole} + 1").cast("int")
+    rare = cut(
+        each.join(cut(often, "often"), F.col("hash") == F.col("_hash"), "left")
+        .groupBy("sig", "comp", "n")
+        .agg(order.alias("order"))
+        .select("sig", "comp", F.explode(F.slice("order", F.lit(1), first)).alias("at"))
+        .select(F.col("at.hash").alias("block"), "sig", "comp"),
+        "rare",
+    )
+    open_ = rare.groupBy("block").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("block")
+    others = members.join(crowded, same, "leftanti").select("block", "sig", "comp")
+    return cut(others.union(rare.join(open_, "block").select("block", "sig", "comp")), "narrowed")
 
-    The members of a block are dealt into pieces of about ``PIECE``, and each pair of pieces is compared in one go.
-    Tasks get groups of about ``TOGETHER`` members, be they of many small blocks or of one pair of pieces.
+
+def dealt_out(members: DataFrame) -> DataFrame:
+    """group, block, low, high, piece, sig, comp: a row per member (block, sig, comp) and pair of pieces that it is in.
+
+    The members of a block are dealt into pieces of about ``PIECE``. A group gets about ``TOGETHER`` rows, be they of
+    many small blocks or of a few pairs of pieces.
     """
-    groups = max(1, members.count() // TOGETHER)
-    sizes = members.groupBy("block").agg(F.ceil(F.count("*") / PIECE).cast("int").alias("pieces"))
-    dealt = (
-        members.join(sizes, "block")
+    sizes = members.groupBy("block").agg(F.count("*").alias("_n")).withColumn("pieces", F.ceil(F.col("_n") / PIECE).cast("int"))
+    n_rows = sizes.agg(F.sum(F.col("_n") * F.col("pieces"))).first()[0] or 0
+    groups = max(1, n_rows // TOGETHER)
+    return (
+        members.join(sizes.drop("_n"), "block")
         .withColumn("piece", F.pmod(F.xxhash64("sig", F.lit(3)), F.col("pieces")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
         .withColumn("low", F.least("piece", "other"))
         .withColumn("high", F.greatest("piece", "other"))
         .withColumn("group", F.pmod(F.xxhash64("block", "low", "high"), F.lit(groups)))
-        .join(facts.select("sig", "n", "sketch"), "sig")  # last, so that sketches are moved once
-        .select("group", "block", "low", "high", "piece", "sig", "comp", "n", "sketch")
+        .select("group", "block", "low", "high", "piece", "sig", "comp")
     )
 
+
+def across_components(members: DataFrame, facts: DataFrame, part: int, whole: int) -> DataFrame:
+    """Pairs (a, b) of members (block, sig, comp) of one block but different components that the sketches allow. Each
+    pair of pieces of a block is compared in one go."""
+    dealt = dealt_out(members).join(facts.select("sig", "n", "sketch"), "sig")  # last, so that sketches are moved once
+
     def run(frame):
         import pandas as pd
 
@@ -316,7 +356,7 @@ def join_components(
     placed = members.where("sig != center").join(found.withColumnRenamed("node", "sig"), "sig", "left").select("block", "sig", root.alias("comp"))
     open_ = placed.groupBy("block").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("block")
     rest = cut(placed.join(open_, "block"), "open")
-    more = cut(similar(across_components(rest, known, part, whole), sets, part, whole), "more")
+    more = cut(similar(across_components(narrowed(rest, sets, part, whole), known, part, whole), sets, part, whole), "more")
     final = cut(components(linked.union(more)), "components")
 
     placed_docs = facts.join(final.withColumnRenamed("node", "sig"), "sig", "left").select("doc", "key", "n", root.alias("root"))

@@ -125,6 +125,34 @@ def test_jaccard_components(spark):
     assert got == dict(enumerate(plain.components(docs)))
 
 
+def test_jaccard_crowded_block(spark, monkeypatch):
+    """Texts of which very many share a phrase: the same components, and no task with all the copies of a block."""
+    monkeypatch.setattr(jaccard, "CROWD", 40)
+    monkeypatch.setattr(jaccard, "PIECE", 8)
+    monkeypatch.setattr(jaccard, "TOGETHER", 100)
+    seen, real = [], jaccard.dealt_out
+    monkeypatch.setattr(jaccard, "dealt_out", lambda members: seen.append((members, real(members))) or seen[-1][1])
+    pick = random.Random(23)
+    words, rows = [f"w{i}" for i in range(5000)], []
+    phrase = " ".join(pick.choice(words) for _ in range(12))
+    for _ in range(160):
+        own = [pick.choice(words) for _ in range(30)]
+        rows.append(" ".join(own) + " " + phrase)
+        if pick.random() < 0.3:  # near copies, some within reach and some not
+            rows.append(" ".join([*own[: pick.choice([27, 29])], "x", phrase]))
+    pick.shuffle(rows)
+    docs = list(enumerate(rows))
+    got = {r.doc: (r.n, r.component) for r in jaccard.join_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == dict(enumerate(plain.components(docs)))
+    ((members, dealt),) = seen
+    assert dealt.count() < 10 * len(rows)  # a member is not copied to every piece of the phrase's blocks
+
+    # one block that nothing makes smaller: 1,000 members, 125 pieces
+    block = spark.range(1000).selectExpr("0L AS block", "id AS sig", "id AS comp")
+    sizes = [r["count"] for r in real(block).groupBy("group").count().collect()]
+    assert sum(sizes) == 125 * 1000 and max(sizes) < 5 * 100
+
+
 def test_jaccard_keeps_one(spark, docs):
     df, rows = docs
     each = distinct(rows)

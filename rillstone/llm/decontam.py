@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import NOT_WORD, ascii_lower, let, marked, row_key, split_words, whole_text
+from rillstone.llm.common import NOT_WORD, ascii_lower, let, marked, row_key, spare, split_words, whole_text
 
 WORDS = 10
 #: a set of window hashes is sent with the plan up to this many entries (8 bytes each)
@@ -126,30 +126,23 @@ def drop_contaminated(
     docs: DataFrame, items: DataFrame, n: int = WORDS, doc: str = "doc_id", text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
 ) -> DataFrame:
     """The documents in which no window of an item occurs, with their columns."""
-    windows = item_windows(items, n, item, text)
-    lists = hash_lists(windows, most)
-    if lists is not None:
-        # equal hashes settle it in place but for a chance of about 1e-11 per 1e8 windows; find_hits compares words
-        return docs.where(let(normal_words(text), lambda words: F.size(hits_in(words, lists)) == 0))
-    clean = find_hits(docs, windows, doc, text, most).where(F.size("spans") == 0)
-    return marked(docs, clean, doc, text, "inner")[0]
+    hit = find_hits(docs, item_windows(items, n, item, text), doc, text, most).where(F.size("spans") > 0)
+    return marked(docs, hit, doc, text, "left_anti")[0]
 
 
-def remove_spans(docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id") -> DataFrame:
+def remove_spans(
+    docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
+) -> DataFrame:
     """The documents with every word of a hit window taken out; a touched text becomes its remaining words, in
-    lower case and with single spaces. Needs a window set within ``SET_WINDOWS``."""
-    windows = item_windows(items, n, item, text)
-    lists = hash_lists(windows, SET_WINDOWS)
-    if lists is None:
-        raise ValueError("too many windows to take spans out in place; drop the documents instead")
-
-    def kept(words: Column) -> Column:
-        def rest(hits: Column) -> Column:
-            outside = F.filter(
-                words, lambda w, i: ~F.exists(hits, lambda h: (i + 1 >= h["start"]) & (i + 1 < h["start"] + h["n"]))
-            )
-            return F.when(F.size(hits) > 0, F.array_join(outside, " ")).otherwise(F.col(text))
-
-        return let(hits_in(words, lists), rest)
-
-    return docs.withColumn(text, let(normal_words(text), kept))
+    lower case and with single spaces."""
+    doc = spare(docs, "_doc")[0]  # the text alone says what goes
+    known = docs.withColumn(doc, F.lit(0).cast("bigint"))
+    hit = find_hits(known, item_windows(items, n, item, text), doc, text, most).where(F.size("spans") > 0)
+    joined, spans = marked(known, hit, doc, text, "left", "spans")
+
+    def outside(words: Column) -> Column:
+        rest = F.filter(words, lambda w, i: ~F.exists(F.col(spans), lambda s: (i >= s["start"]) & (i < s["end"])))
+        return F.array_join(rest, " ")
+
+    left = F.when(F.col(spans).isNotNull(), let(normal_words(text), outside)).otherwise(F.col(text))
+    return joined.withColumn(text, left).drop(spans, doc)

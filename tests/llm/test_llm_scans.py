@@ -155,3 +155,15 @@ def test_empty_tables(empty, spark):
     assert quality.judge(empty, labels).count() == 0
     assert licenses.find_licenses(empty).count() == 0
     assert decontam.find_hits(empty, decontam.item_windows(bench)).count() == 0
+
+
+def test_equal_hashes_are_not_hits(spark, monkeypatch):
+    """Words decide in every form, whatever the size of the benchmark: here all windows seem to be known by hash."""
+    monkeypatch.setattr(decontam, "hits_in", lambda words, lists: decontam.places(words, 3))
+    docs = spark.createDataFrame([(1, "A b c d e"), (2, "x y z w"), (None, None)], "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, "b c d")], "item_id bigint, text string")
+    for most in (100, 0):
+        kept = decontam.drop_contaminated(docs, items, 3, most=most).collect()
+        assert {(r.doc_id, r.text) for r in kept} == {(2, "x y z w"), (None, None)}
+        cut = decontam.remove_spans(docs, items, 3, most=most)
+        assert cut.columns == docs.columns and {(r.doc_id, r.text) for r in cut.collect()} == {(1, "a e"), (2, "x y z w"), (None, None)}

@@ -2,15 +2,14 @@ from __future__ import annotations
 
 import random
 import sys
-from datetime import datetime, timedelta
 from pathlib import Path
 
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from rillstone.session import build_session  # noqa: E402
+from tests.helpers import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -27,13 +26,6 @@ def spark():
     session.stop()
 
 
-EPOCH = datetime(1970, 1, 1)
-
-
-def at(ms: int) -> datetime:
-    return EPOCH + timedelta(milliseconds=ms)
-
-
 @pytest.fixture(scope="session")
 def skewed(spark):
     """300 rows in arrival order, times with ties and gaps; key ``hot`` has two thirds, one key is NULL."""
@@ -45,10 +37,3 @@ def skewed(spark):
         rows.append((seq * 3, key, at(ms), pick.randrange(1, 20), pick.choice("xyz")))
     df = spark.createDataFrame(rows, "seq bigint, key string, ts timestamp_ntz, v bigint, tag string")
     return df, rows
-
-
-def by_key(rows):
-    groups = {}
-    for row in rows:
-        groups.setdefault(row[1], []).append(row)
-    return groups

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import pytest
-from check_queries import compare, duck
 
 import __spark_entry__ as contract
 from rillstone.plans import CHECKS, QUERIES
+from tests.check_queries import compare, duck
 
 FOLDER = "/root/testdata/sf0.001"
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import EPOCH, at
+from tests.helpers import EPOCH, at
 
 from rillstone.operators import joins, skew
 from rillstone.operators.scan import count, total

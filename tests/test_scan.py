@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import at, by_key
+from tests.helpers import at, by_key
 from pyspark.sql import functions as F
 
 from rillstone.operators import rolling, state

@@ -6,7 +6,7 @@ import time
 from datetime import datetime
 
 import pytest
-from conftest import at
+from tests.helpers import at
 from pyspark.sql import functions as F
 
 from rillstone.functions.sql import random_int

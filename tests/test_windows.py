@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import EPOCH, at, by_key
+from tests.helpers import EPOCH, at, by_key
 from pyspark.sql import functions as F
 
 from rillstone.operators import topn, windows

@@ -67,3 +67,34 @@ DECONTAMINATION = f"""WITH d AS (SELECT doc_id, {_PLAIN} AS w FROM documents), b
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+HARD_NEGATIVES = """WITH v AS (SELECT DISTINCT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  scored AS (SELECT a.id AS anchor, a.label AS own, b.id, b.label, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
+    FROM v AS a JOIN v AS b ON a.id % 100 = 0 AND a.id <> b.id),
+  pos AS (SELECT anchor, own, id, score FROM scored WHERE label = own QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5)
+SELECT p.anchor AS anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM pos AS p JOIN scored AS s ON s.anchor = p.anchor AND s.label <> p.own AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10"""
+
+_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda acc, x: list_reduce(list_prepend(xor(acc, x), list_transform(range(8), lambda i: CAST(0 AS BIGINT))),
+      lambda r, i: xor(r >> 1, CASE WHEN r % 2 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END))), CAST(4294967295 AS BIGINT))"""
+PREFIXES = rf"""WITH t AS (SELECT CAST(conv_id AS BIGINT) AS c,
+    list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS s
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY 1),
+  h AS (SELECT c, s, c - c % 20 AS d, {_CRC32} % 4 AS h FROM t),
+  b AS (SELECT h.c, list_concat(coalesce(t.s[1:h.h], []), h.s[h.h + 1:]) AS s FROM h LEFT JOIN t ON t.c = h.d),
+  p AS (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM b),
+  n AS (SELECT d, s[1:d] AS k, count(*) AS n, min(c) AS c,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (len(s) = d), '') AS ends,
+    len(list_filter(string_split_regex(coalesce(any_value(s[d].t), ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS words FROM p GROUP BY 1, 2),
+  kids AS (SELECT k[1:d - 1] AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY 1),
+  m AS (SELECT n.*, coalesce(kids, 0) AS kids FROM n LEFT JOIN kids USING (k)),
+  up AS (SELECT k[1:u] AS k, kids = 0 AS leaf, (n - 1) * CASE WHEN d = 0 THEN 0 ELSE words END AS gain
+    FROM (SELECT *, unnest(range(d + 1)) AS u FROM m)),
+  sums AS (SELECT k, count(*) FILTER (leaf) AS leaves, CAST(sum(gain) AS BIGINT) AS saved FROM up GROUP BY k)
+SELECT m.c AS conv_id, m.d AS depth, par.c AS parent_conv_id, m.n AS n_convs, m.kids AS n_children, leaves AS n_leaves, saved AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN sums USING (k) LEFT JOIN n AS par ON m.d > 0 AND par.k = m.k[1:m.d - 1]"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from rillstone.llm import chat, checks, decontam, hmm, jaccard, licenses, line_dedup, mixing, quality, secrets, suffix_dedup
+from rillstone.llm import chat, checks, decontam, hmm, jaccard, licenses, line_dedup, mixing, negatives, packing, prefixes, quality, secrets, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -111,3 +111,28 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query("op11_best_fit_packing")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    # the ranks of byte_bpe_50k.json, for the faster of the two libraries; tests hold the ids against the other
+    parts = packing.tokenized(
+        table(spark, sf, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        {"<|endoftext|>": 50256},
+    )
+    packed = packing.pack(parts)
+    return packed.select(F.col("doc").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@query("op13_hard_negatives", checks.HARD_NEGATIVES)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf, "embeddings"))
+
+
+@query("op12_prefix_trie", checks.PREFIXES)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return prefixes.prefix_tree(table(spark, sf, "conversations"))

@@ -1,13 +1,9 @@
 from __future__ import annotations
 
 import random
-import sys
-from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent))
-
 SCHEMA = "doc_id bigint, text string, lang string, source string, key string, _mine int, n int, start int, size double, runs int"
 
 

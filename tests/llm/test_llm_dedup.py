@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import random
 
-import plain
 import pytest
 
 from rillstone.llm import graph, jaccard, line_dedup, suffix_dedup
 from rillstone.llm.common import row_key
+from tests.llm import plain
 
 
 def distinct(rows):

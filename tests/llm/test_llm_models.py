@@ -5,11 +5,11 @@ from __future__ import annotations
 from itertools import product
 
 import numpy as np
-import plain
 import pytest
 
 import corpus_pipeline
-from rillstone.llm import hmm, mixing
+from rillstone.llm import hmm, line_dedup, mixing
+from tests.llm import plain
 
 
 def test_counts_and_base_scores(docs):
@@ -129,7 +129,7 @@ def test_pipeline_stages(spark, docs, texts, tmp_path):
 
     good = {(d, t, s) for d, t, s in rows if not plain.quality(t)[5]}
     source = {(d, t): s for d, t, s in good}
-    cut = plain.line_dedup(distinct := plain.in_order({(d, t) for d, t, _ in good}), 30)
+    cut = plain.line_dedup(distinct := plain.in_order({(d, t) for d, t, _ in good}), line_dedup.LEAST_WORDS)
     lined = [(d, new, source[d, old]) for (d, old), (_, _, new) in zip(distinct, cut, strict=True) if new.split()]
     groups = {}
     for row, (_, root) in zip(lined, plain.components([r[:2] for r in lined], 5, 80), strict=True):

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import random
 
-import plain
 import pytest
 from pyspark.sql import functions as F
 
 from rillstone.llm import chat, decontam, licenses, quality, secrets
+from tests.llm import plain
 
 
 def as_bag(rows):

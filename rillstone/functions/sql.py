@@ -31,11 +31,6 @@ def register_functions(spark: SparkSession) -> None:
     )
 
 
-def average(value: Column) -> Column:
-    """A user aggregate with the accumulator ``(sum, n)``; both parts combine before the shuffle."""
-    return F.sum(value) / F.count(value)
-
-
 def random_int(n: int) -> Column:
     return F.floor(F.rand() * n).cast("int")
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from rillstone.functions.sql import random_int
 from rillstone.operators import rolling as ops
+from rillstone.operators.folding import rolling_combine
 from rillstone.operators.scan import count, highest, lowest, total
 from rillstone.operators.skew import salted_sum as salted
 from rillstone.plans.registry import query
@@ -41,6 +42,24 @@ def rolling_reduce(spark, sf):
     return ops.rolling(events, ["event_type"], "event_id", folds).drop("cents", "k")
 
 
+@query(
+    "rolling_reduce_user",
+    f"""WITH {EV}, marked AS (SELECT *, category IS DISTINCT FROM lag(category) {_BY_TYPE} AND lag(event_id) {_BY_TYPE} IS NOT NULL AS changed FROM ev)
+    SELECT event_id, event_type, first_value(category) {_BY_TYPE} AS first, category AS last,
+      CAST(count(*) FILTER (changed) {_BY_TYPE} AS BIGINT) AS changes FROM marked""",
+)
+def rolling_reduce_user(spark, sf):
+    """A user's combine that does not commute, with blocks far below what the keys have."""
+    def joined(a: dict, b: dict) -> dict:
+        """Two stretches of a key's rows put together; it matters which comes first."""
+        return {"first": a["first"], "last": b["last"], "changes": a["changes"] + b["changes"] + (a["last"] != b["first"])}
+
+    events = ev(spark, sf).select("event_id", "event_type", "category")
+    own = F.struct(F.col("category").alias("first"), F.col("category").alias("last"), F.lit(0).cast("bigint").alias("changes"))
+    out = rolling_combine(events, ["event_type"], "event_id", own, joined, "all", block_rows=200)
+    return out.select("event_id", "event_type", "all.first", "all.last", "all.changes")
+
+
 def _extreme_check(fn: str) -> str:
     return f"""WITH {EV} SELECT event_id, event_type, {fn}(cents) {_BY_TYPE} AS cents,
     first_value(user_id) {_BY_TYPE} AS user_id, first_value(k) {_BY_TYPE} AS k FROM ev"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from rillstone.functions.sql import average
+from rillstone.functions.aggregates import AVERAGE, aggregate_view, register_aggregate
 from rillstone.operators import windows as ops
 from rillstone.operators.scan import count, highest, lowest, total
 from rillstone.plans.registry import query
@@ -238,14 +238,14 @@ def late_window_totals(spark, sf):
     "JOIN nation ON c_nationkey = n_nationkey) GROUP BY n_regionkey",
 )
 def udaf_avg(spark, sf):
+    """A user aggregate in the text of a grouped query."""
     from rillstone.plans.tables import table
 
     customer = table(spark, sf, "customer").select(
         "c_nationkey", F.round(F.col("c_acctbal") * 100).alias("c_acctbal")
     )
-    nation = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .groupBy(F.col("n_regionkey").alias("region"))
-        .agg(average(F.col("c_acctbal")).alias("mean_balance"))
-    )
+    nation = table(spark, sf, "nation").select("n_nationkey", F.col("n_regionkey").alias("region"))
+    placed = customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    register_aggregate(spark, "my_avg", AVERAGE)
+    aggregate_view(placed, "v_customers", ["region"], {"c_acctbal": AVERAGE})
+    return spark.sql("SELECT region, my_avg(c_acctbal) mean_balance FROM v_customers GROUP BY region")

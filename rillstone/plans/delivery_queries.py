@@ -25,8 +25,9 @@ from rillstone.sinks.tables import (
     to_upsert,
     write_once,
 )
+from rillstone.sinks.two_phase import read_committed, register_two_phase
 from rillstone.streaming import stateful
-from rillstone.streaming.runner import run
+from rillstone.streaming.runner import forget_commit, run
 
 _PLAIN = "SELECT event_id, user_id, event_type FROM events"
 _LATEST = """SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id
@@ -92,6 +93,25 @@ def sink_jdbc_eo(spark, sf):
     return read_once(spark, out)
 
 
+@query("sink_two_phase", _PLAIN)
+def sink_two_phase(spark, sf):
+    """Two arrivals through a two-phase commit. After the first, the note that its micro-batch is done is lost, so it
+    is delivered again, cut differently."""
+    register_two_phase(spark)
+    out, progress = fresh_path(spark, "published"), fresh_path(spark, "progress")
+
+    def deliver(rows):
+        writer = rows.writeStream.format("two_phase").option("path", out).option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start().awaitTermination()
+
+    for stream in two_arrivals(spark, sf):
+        rows = stream.select("event_id", "user_id", "event_type")
+        deliver(rows)
+        forget_commit(spark, progress)
+        deliver(rows.repartition(3))
+    return read_committed(spark, out, rows.schema)
+
+
 @query("resume_from_checkpoint", CHECKS["rolling_sum"])
 def resume_from_checkpoint(spark, sf):
     """Running sums over a stop and a start: state and offsets go on from the checkpoint."""

@@ -10,6 +10,7 @@ from rillstone.session import fresh_path
 from rillstone.sources.files import read_lines
 from rillstone.sources.generated import sequence
 from rillstone.sources.kafka import parse_csv_lenient
+from rillstone.sources.tail import opened, tail_lines
 from rillstone.streaming.runner import run, start
 
 _LINES_ONLY = f"WITH {LINES} SELECT line FROM lines"
@@ -56,6 +57,44 @@ def src_file_watch(spark, sf):
     return spark.read.parquet(out)
 
 
+def _grow(lines, folder, whole):
+    """Four text files of document lines in order; without ``whole`` the last line has been written by half only."""
+
+    def write(batches):
+        from pyspark import TaskContext
+
+        store, root = opened(folder)
+        store.create_dir(root, recursive=True)
+        with store.open_output_stream(f"{root}/{TaskContext.get().partitionId()}.txt") as out:
+            last = None
+            for line in (v.as_py().encode() for batch in batches for v in batch.column(0)):
+                if last is not None:
+                    out.write(last + b"\n")
+                last = line
+            if last is not None:
+                out.write(last + b"\n" if whole else last[: len(last) // 2])
+        return iter(())
+
+    lines.repartition(4, "doc_id").sortWithinPartitions("doc_id", "at").select("line").mapInArrow(write, "line string").count()
+
+
+def _ordered_lines(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+    return docs.where(~F.contains("line", F.lit("\r")))
+
+
+@query("src_tailed_files", f"WITH {LINES} SELECT line FROM lines WHERE NOT contains(line, chr(13))")
+def src_tailed_files(spark, sf):
+    """Files that grow between two runs are read on from the byte that was reached, in ranges of 64 KiB."""
+    folder, out, progress = (fresh_path(spark, n) for n in ("growing", "lines", "progress"))
+    lines = _ordered_lines(spark, sf)
+    middle = lines.agg(F.percentile_approx("doc_id", 0.4)).first()[0]
+    for upto, whole in ((F.col("doc_id") <= middle, False), (F.lit(True), True)):
+        _grow(lines.where(upto), folder, whole)
+        run(tail_lines(spark, folder, range_bytes=65536).select("line"), progress, path=out)
+    return spark.read.parquet(out)
+
+
 @query("src_resumable_files", _LINES_ONLY)
 def src_resumable_files(spark, sf):
     """A stopped query goes on with the files it has not read."""

@@ -89,3 +89,12 @@ def run_to_end(
     run(df(), checkpoint, **options)
     close()
     run(df(), checkpoint, **options)
+
+
+def forget_commit(spark: SparkSession, checkpoint: str) -> None:
+    """Take back the note that the newest micro-batch of an ended query is done, as if the driver had been lost just before
+    writing it: the next start delivers it again. For trying out sinks."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{checkpoint}/commits")
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    notes = [s.getPath() for s in store.listStatus(folder) if s.getPath().getName().isdigit()]
+    store.delete(max(notes, key=lambda p: int(p.getName())), False)

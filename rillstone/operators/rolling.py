@@ -150,9 +150,31 @@ def changelog(
         {"_sum": total("_v"), "_n": count()},
         block_rows=block_rows,
     )
+    return changes_of(sums, keys, seq, value)
+
+
+def changes_of(sums: DataFrame, keys: Sequence[str], seq: str, value: str) -> DataFrame:
+    """The changelog of running sums ``_sum`` that took in ``_v`` as a key's row number ``_n``."""
     old = F.when(F.col("_n") > 1, F.struct(F.lit(False).alias("op"), (F.col("_sum") - F.col("_v")).alias("v")))
     new = F.struct(F.lit(True).alias("op"), F.col("_sum").alias("v"))
     return (
         sums.select(*keys, seq, F.explode(F.array_compact(F.array(old, new))).alias("_c"))
         .select(*keys, seq, F.col("_c.op").alias("is_insert"), F.col("_c.v").alias(value))
     )
+
+
+def retracting_total(
+    changes: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    value: str,
+    op: str = "is_insert",
+    out: str = "total",
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Running total, per row of a changelog, of the values that are in: inserted ones count, retracted ones no longer.
+
+    Of the changes with one ``seq`` the retraction comes first, as in :func:`changelog`.
+    """
+    signed = F.when(F.col(op), F.col(value)).otherwise(-F.col(value))
+    return scan(changes, keys, seq, {out: total(signed)}, tie=[op], block_rows=block_rows)

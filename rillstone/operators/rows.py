@@ -5,6 +5,7 @@ Everything here is a narrow projection or filter of built-in expressions; nothin
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from functools import reduce
 
@@ -164,3 +165,22 @@ def iterate(
         if rows.isEmpty():
             return union_all(*outputs)
     raise RuntimeError(f"values still go on after {max_passes} passes of {steps_per_pass} steps")
+
+
+def iterate_recursive(df: DataFrame, key: str, col: str, step: str, again: str, max_steps: int = 100) -> DataFrame:
+    """Key and final value by a recursive query, for values that need few steps: ``step`` and ``again`` are SQL expressions of
+    ``col``. The first step is always taken.
+
+    One plan and no passes, but every step keeps its rows: with many steps or large tables :func:`iterate` is the way. A value
+    that still goes on after ``max_steps`` is an error, and so are more rows in all steps than
+    ``spark.sql.cteRecursionRowLimit`` (a million unless set).
+    """
+    name = f"turns_of_{uuid.uuid4().hex}"
+    df.select(key, col).createOrReplaceTempView(name)
+    kind = df.schema[col].dataType.simpleString()
+    return df.sparkSession.sql(
+        f"WITH RECURSIVE turns({key}, {col}, on) MAX RECURSION LEVEL {max_steps} AS ("
+        f"SELECT {key}, {col}, true FROM {name} UNION ALL SELECT {key}, {col}, coalesce({again}, false) FROM "
+        f"(SELECT {key}, CAST({step} AS {kind}) AS {col} FROM turns WHERE on)) "
+        f"SELECT {key}, {col} FROM turns WHERE NOT on"
+    )

@@ -9,6 +9,7 @@ so a window or key with a large share of the rows is never gathered in one task.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -29,6 +30,19 @@ def with_event_time(df: DataFrame, col: str, delay: str, name: str | None = None
     return df.withColumn(name, F.col(col).cast("timestamp")).withWatermark(name, interval_text(delay))
 
 
+def least_watermark(sources: Sequence[DataFrame], ts: str, delays: str | Sequence[str]) -> DataFrame:
+    """Several streams as one, with the least of their watermarks: each trails the newest row of its own source, so a
+    source that lags, or is silent, holds windows open until it has caught up. ``ts`` is a timestamp; one delay for all
+    sources or one each.
+
+    (Spark's setting ``spark.sql.streaming.multipleWatermarkPolicy`` must be ``min``, as it is unless changed; ``max`` goes on
+    without the slower sources and loses their rows.)
+    """
+    delays = [delays] * len(sources) if isinstance(delays, str) else list(delays)
+    timed = [s.withWatermark(ts, interval_text(d)) for s, d in zip(sources, delays, strict=True)]
+    return reduce(DataFrame.unionByName, timed)
+
+
 def _merged(folds: Mapping[str, Fold]) -> list[Column]:
     return [fold.merge(fold.lift).alias(name) for name, fold in folds.items()]
 

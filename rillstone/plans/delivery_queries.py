@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from rillstone.operators.scan import total
 from rillstone.plans import rolling_queries  # noqa: F401  (its checks are used here)
 from rillstone.plans.registry import CHECKS, query
 from rillstone.plans.tables import (
@@ -26,7 +27,7 @@ from rillstone.sinks.tables import (
     write_once,
 )
 from rillstone.sinks.two_phase import read_committed, register_two_phase
-from rillstone.streaming import stateful
+from rillstone.streaming.batches import rolling_batches
 from rillstone.streaming.runner import forget_commit, run
 
 _PLAIN = "SELECT event_id, user_id, event_type FROM events"
@@ -82,14 +83,13 @@ def sink_kv_latest(spark, sf):
 
 @query("sink_jdbc_eo", _PLAIN)
 def sink_jdbc_eo(spark, sf):
-    """Every row once, although each micro-batch is written twice as after a failure."""
-    out = fresh_path(spark, "once")
-
-    def twice(df, batch_id):
-        to_table_once(out)(df, batch_id)
-        to_table_once(out)(df, batch_id)
-
-    run(table_stream(spark, sf, "events").select("event_id", "user_id", "event_type"), fresh_path(spark, "progress"), each=twice)
+    """Every row once, although the newest micro-batch is delivered again after the note that it was done is lost."""
+    out, progress = fresh_path(spark, "once"), fresh_path(spark, "progress")
+    for stream in two_arrivals(spark, sf):
+        rows = stream.select("event_id", "user_id", "event_type")
+        run(rows, progress, each=to_table_once(out))
+        forget_commit(spark, progress)
+        run(rows.repartition(3), progress, each=to_table_once(out))
     return read_once(spark, out)
 
 
@@ -115,20 +115,21 @@ def sink_two_phase(spark, sf):
 @query("resume_from_checkpoint", CHECKS["rolling_sum"])
 def resume_from_checkpoint(spark, sf):
     """Running sums over a stop and a start: state and offsets go on from the checkpoint."""
-    out, progress = fresh_path(spark, "out"), fresh_path(spark, "progress")
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = rolling_batches(out, held, ["event_type"], "event_id", {"cents_so_far": total("cents")})
     for stream in two_arrivals(spark, sf):
-        sums = stateful.rolling_sum_stream(
-            shape_events(stream), ["event_type"], "event_id", "cents", "cents_so_far"
-        )
-        run(sums, progress, path=out)
-    return spark.read.parquet(out)
+        run(shape_events(stream).select("event_id", "event_type", "cents"), progress, each=each)
+    return read_once(spark, out).drop("cents")
 
 
 @query("replay_idempotent", _LATEST)
 def replay_idempotent(spark, sf):
-    """The whole stream delivered twice to an overwriting sink."""
-    out = fresh_path(spark, "users")
-    for _ in range(2):
-        rows = table_stream(spark, sf, "events").select("user_id", "event_type", "event_id")
-        run(rows, fresh_path(spark, "progress"), each=to_upsert(out, ["user_id"], "event_id"))
+    """A micro-batch delivered again after a failure, and then the whole stream once more, to an upsert table."""
+    out, progress = fresh_path(spark, "users"), fresh_path(spark, "progress")
+    for stream in two_arrivals(spark, sf):
+        rows = stream.select("user_id", "event_type", "event_id")
+        run(rows, progress, each=to_upsert(out, ["user_id"], "event_id"))
+        forget_commit(spark, progress)
+        run(rows.repartition(3), progress, each=to_upsert(out, ["user_id"], "event_id"))
+    run(rows, fresh_path(spark, "progress"), each=to_upsert(out, ["user_id"], "event_id"))
     return read_latest(spark, out, ["user_id"])

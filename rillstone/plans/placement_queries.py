@@ -63,3 +63,35 @@ def part_broadcast(spark, sf):
 @query("part_coalesce", _ROWS)
 def part_coalesce(spark, sf):
     return ops.fewer(_events(spark, sf), 2)
+
+
+def _sizes(placed):
+    """How many partitions have rows, how many rows there are, and the shares of the smallest and largest in percent of
+    an even one."""
+    sizes = placed.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    even = F.sum("n") / F.count(F.lit(1))
+    return sizes.agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("n"), (100 * F.min("n") / even).alias("least"), (100 * F.max("n") / even).alias("most")
+    )
+
+
+def _even(placed, percent):
+    return _sizes(placed).select("partitions", "n", ((F.col("least") >= 100 - percent) & (F.col("most") <= 100 + percent)).alias("even"))
+
+
+@query("part_round_robin_sizes", "SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS n, true AS even FROM events")
+def part_round_robin_sizes(spark, sf):
+    """Rows dealt out in turn: all partitions within 5 % of an even share."""
+    return _even(ops.round_robin(_events(spark, sf), 8), 5)
+
+
+@query("part_random_sizes", "SELECT CAST(8 AS BIGINT) AS partitions, count(*) AS n, true AS even FROM events")
+def part_random_sizes(spark, sf):
+    """Rows spread by chance: within 40 % of an even share, also where few rows are spread."""
+    return _even(ops.random_spread(_events(spark, sf), 8), 40)
+
+
+@query("part_coalesce_sizes", "SELECT CAST(2 AS BIGINT) AS partitions, count(*) AS n, true AS even FROM events")
+def part_coalesce_sizes(spark, sf):
+    """Eight even partitions merged to two without a shuffle: even still."""
+    return _even(ops.fewer(ops.round_robin(_events(spark, sf), 8), 2), 5)

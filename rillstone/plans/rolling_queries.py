@@ -164,6 +164,19 @@ def grand_total_final(spark, sf):
     return regions.agg(F.sum("income").alias("income"), F.sum("orders_so_far").alias("orders_so_far"))
 
 
+@query(
+    "grand_total_retract",
+    f"WITH {PRICED} SELECT o_orderkey, CAST(sum(cents) OVER (ORDER BY o_orderkey) AS BIGINT) AS income FROM priced",
+)
+def grand_total_retract(spark, sf):
+    """The total over regions of each region's latest sum: the changelog of the sums is consumed, an old sum goes out
+    of the total before the new one comes in."""
+    orders = priced_orders(spark, sf).select("o_orderkey", "region", "cents")
+    changes = ops.changelog(orders, ["region"], "o_orderkey", "cents")
+    totals = ops.retracting_total(changes, [], "o_orderkey", "cents", out="income")
+    return totals.where("is_insert").select("o_orderkey", "income")
+
+
 @query(
     "ad_counts_running",
     f"""WITH {EV}, marked AS (SELECT *, CASE WHEN row_number() OVER

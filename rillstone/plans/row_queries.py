@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from rillstone.operators import rows
-from rillstone.plans.registry import query
+from rillstone.plans.registry import CHECKS, query
 from rillstone.plans.tables import EV, LINES, WORDS, doc_lines, doc_words, ev, table
 
 
@@ -159,3 +159,10 @@ def union_all(spark, sf):
 def iterate_until(spark, sf):
     parts = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("v"))
     return rows.iterate(parts, "v", lambda v: v - 3, lambda v: v > 0)
+
+
+@query("iterate_recursive", CHECKS["iterate_until"])
+def iterate_recursive(spark, sf):
+    """The same by a recursive query: sizes up to 50 take few steps."""
+    parts = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("v"))
+    return rows.iterate_recursive(parts, "p_partkey", "v", "v - 3", "v > 0")

@@ -17,11 +17,25 @@ from rillstone.plans import (  # noqa: F401
     window_queries,
 )
 from rillstone.plans.registry import CHECKS, query
-from rillstone.plans.tables import EV, shape_events, table, table_stream, two_arrivals
+from rillstone.plans.tables import EV, PRICED, priced_orders, shape_events, table, table_stream, two_arrivals
 from rillstone.session import fresh_path
 from rillstone.sinks.tables import BATCH, read_latest, read_once, to_upsert, write_once
-from rillstone.streaming import stateful
-from rillstone.streaming.batches import distinct_batches, mark_late_batches, rolling_batches
+from rillstone.sources.files import read_rows_stream
+from rillstone.streaming import dimensions, processors, stateful
+from rillstone.streaming.batches import (
+    changelog_batches,
+    count_window_batches,
+    distinct_batches,
+    distinct_state_batches,
+    distinct_states,
+    last_n_batches,
+    live_list_batches,
+    mark_late_batches,
+    multiset_batches,
+    multiset_totals,
+    rolling_batches,
+    ttl_batches,
+)
 from rillstone.streaming.runner import closing_rows, run, run_to_end, write_closing_row
 from rillstone.timeunits import as_ntz, epoch_micros
 
@@ -228,42 +242,76 @@ def stream_interval_join(spark, sf):
 
 @query("stream_rolling_sum", CHECKS["rolling_sum"])
 def stream_rolling_sum(spark, sf):
-    return _drained(
-        spark, sf,
-        lambda events: stateful.rolling_sum_stream(events, ["event_type"], "event_id", "cents", "cents_so_far"),
-    )
+    """Over arrivals of several files; a key with most of the rows is split inside the micro-batch."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = rolling_batches(out, held, ["event_type"], "event_id", {"cents_so_far": total("cents")})
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "event_type", "cents"), progress, each=each)
+    return read_once(spark, out).drop("cents")
 
 
 @query("stream_changelog", CHECKS["retract_changelog"])
 def stream_changelog(spark, sf):
-    return _drained(
-        spark, sf, lambda events: stateful.changelog_stream(events, ["event_type"], "event_id", "cents")
-    )
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = changelog_batches(out, held, ["event_type"], "event_id", "cents")
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "event_type", "cents"), progress, each=each)
+    return read_once(spark, out)
 
 
 @query("stream_list_last10", CHECKS["state_list_last10"])
 def stream_list_last10(spark, sf):
-    lists = _drained(
-        spark, sf, lambda events: stateful.last_n_stream(events, ["user_id"], "event_id", "event_type", 10)
-    )
-    return lists.select("event_id", "user_id", F.array_join("last_values", ",").alias("actions"))
+    """The nine rows of a user that the next one needs are carried on, and no others."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = last_n_batches(out, held, ["user_id"], "event_id", "event_type", 10)
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "user_id", "event_type"), progress, each=each)
+    return read_once(spark, out).select("event_id", "user_id", F.array_join("last_values", ",").alias("actions"))
+
+
+def _expiring(spark, sf, each_of, *columns):
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "ts", *columns), progress, each=each_of(out, held))
+    return read_once(spark, out)
 
 
 @query("stream_value_ttl", CHECKS["state_value_ttl"])
 def stream_value_ttl(spark, sf):
-    def build(events):
-        timed = events.withColumn("at", epoch_micros("ts"))
-        return stateful.rolling_ttl_stream(timed, ["user_id"], "event_id", "at", 6 * 3_600_000_000, "cents")
+    """A user's sum and the time of its last row are carried on while the sum can still grow."""
+    def each(out, held):
+        return ttl_batches(out, held, ["user_id"], "event_id", "ts", "6 hours", "cents", delay=_DELAY)
 
-    return _drained(spark, sf, build)
+    return _expiring(spark, sf, each, "user_id", "cents").drop("ts", "cents")
+
+
+@query("stream_map_ttl", CHECKS["state_map_ttl"])
+def stream_map_ttl(spark, sf):
+    """An entry of a user's map expires on its own: the entry is part of the key."""
+    def each(out, held):
+        return ttl_batches(out, held, ["user_id", "event_type"], "event_id", "ts", "6 hours", "cents", delay=_DELAY)
+
+    return _expiring(spark, sf, each, "user_id", "event_type", "cents").drop("ts", "cents")
+
+
+@query("stream_list_ttl", CHECKS["state_list_ttl"])
+def stream_list_ttl(spark, sf):
+    """Elements are carried on while they live; an element expires on its own."""
+    def each(out, held):
+        return live_list_batches(out, held, ["user_id"], "event_id", "ts", "6 hours", "event_type", delay=_DELAY)
+
+    lists = _expiring(spark, sf, each, "user_id", "event_type")
+    return lists.select("event_id", "user_id", F.array_join("live_values", ",").alias("actions"))
 
 
 @query("stream_count_window", CHECKS["count_window_keyed"])
 def stream_count_window(spark, sf):
-    return _drained(
-        spark, sf,
-        lambda events: stateful.count_window_stream(events, 5, "event_id", "cents", ["event_type"], "cents"),
-    )
+    """Per key the sum of every five rows; of an open window only its sum is carried on."""
+    out, held, progress = (fresh_path(spark, n) for n in ("out", "held", "progress"))
+    each = count_window_batches(out, held, 5, "event_id", {"cents": total("cents")}, ["event_type"])
+    for stream in two_arrivals(spark, sf):
+        run(shape_events(stream).select("event_id", "event_type", "cents"), progress, each=each)
+    return read_once(spark, out)
 
 
 def _ad_counts(spark, sf):
@@ -314,6 +362,7 @@ def _facts_and_changes(events: DataFrame) -> DataFrame:
 
 @query("stream_dim_join", CHECKS["broadcast_dim_join"])
 def stream_dim_join(spark, sf):
+    """In the state store, one key in one task per micro-batch; the form below has no such limit."""
     def build(events):
         return stateful.dim_asof_stream(_facts_and_changes(events), "cid", "event_id", "is_change", "name")
 
@@ -377,16 +426,6 @@ def stream_grand_total(spark, sf):
     return read_once(spark, out).drop("cents")
 
 
-@query("stream_map_ttl", CHECKS["state_map_ttl"])
-def stream_map_ttl(spark, sf):
-    """An entry of a user's map expires on its own: the entry is part of the key."""
-    def build(events):
-        timed = events.withColumn("at", epoch_micros("ts"))
-        return stateful.rolling_ttl_stream(timed, ["user_id", "event_type"], "event_id", "at", 6 * 3_600_000_000, "cents")
-
-    return _drained(spark, sf, build)
-
-
 @query("stream_window_cogroup", CHECKS["window_cogroup"])
 def stream_window_cogroup(spark, sf):
     """Both sides from one stream, met in one windowed aggregation."""
@@ -398,3 +437,108 @@ def stream_window_cogroup(spark, sf):
         )
 
     return _real(_to_end(spark, sf, build, kinds=("view", "click")), _users(), "window_start", "window_end")
+
+
+@query("stream_timer_topn", CHECKS["timer_topn_per_key"])
+def stream_timer_topn(spark, sf):
+    """Timers at the end of each day: the rows of a day are spread over several micro-batches, a hot key over salts."""
+    schema = table(spark, sf, "events").schema
+    closing, out, progress = (fresh_path(spark, n) for n in ("closing", "out", "progress"))
+
+    def fire(df, batch_id):
+        write_once(processors.merged_top(df, ["event_type"], "cents", "event_id", 3), out, batch_id)
+
+    def deliver(stream):
+        events = shape_events(stream.unionByName(closing_rows(spark, schema, closing)))
+        timed = windows.with_event_time(events, "ts", _DELAY)
+        top = processors.top_timers(timed, ["event_type"], "ts", "1 day", "cents", "event_id", 3, salts=4)
+        with processors.rocksdb(spark):
+            run(top, progress, each=fire)
+
+    for stream in two_arrivals(spark, sf):
+        deliver(stream)
+    last = {"event_id": -1, "user_id": -1, "event_type": "closing", "value": 0.0, "props": '{"k": -1}'}
+    write_closing_row(spark, schema, closing, "ts", last)
+    deliver(stream)
+    end = as_ntz(F.timestamp_millis("ends"))
+    fired = read_once(spark, out).where(_kinds()).withColumn("window_end", end)
+    return fired.select((F.col("window_end") - F.expr("INTERVAL 1 DAY")).alias("window_start"), "window_end", "event_type", "event_id", "cents", "rank_no")
+
+
+@query("stream_distinct_now", CHECKS["ad_counts_sql"])
+def stream_distinct_now(spark, sf):
+    """Hits and exact distinct users per ad and event from bitmaps that merge from micro-batch to micro-batch."""
+    held, progress = fresh_path(spark, "held"), fresh_path(spark, "progress")
+    for stream in two_arrivals(spark, sf):
+        ads = shape_events(stream).select("event_id", F.col("k").alias("aid"), "event_type", "user_id")
+        run(ads, progress, each=distinct_state_batches(held, ["aid", "event_type"], "user_id"))
+    return distinct_states(spark, held, ["aid", "event_type"], hits="hits", distinct="users")
+
+
+@query(
+    "stream_retracted_max",
+    f"""WITH {PRICED}, sums AS (SELECT nation, region, sum(cents) AS cents FROM priced GROUP BY ALL)
+    SELECT region, count(*) AS nations, CAST(sum(cents) AS BIGINT) AS cents, CAST(min(cents) AS BIGINT) AS least, CAST(max(cents) AS BIGINT) AS most
+    FROM sums GROUP BY region""",
+)
+def stream_retracted_max(spark, sf):
+    """Aggregates of a changelog: each nation's income so far goes out with every order and the new one comes in, and
+    the region's largest, smallest and total income follow."""
+    arriving, changes, held, counted, progress, again = (fresh_path(spark, n) for n in ("orders", "changes", "held", "counted", "progress", "progress"))
+    orders = priced_orders(spark, sf).select("o_orderkey", "nation", "region", "cents")
+    middle = orders.agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    for part in (F.col("o_orderkey") <= middle, F.col("o_orderkey") > middle):
+        orders.where(part).write.mode("append").parquet(arriving)
+        stream = read_rows_stream(spark, arriving, orders.schema)
+        run(stream, progress, each=changelog_batches(changes, held, ["region", "nation"], "o_orderkey", "cents"))
+        log = read_rows_stream(spark, f"{changes}/*", spark.read.parquet(changes).drop(BATCH).schema)
+        run(log, again, each=multiset_batches(counted, ["region"], "cents", "is_insert"))
+    return multiset_totals(spark, counted, ["region"], "cents", n="nations", total="cents", least="least", most="most")
+
+
+@query("stream_tumble_two_sources", CHECKS["tumble_keyed"])
+def stream_tumble_two_sources(spark, sf):
+    """Windows over two sources, one of which comes hours behind the other: none closes before both are past it."""
+    schema = table(spark, sf, "events").schema
+    ahead, behind, out, progress = (fresh_path(spark, n) for n in ("ahead", "behind", "out", "progress"))
+    for folder in (ahead, behind):
+        closing_rows(spark, schema, folder)  # both folders are there from the start
+
+    def deliver():
+        sources = [read_rows_stream(spark, folder, schema) for folder in (ahead, behind)]
+        events = shape_events(windows.least_watermark([s.withColumn("ts", F.col("ts").cast("timestamp")) for s in sources], "ts", _DELAY))
+        sums = windows.tumble(events, "ts", "1 hour", {"cents": total("cents"), "n": count()}, ["user_id"])
+        run(sums, progress, path=out)
+
+    events = table(spark, sf, "events")
+    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
+    first, early = F.col("user_id") % 2 == 0, F.coalesce(F.col("event_id") <= middle, F.lit(False))
+    # the first source is through before the second has begun, and the second ends with its earlier half last seen alone
+    for folder, part in ((ahead, first), (behind, ~first & early), (behind, ~first & ~early)):
+        events.where(part).write.mode("append").parquet(folder)
+        deliver()
+    for folder in (ahead, behind):
+        own = {"event_id": -1, "user_id": -1, "event_type": "closing", "value": 0.0, "props": '{"k": -1}'}
+        write_closing_row(spark, schema, folder, "ts", own)
+    deliver()
+    return _real(spark.read.parquet(out), _users(), "window_start", "window_end")
+
+
+@query(
+    "stream_dim_latest",
+    """SELECT event_id, user_id, CASE WHEN user_id % 7 <> 0 OR event_id % 2 = 1
+      THEN 'v' || event_id % 2 || '-' || user_id % 13 END AS label FROM events""",
+)
+def stream_dim_latest(spark, sf):
+    """Every micro-batch looks rows up in the newest snapshot of the dimension, which changes between two arrivals."""
+    dim, arriving, out, progress = (fresh_path(spark, n) for n in ("dim", "arriving", "out", "progress"))
+    events = table(spark, sf, "events").select("event_id", "user_id")
+    users = events.select("user_id").distinct()
+    for version in (0, 1):
+        label = F.concat(F.lit(f"v{version}-"), (F.col("user_id") % 13).cast("string")).alias("label")
+        known = users if version else users.where("user_id % 7 <> 0")
+        dimensions.publish(known.select("user_id", label), dim, version)
+        events.where(F.col("event_id") % 2 == version).write.mode("append").parquet(arriving)
+        rows = read_rows_stream(spark, arriving, events.schema)
+        run(rows, progress, each=dimensions.lookup_latest(dim, out, ["user_id"]))
+    return read_once(spark, out)

@@ -2,7 +2,8 @@
 
 Each micro-batch owns the folder ``batch_id=N`` and overwrites it when it is replayed after a
 failure, so every row is there exactly once. An upsert table is the same log of micro-batches read
-as the last row per key: writing costs what the batch costs, whatever the size of the table.
+as the last row per key: writing costs what the batch costs, whatever the size of the table, but for the folding of
+the log every so many micro-batches.
 """
 
 from __future__ import annotations
@@ -14,6 +15,30 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 BATCH = "batch_id"
 
 
+#: an upsert log is folded every so many micro-batches; it never has more than twice as many folders
+FOLD_EVERY = 20
+
+
+def folders(spark: SparkSession, path: str, name: str = BATCH, holding: str | None = None) -> list[int]:
+    """The numbers N of the folders ``name=N`` of a table (those that hold a file of a given name)."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(root):
+        return []
+    found = [s.getPath() for s in store.listStatus(root) if s.getPath().getName().startswith(f"{name}=")]
+    if holding:
+        found = [p for p in found if store.exists(spark._jvm.org.apache.hadoop.fs.Path(p, holding))]
+    return [int(p.getName().split("=")[1]) for p in found]
+
+
+def forget(spark: SparkSession, path: str, before: int) -> None:
+    """Remove the folders of micro-batches before a number."""
+    for number in folders(spark, path):
+        if number < before:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{BATCH}={number}")
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_once(df: DataFrame, path: str, batch_id: int) -> None:
     """Put the rows of one micro-batch in place of an earlier attempt at the same micro-batch."""
     df.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
@@ -45,14 +70,28 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Da
     )
 
 
-def upsert(updates: DataFrame, path: str, keys: Sequence[str], order: str, batch_id: int) -> None:
-    """Insert or replace by primary key: the last row by ``order`` wins, then the later micro-batch."""
-    write_once(last_per_key(updates, keys, [order]), path, batch_id)
+def upsert(updates: DataFrame, path: str, keys: Sequence[str], order: str, batch_id: int, fold_every: int = FOLD_EVERY) -> None:
+    """Insert or replace by primary key: the last row by ``order`` wins, then the later micro-batch.
+
+    Every ``fold_every`` micro-batches the current row of every key is written with the micro-batch, and what was written
+    before the fold before goes; until then a reader that began earlier may still be reading it, and a micro-batch that
+    is delivered again finds the same rows to fold.
+    """
+    rows = last_per_key(updates, keys, [order])
+    if batch_id and batch_id % fold_every == 0:
+        spark = updates.sparkSession
+        before = read_batches(spark, path, batch_id - fold_every, batch_id)
+        both = before.unionByName(rows.withColumn(BATCH, F.lit(batch_id)))
+        rows = last_per_key(both, keys, [BATCH]).drop(BATCH)
+        write_once(rows, path, batch_id)
+        forget(spark, path, batch_id - fold_every)
+    else:
+        write_once(rows, path, batch_id)
 
 
-def to_upsert(path: str, keys: Sequence[str], order: str) -> Callable[[DataFrame, int], None]:
+def to_upsert(path: str, keys: Sequence[str], order: str, fold_every: int = FOLD_EVERY) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: :func:`upsert` of every micro-batch."""
-    return lambda df, batch_id: upsert(df, path, keys, order, batch_id)
+    return lambda df, batch_id: upsert(df, path, keys, order, batch_id, fold_every)
 
 
 def read_latest(

@@ -1,7 +1,8 @@
 """Keyed state and timers in Spark's state store, by ``transformWithState``.
 
 * :func:`expiring_list`, :func:`expiring_map`: what a key has seen lately by the clock. Each element and each map entry has a
-  time to live of its own, and the state store drops what has expired, entries of silent keys too.
+  time to live of its own, and the state store drops what has expired, entries of silent keys too. They are for queries
+  that run on (``every``): by the clock there is always something left to expire, so a run to the end has none.
 * :func:`top_timers`: a timer per key and time bucket; when the watermark passes the bucket's end its ``n`` largest rows
   come out. The state is a heap of ``n`` rows per open bucket, never all rows. Keys are spread over ``salts``, so a
   hot key's rows are reduced in several tasks; :func:`merged_top` ranks the few rows that fire.

@@ -15,7 +15,7 @@ from rillstone.session import fresh_path
 from rillstone.sinks.tables import folders, read_latest, read_once, to_upsert
 from rillstone.sources.files import read_rows_stream
 from rillstone.streaming import batches, dimensions, processors
-from rillstone.streaming.runner import run
+from rillstone.streaming.runner import run, start
 from tests.helpers import EPOCH, at
 
 SCHEMA = "seq bigint, key string, ts timestamp_ntz, v bigint, tag string"
@@ -207,29 +207,50 @@ def test_recursion(spark):
         spark.conf.set("spark.sql.cteRecursionRowLimit", before)
 
 
-def deliver(spark, folder, rows, schema, build, out, progress, each=None):
+def deliver(spark, folder, rows, schema, build, out, progress, each):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = read_rows_stream(spark, folder, spark.createDataFrame([], schema).schema)
     with processors.rocksdb(spark):
-        run(build(stream), progress, **({"each": each(out)} if each else {"path": out}))
+        run(build(stream), progress, each=each(out))
+
+
+def until(spark, path, n):
+    """The rows of a running query's output, once there are ``n``."""
+    for _ in range(120):
+        try:
+            rows = spark.read.parquet(path).collect()
+        except Exception:  # noqa: BLE001 - nothing has been written yet
+            rows = []
+        if len(rows) >= n:
+            return rows
+        time.sleep(0.25)
+    raise AssertionError(f"{len(rows)} of {n} rows")
 
 
 def test_lists_and_maps_expire_by_the_clock(spark):
     schema = "seq bigint, k string, field string, v bigint"
-    folder, lists, sums, p1, p2 = (fresh_path(spark, n) for n in ("in", "lists", "sums", "p", "p"))
+    folder, lists, sums = (fresh_path(spark, n) for n in ("in", "lists", "sums"))
     first = [(1, "a", "x", 5), (2, "a", "y", 1), (3, "b", "x", 7), (4, "a", "x", None)]
     second = [(5, "a", "x", 2), (6, "c", "x", 1)]
-    for i, rows in enumerate((first, second)):
-        deliver(spark, folder, rows, schema, lambda s: processors.expiring_list(s, ["k"], "seq", "field", "1 second"), lists, p1)
-        stream = read_rows_stream(spark, folder, spark.createDataFrame([], schema).schema)
-        with processors.rocksdb(spark):
-            run(processors.expiring_map(stream, ["k"], "seq", "field", "v", "1 hour"), p2, path=sums)
-        if i == 0:
-            time.sleep(2)
-    assert {r.seq: r.live_values for r in spark.read.parquet(lists).collect()} == {
+    spark.createDataFrame(first, schema).coalesce(1).write.parquet(folder)
+    stream = read_rows_stream(spark, folder, spark.createDataFrame([], schema).schema)
+    with processors.rocksdb(spark):
+        running = [
+            start(processors.expiring_list(stream, ["k"], "seq", "field", "1 second"), fresh_path(spark, "p"), path=lists, every="1 second", state_partitions=2),
+            start(processors.expiring_map(stream, ["k"], "seq", "field", "v", "1 hour"), fresh_path(spark, "p"), path=sums, every="1 second", state_partitions=2),
+        ]
+    try:
+        until(spark, lists, 4), until(spark, sums, 4)
+        time.sleep(1.5)
+        spark.createDataFrame(second, schema).coalesce(1).write.mode("append").parquet(folder)
+        got, added = until(spark, lists, 6), until(spark, sums, 6)
+    finally:
+        for query in running:
+            query.stop()
+    assert {r.seq: r.live_values for r in got} == {
         1: ["x"], 2: ["x", "y"], 4: ["x", "y", "x"], 3: ["x"], 5: ["x"], 6: ["x"]
     }  # the second arrival finds the first one's elements expired
-    assert {r.seq: r.running for r in spark.read.parquet(sums).collect()} == {1: 5, 2: 1, 3: 7, 4: 5, 5: 7, 6: 1}
+    assert {r.seq: r.running for r in added} == {1: 5, 2: 1, 3: 7, 4: 5, 5: 7, 6: 1}
 
 
 def test_timers_fire_when_the_watermark_passes(spark):

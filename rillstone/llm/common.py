@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rillstone.session import fresh_path
 
@@ -63,12 +63,32 @@ def marked(docs: DataFrame, wanted: DataFrame, doc: str, text: str, how: str, ex
     return keyed.join(right, same, how).select(*columns_of(docs), *([more] if extra else [])), more
 
 
+#: while it is on, the shuffle files of a write go as soon as it is done, instead of when the driver next collects garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+#: folders that operators wrote for themselves, until they are discarded
+_folders: list[str] = []
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """The rows, written to the shared folder and read from there: what follows starts from files that
-    outlive any executor, and its size is known to the optimizer."""
-    path = fresh_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    outlive any executor, and its size is known to the optimizer. The shuffle files behind them go."""
+    spark = df.sparkSession
+    path, before = fresh_path(spark, name), spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    _folders.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Remove what operators have written for themselves so far. Only when the results built on it are written."""
+    while _folders:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(_folders.pop())
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

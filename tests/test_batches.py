@@ -75,7 +75,7 @@ def test_operators_carry_what_they_need(spark, history):
 
 
 def test_expired_state_goes(spark, history):
-    """Over 25 micro-batches (and 6 for the sums): what is carried on stays as small as what is alive, however many
+    """Over 12 micro-batches (and 4 for the sums): what is carried on stays as small as what is alive, however many
     keys have been seen."""
     df, rows = history
     sizes = {}
@@ -91,11 +91,11 @@ def test_expired_state_goes(spark, history):
             assert len(folders(spark, held)) <= 2
             seen.append(spark.read.parquet(f"{held}/batch_id={i}").count())
 
-        feed(df, step, steps=25 if name == "list" else 6)
+        feed(df, step, steps=12 if name == "list" else 4)
         sizes[name] = seen
     # an hour and a half has 18 rows, and up to 8 keys; the half before and the half after do not differ in kind
     assert max(sizes["sum"]) <= 8 and max(sizes["list"]) <= 26
-    assert max(sizes["list"][12:]) <= max(sizes["list"][:12]) + 4
+    assert max(sizes["list"][6:]) <= max(sizes["list"][:6]) + 4
     assert len({r[1] for r in rows}) > 30
 
 

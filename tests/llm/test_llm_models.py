@@ -57,8 +57,19 @@ def test_forward_and_expected_counts_equal_all_paths():
                 emitted[s, k] += p / total
             for a, b in zip(path, path[1:], strict=False):
                 moved[a, b] += p / total
-    for got, want in zip(hmm.expected_counts(model, sequences), (emitted, moved, started), strict=True):
-        assert got == pytest.approx(want)
+    for stretch, at_once in product((1, 2, 3, 10), (1, 4, 100)):  # stretches and groups leave the results as they are
+        assert hmm.log10_likelihood(model, sequences, stretch, at_once) == pytest.approx(np.log10(totals))
+        for got, want in zip(hmm.expected_counts(model, sequences, stretch, at_once), (emitted, moved, started), strict=True):
+            assert got == pytest.approx(want)
+
+
+def test_long_text_counts_one_start():
+    model, text = small_model(), np.random.default_rng(2).integers(0, 4, 20_000)
+    whole = hmm.expected_counts(model, [text], 20_000)
+    for got, want in zip(hmm.expected_counts(model, [text], 512), whole, strict=True):
+        assert got == pytest.approx(want, rel=1e-9)
+    assert whole[2].sum() == pytest.approx(1) and whole[1].sum() == pytest.approx(19_999) and whole[0].sum() == pytest.approx(20_000)
+    assert hmm.log10_likelihood(model, [text], 512) == pytest.approx(hmm.log10_likelihood(model, [text], 20_000), rel=1e-12)
 
 
 def test_training_beats_counts(spark):

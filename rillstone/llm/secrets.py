@@ -7,6 +7,8 @@ table an empty one; other columns are kept, and the new ones can be named.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rillstone.llm.common import let, whole_text
@@ -37,61 +39,100 @@ ALLOWED = (
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
+def running(values: Column, combine: Callable[[Column, Column], Column], back: bool = False) -> Column:
+    """Each element combined with all before it (``back``: behind it), in as many rounds as the array's size has
+    binary digits: a round takes in what the element 1, 2, 4, ... places away has gathered. ``combine`` is associative."""
+    powers = F.array(*[F.lit(1 << k) for k in range(31)])
+
+    def take_in(state: Column, step: Column) -> Column:
+        def one(x: Column, i: Column) -> Column:
+            far = F.get(state, i + step if back else i - step)
+            return F.when(far.isNull(), x).otherwise(combine(x, far))
+
+        return F.transform(state, one)
+
+    def rounds(size: Column) -> Column:
+        return F.filter(powers, lambda step: step < size)
+
+    return let(values, lambda known: F.aggregate(let(F.size(known), rounds), known, take_in))
+
+
 def located(text: Column, pattern: str, kind: int) -> Column:
-    """Every leftmost, non-overlapping match with its place in code points. The pieces between the matches
-    give the places; a match never is empty, so there is one piece more than matches."""
-
-    def step(state: Column, piece: Column) -> Column:
-        start = state["at"] + F.length(piece["gap"])
-        end = start + F.coalesce(F.length(piece["found"]), F.lit(0))
-        span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), piece["found"].alias("value"))
-        spans = F.when(piece["found"].isNull(), state["spans"]).otherwise(F.concat(state["spans"], F.array(span)))
-        return F.struct(end.alias("at"), spans.alias("spans"))
-
-    pieces = F.zip_with(
-        F.split(text, pattern, -1),
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda gap, found: F.struct(gap.alias("gap"), found.alias("found")),
-    )
-    return F.aggregate(
-        pieces, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans")), step, lambda state: state["spans"]
-    )
+    """Every leftmost, non-overlapping match with its place in code points. The lengths of matches and of the pieces
+    between them, added up, give the places; a match never is empty, so there is one piece more than matches."""
+
+    def placed(found: Column) -> Column:
+        lengths = F.zip_with(
+            F.split(text, pattern, -1), found, lambda gap, match: F.length(gap) + F.coalesce(F.length(match), F.lit(0))
+        )
+        ends = F.slice(running(lengths, lambda x, y: x + y), F.lit(1), F.size(found))
+        return F.zip_with(
+            found,
+            ends,
+            lambda match, end: F.struct(
+                (end - F.length(match)).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), match.alias("value")
+            ),
+        )
+
+    return let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), placed).cast(SPAN)
 
 
 def top_entropy(value: Column, window: int) -> Column:
     """The highest Shannon entropy, in bits per character, of the string's windows.
 
     Counts of the characters in the window are kept from one window to the next: the character that comes in
-    adds one, the one that goes out takes one, and sum(c log c) changes by these two terms only.
+    adds one, the one that goes out takes one, and sum(c log c) changes by these two terms only. The counts are a few
+    bits each, packed into whole numbers: 7 of them for the alphabet and a window of 20.
     """
 
+    bits = window.bit_length()
+    per_word = 62 // bits
+    words = len(ALPHABET) // per_word + 1
+
     def weight(count: Column) -> Column:
         return F.when(count > 0, count * F.log2(count)).otherwise(F.lit(0.0))
 
+    def one(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), (code % per_word) * bits)
+
+    def word(code: Column) -> Column:
+        return F.floor(code / per_word).cast("int")
+
+    def count(counts: Column, code: Column) -> Column:
+        packed = F.get(counts, word(code))
+        return F.call_function("shiftright", packed, (code % per_word) * bits).bitwiseAND(F.lit((1 << bits) - 1))
+
+    def changed(counts: Column, code: Column, by: int) -> Column:
+        return F.transform(counts, lambda c, at: F.when(at == word(code), c + by * one(code)).otherwise(c))
+
     def body(codes: Column) -> Column:
         def step(state: Column, i: Column) -> Column:
-            into, out = F.get(codes, i), F.when(i >= window, F.get(codes, i - window)).otherwise(F.lit(-1))
-            # one character more, then one less: a character that comes in and goes out keeps its count
-            n_in = F.get(state["counts"], into)
-            grown = state["total"] + weight(n_in + 1) - weight(n_in)
-            n_out = F.coalesce(F.get(state["counts"], F.greatest(out, F.lit(0))), F.lit(0)) + (out == into).cast("int")
-            total = F.when(out >= 0, grown + weight(n_out - 1) - weight(n_out)).otherwise(grown)
-            counts = F.transform(
-                state["counts"], lambda c, at: c + (at == into).cast("int") - (at == out).cast("int")
-            )
-            return let(
-                total,
-                lambda now: F.struct(
-                    counts.alias("counts"),
-                    now.alias("total"),
-                    F.when(
-                        i >= window - 1, F.greatest(state["best"], F.log2(F.lit(float(window))) - now / window)
-                    ).otherwise(state["best"]).alias("best"),
+            # the character that goes out first, then the one that comes in
+            gone = F.get(codes, F.greatest(i - window, F.lit(0)))
+            n_gone = count(state["counts"], gone)
+            less = F.when(
+                i >= window,
+                F.struct(
+                    changed(state["counts"], gone, -1).alias("counts"),
+                    (state["total"] + weight(n_gone - 1) - weight(n_gone)).alias("total"),
                 ),
-            )
+            ).otherwise(F.struct(state["counts"].alias("counts"), state["total"].alias("total")))
+
+            def more(now: Column) -> Column:
+                come = F.get(codes, i)
+                n_come = count(now["counts"], come)
+                total = now["total"] + weight(n_come + 1) - weight(n_come)
+                reached = F.when(i >= window - 1, F.log2(F.lit(float(window))) - total / window).otherwise(F.lit(0.0))
+                return F.struct(
+                    changed(now["counts"], come, 1).alias("counts"),
+                    total.alias("total"),
+                    F.greatest(state["best"], reached).alias("best"),
+                )
+
+            return let(less, more)
 
         start = F.struct(
-            F.array_repeat(F.lit(0), len(ALPHABET) + 1).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best")
+            F.array_repeat(F.lit(0).cast("bigint"), words).alias("counts"), F.lit(0.0).alias("total"), F.lit(0.0).alias("best")
         )
         return F.aggregate(F.sequence(F.lit(0), F.size(codes) - 1), start, step, lambda state: state["best"])
 
@@ -136,14 +177,28 @@ def find_secrets(
     runs = F.when(body.rlike(HEX), located(body, HEX, 2)).otherwise(none)
     candidates = F.when(body.rlike(CANDIDATE), located(body, CANDIDATE, 3)).otherwise(none)
 
-    def joined(base: Column) -> Column:
-        def adds(span: Column) -> Column:
-            covered = F.exists(base, lambda known: (known["start"] < span["end"]) & (span["start"] < known["end"]))
-            return ~covered & looks_random(span["value"], window, limits or LIMITS, allowed)
+    def random_ones(spans: Column) -> Column:
+        """Without the candidates that a fixed pattern touches or that do not look random. In the order of starts a
+        candidate is touched if an earlier pattern's span ends behind its start, or the next one starts before its end."""
+        ends = F.transform(spans, lambda s: F.when(s["kind"] < 3, s["end"]).otherwise(F.lit(-1)))
+        starts = F.transform(spans, lambda s: F.when(s["kind"] < 3, s["start"]).otherwise(F.lit(2**31 - 1)))
+        near = F.arrays_zip(
+            spans.alias("span"),
+            running(ends, F.greatest).alias("reached"),
+            running(starts, F.least, back=True).alias("ahead"),
+        )
+
+        def stays(at: Column) -> Column:
+            span = at["span"]
+            covered = (at["reached"] > span["start"]) | (at["ahead"] < span["end"])
+            return (span["kind"] < 3) | (~covered & looks_random(span["value"], window, limits or LIMITS, allowed))
+
+        return F.transform(F.filter(near, stays), lambda at: at["span"])
 
-        return F.array_sort(F.concat(base, F.filter(candidates, adds)))
+    def joined(spans: Column) -> Column:
+        return F.when(F.exists(spans, lambda s: s["kind"] == 3), let(F.sort_array(spans), random_ones)).otherwise(F.sort_array(spans))
 
-    return docs.withColumn(out, let(F.concat(assign, access, runs), joined))
+    return docs.withColumn(out, let(F.concat(assign, access, runs, candidates), joined))
 
 
 def span_text(spans: Column) -> Column:
@@ -156,18 +211,28 @@ def span_text(spans: Column) -> Column:
 
 def redact(docs: DataFrame, text: str = "text", secrets: str = "secrets", mark: str = "[SECRET]") -> DataFrame:
     """The text with each stretch that secrets cover replaced by one ``mark``."""
-    body = whole_text(text)
+    size = 1024
+    blocks = F.regexp_extract_all(whole_text(text), F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
 
-    def step(state: Column, span: Column) -> Column:
-        between = F.substring(body, state["at"] + 1, F.greatest(span["start"] - state["at"], F.lit(0)))
-        fresh = span["start"] >= state["at"]
-        return F.struct(
-            F.greatest(state["at"], span["end"]).alias("at"),
-            F.when(fresh, F.concat(state["kept"], between, F.lit(mark))).otherwise(state["kept"]).alias("kept"),
-        )
+    def between(parts: Column, start: Column, end: Column) -> Column:
+        """Characters ``start`` to ``end``, put together from the blocks that have them."""
+        first = F.floor(start / size).cast("int")
+        rows = F.sequence(first, F.floor((end - 1) / size).cast("int"))
+        joined = F.array_join(F.transform(rows, lambda row: F.get(parts, row)), "")
+        return F.when(end > start, F.substring(joined, start - first * size + 1, end - start)).otherwise(F.lit(""))
 
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("kept"))
-    done = F.aggregate(
-        F.col(secrets), start, step, lambda s: F.concat(s["kept"], F.substring(body, s["at"] + 1, F.length(body)))
-    )
-    return docs.withColumn(text, F.when(F.size(secrets) > 0, done).otherwise(F.col(text)))
+    def marked(parts: Column) -> Column:
+        reached = running(F.transform(F.col(secrets), lambda s: s["end"]), F.greatest)
+
+        def kept(reached: Column) -> Column:
+            def piece(span: Column, i: Column) -> Column:
+                before = F.coalesce(F.get(reached, i - 1), F.lit(0))
+                return F.when(span["start"] >= before, between(parts, before, span["start"]))
+
+            pieces = F.filter(F.transform(F.col(secrets), piece), lambda p: p.isNotNull())
+            rest = between(parts, F.element_at(reached, -1), F.length(whole_text(text)))
+            return F.array_join(F.concat(pieces, F.array(rest)), mark)
+
+        return let(reached, kept)
+
+    return docs.withColumn(text, F.when(F.size(secrets) > 0, let(blocks, marked)).otherwise(F.col(text)))

@@ -42,6 +42,24 @@ def test_entropy_spans_and_allow_list(spark):
     assert redacted[1].text is None
 
 
+def test_many_secrets_in_one_text(spark):
+    """A text with 100,000 matches, and candidates before, between and behind them."""
+    random_one = "zK8qLw3vXp7Rt2NyB5mDs"
+    text = f"é {random_one} " + "0123456789abcdef01234567 " * 50_000 + f"{random_one} " + "token=abcdefg1 " * 50_000 + f"x{random_one}"
+    df = spark.createDataFrame([(text,)], "text string")
+    row = secrets.find_secrets(df).first()
+    assert [(s.start, s.kind, s.end) for s in row.secrets if s.kind < 3] == plain.secrets(text)
+    assert [s.value for s in row.secrets if s.kind == 3] == [random_one, random_one, f"x{random_one}"]
+    redacted = secrets.redact(secrets.find_secrets(df)).first().text
+    assert redacted == "é [SECRET] " + "[SECRET] " * 50_000 + "[SECRET] " + "[SECRET] " * 50_000 + "[SECRET]"
+
+
+def test_redacted_spans_that_overlap(spark):
+    df = spark.createDataFrame([("abcdefghij" * 300, [(2, 0, 9), (4, 1, 6), (8, 2, 1030), (1030, 0, 1031), (2900, 0, 3000)])], "text string, secrets array<struct<start:int,kind:int,end:int>>")
+    text = "abcdefghij" * 300
+    assert secrets.redact(df, mark="*").first().text == text[:2] + "*" + "*" + text[1031:2900] + "*"
+
+
 def test_quality_counts(docs, spark):
     df, rows = docs
     labels = spark.createDataFrame([(7, 1), (14, 0), (None, 1), (21, None), (99999, 1)], "doc_id bigint, quality int")

@@ -100,6 +100,7 @@ class Automaton:
                 last = self._extend(last, word)
         self.places = self._places()
         self.ends = self._ends()
+        self.stops: dict[tuple[int, int | None, int], list[tuple[int, int, int]]] = {}
 
     def _state(self, length: int) -> int:
         self.next.append({})
@@ -145,6 +146,32 @@ class Automaton:
                     state = self.link[state]
         return places
 
+    def _holders(self, state: int) -> dict[int, int]:
+        """For each template with LONG words or more that end at the state: the state of the longest such words."""
+        holders: dict[int, int] = {}
+        while state > 0 and self.length[state] >= LONG:
+            for t, _ in self.places[state]:
+                holders.setdefault(t, state)
+            state = self.link[state]
+        return holders
+
+    def stopping(self, state: int, follow: int | None, leads: int) -> list[tuple[int, int, int]]:
+        """(state of the words, template, place) for each template in which the longest words read so far do not go
+        on when the next word leads to ``follow`` from ``leads``, the state itself or an ancestor of it."""
+        known = self.stops.get((state, follow, leads))
+        if known is None:
+            ahead = {} if follow is None else self._holders(follow)
+            known = self.stops[state, follow, leads] = []
+            for t, holder in self._holders(state).items():
+                then = ahead.get(t)
+                if then == follow and then is not None:
+                    goes_on = holder == leads
+                else:
+                    goes_on = then is not None and holder != state and self.length[then] == self.length[holder] + 1
+                if not goes_on:
+                    known += [(holder, t, place) for of, place in self.places[holder] if of == t]
+        return known
+
     def _ends(self) -> list[list[tuple[int, int]]]:
         """Per state the phrases (number, words) that end its stretches; a stretch must be as long as the phrase."""
         final = {}
@@ -181,30 +208,37 @@ def scan(auto: Automaton, text: str) -> dict:
         label, words = auto.templates[t]
         spans.append((start, end, label, covered / len(words)))
 
-    def chain(end: int) -> None:
-        """The stretch of ``matched`` words before ``end`` joins the chains of the templates that have it."""
-        for t, place in auto.places[state]:
-            first = place - matched
-            if t in chains:
-                start, upto, template_upto, covered = chains[t]
-                fresh = place - max(first, template_upto)
-                if end - matched - upto <= GAP and fresh > 0 and first - template_upto <= GAP:
-                    chains[t] = [start, end, place, covered + fresh]
-                    continue
-                if end <= upto:
-                    continue
-                close(t)
-            chains[t] = [end - matched, end, place, matched]
+    def chain(t: int, place: int, size: int, end: int) -> None:
+        """The stretch of ``size`` words before ``end``, which is before ``place`` in the template, joins its chain."""
+        first = place - size
+        if t in chains:
+            start, upto, template_upto, covered = chains[t]
+            fresh = place - max(first, template_upto)
+            if end - size - upto <= GAP and fresh > 0 and first - template_upto <= GAP:
+                chains[t] = [start, end, place, covered + fresh]
+                return
+            if end <= upto:
+                return
+            close(t)
+        chains[t] = [end - size, end, place, size]
+
+    def stop(follow: int | None, leads: int, end: int) -> None:
+        """Chain what the templates have of the words before ``end``, for those in which it ends there."""
+        for holder, t, place in auto.stopping(state, follow, leads):
+            size = matched if holder == state else length[holder]
+            if size >= LONG:
+                chain(t, place, size, end)
 
     for word in words_of(text):
-        follow = steps[state].get(word)
-        if follow is None:
-            if matched >= LONG:
-                chain(at)
-            while state and follow is None:
-                state = link[state]
-                follow = steps[state].get(word)
-            matched = length[state] if follow is not None else 0
+        leads, follow = state, steps[state].get(word)
+        while leads and follow is None:
+            leads = link[leads]
+            follow = steps[leads].get(word)
+        if matched >= LONG:
+            stop(follow, leads, at)
+        if leads != state:
+            matched = length[leads]
+        state = 0
         if follow is not None:
             state, matched = follow, matched + 1
             for n, size in ends[state]:
@@ -212,7 +246,7 @@ def scan(auto: Automaton, text: str) -> dict:
                     base.append((at + 1 - size, auto.phrases[n][0]))
         at += 1
     if matched >= LONG:
-        chain(at)
+        stop(None, 0, at)
     for t in list(chains):
         close(t)
     return {"n_words": at, "base": base, "spans": sorted(spans)}

@@ -92,6 +92,29 @@ def test_binomial_tail(spark):
     assert got == pytest.approx(want, rel=1e-9)
 
 
+def test_templates_do_not_hide_one_another(monkeypatch):
+    """All templates in one automaton give each the spans that it has in one of its own, whichever shares words with it."""
+    pick = random.Random(9)
+    words = lambda n: " ".join(pick.choice("abc") for _ in range(n))
+    for long, gap in ((2, 0), (3, 2)):
+        monkeypatch.setattr(licenses, "LONG", long)
+        monkeypatch.setattr(licenses, "GAP", gap)
+        for _ in range(150):
+            templates = [(str(i), words(pick.randint(3, 9))) for i in range(4)]
+            text = words(pick.randint(0, 25)).replace("c a b", "z")
+            alone = [s for each in templates for s in licenses.scan(licenses.automaton((each,), ()), text)["spans"]]
+            assert licenses.scan(licenses.automaton(tuple(templates), ()), text)["spans"] == sorted(alone)
+
+
+def test_short_notice_within_a_cut_long_one():
+    auto = licenses.automaton(tuple((k, t) for k, each in licenses.TEMPLATES.items() for t in each), ())
+    short, long = sorted(licenses.TEMPLATES["apache"], key=len)[0], sorted(licenses.TEMPLATES["apache"], key=len)[-1]
+    short = short.rstrip(".")
+    at = long.lower().index(short.lower())
+    spans = licenses.scan(auto, long[: at + len(short)] + ' (the "license"); something else')["spans"]
+    assert max(s[3] for s in spans if s[2] == "apache") == 1.0
+
+
 def test_licenses_equal_phrase_search(docs):
     df, rows = docs
     extra = ["Cc BY, gnu General Public License; Apache License MIT License", "by cc by by"]

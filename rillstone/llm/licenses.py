@@ -252,6 +252,18 @@ def scan(auto: Automaton, text: str) -> dict:
     return {"n_words": at, "base": base, "spans": sorted(spans)}
 
 
+def telling(spans: list[tuple[int, int, str, float]], share: float) -> list[tuple[int, int, str, float]]:
+    """The spans without those below ``share`` that lie within one that covers as much of its own template. Spans of one
+    template do not overlap, so at most as many as there are templates are open at a time."""
+    kept, still_open = [], []
+    for span in sorted(spans, key=lambda s: (s[0], -s[1], -s[3])):
+        still_open = [s for s in still_open if s[1] > span[0]]
+        if span[3] >= share or not any(s[1] >= span[1] and s[3] >= span[3] for s in still_open):
+            kept.append(span)
+        still_open.append(span)
+    return sorted(kept)
+
+
 SCANNED = (
     "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string, "
     "score double, spans array<struct<start:bigint,end:bigint,label:string,score:double>>"
@@ -268,7 +280,8 @@ def find_licenses(
     share: float = SHARE,
 ) -> DataFrame:
     """One row per document: counts and places of the phrases, labels of phrases and of templates covered by ``share``
-    or more, the best score, and all chained spans."""
+    or more, the best score, and the chained spans. A span below ``share`` within one that covers as much of its own
+    template is left out of the spans; labels and score take all spans."""
     library = tuple((label, t) for label, each in (templates or TEMPLATES).items() for t in each)
     named = tuple((phrases or PHRASES).items())
 
@@ -278,7 +291,7 @@ def find_licenses(
         base = {label for _, label in found["base"]}
         best = max([0.0, *(s[3] for s in found["spans"])])
         labels = base | {s[2] for s in found["spans"] if s[3] >= share}
-        spans = [{"start": a, "end": b, "label": label, "score": s} for a, b, label, s in found["spans"]]
+        spans = [{"start": a, "end": b, "label": label, "score": s} for a, b, label, s in telling(found["spans"], share)]
         return (
             doc_id, found["n_words"], len(starts), min(starts, default=None), max(starts, default=None),
             ",".join(sorted(base)), ",".join(sorted(labels)), min(best, 1.0), spans,

@@ -106,6 +106,18 @@ def test_templates_do_not_hide_one_another(monkeypatch):
             assert licenses.scan(licenses.automaton(tuple(templates), ()), text)["spans"] == sorted(alone)
 
 
+def test_telling_spans():
+    pick = random.Random(4)
+    for _ in range(200):
+        spans = []
+        for name in "abc":  # spans of one template do not overlap
+            cuts = sorted(pick.sample(range(20), 6))
+            spans += [(a, b, name, pick.randint(1, 5) / 5) for a, b in zip(cuts[::2], cuts[1::2], strict=True)]
+        spans = list({s[:2]: s for s in spans}.values())
+        within = lambda s, o: o is not s and o[0] <= s[0] and s[1] <= o[1] and o[3] >= s[3]
+        assert licenses.telling(spans, 0.6) == sorted(s for s in spans if s[3] >= 0.6 or not any(within(s, o) for o in spans))
+
+
 def test_short_notice_within_a_cut_long_one():
     auto = licenses.automaton(tuple((k, t) for k, each in licenses.TEMPLATES.items() for t in each), ())
     short, long = sorted(licenses.TEMPLATES["apache"], key=len)[0], sorted(licenses.TEMPLATES["apache"], key=len)[-1]

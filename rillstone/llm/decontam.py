@@ -1,8 +1,9 @@
 """Benchmark decontamination: word windows of test items, looked up in training texts.
 
-The windows of the items are made once; texts are scanned with a hash set of them. As long as the set stays
-within ``SET_WINDOWS`` entries it travels with the plan and each text is scanned in place; a larger set is a
-join on the window's hash, which Spark broadcasts or shuffles by size. Hits are verified word by word.
+The windows of the items are made once. Two bits of each window's hash are set in a bit field that travels with the
+plan: a hash set of fixed size, about sixteen bits a window and ``MOST_BITS`` at most. Texts are scanned in place; only
+places whose bits are set become rows, which are joined to the windows by hash and words. So every benchmark size takes
+the same way: windows that the field is too small for only let more places through to the join.
 
 NULL or empty texts have no words and no hits. An item with fewer than ``n`` words is one window. Items with one
 id are one item; a NULL id counts as an empty one. Rows equal in id and text give one result, rows that share an
@@ -13,11 +14,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import NOT_WORD, ascii_lower, let, marked, row_key, spare, split_words, whole_text
+from rillstone.llm.common import NOT_WORD, ascii_lower, cut, let, marked, row_key, spare, split_words, whole_text
 
 WORDS = 10
-#: a set of window hashes is sent with the plan up to this many entries (8 bytes each)
-SET_WINDOWS = 50_000
+#: the bit field: bits for each window, and how many it has at most (4 MB, which two million windows fill to an eighth)
+WINDOW_BITS, MOST_BITS = 16, 1 << 25
 
 
 def normal_words(text: str) -> Column:
@@ -32,27 +33,35 @@ def windows_of(words: Column, n: int) -> Column:
 
 
 def item_windows(items: DataFrame, n: int = WORDS, item: str = "item_id", text: str = "text") -> DataFrame:
-    """One row per distinct window: its words, their number, its hash, and the items that have it."""
+    """One row per distinct window: its words, their number, its hash, and the items that have it. They are written,
+    as several steps read them."""
     name = F.coalesce(F.col(item).cast("string"), F.lit(""))
     each = items.select(name.alias("item"), F.explode(let(normal_words(text), lambda w: windows_of(w, n))).alias("window"))
-    return (
-        each.groupBy("window")
-        .agg(F.sort_array(F.collect_set("item")).alias("items"))
-        .select("window", F.size("window").alias("n"), F.xxhash64("window").alias("hash"), "items")
-    )
+    known = each.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
+    return cut(known.select("window", F.size("window").alias("n"), F.xxhash64("window").alias("hash"), "items"), "windows")
+
 
+def probes(h: Column, bits: int) -> list[Column]:
+    """The two bits of a hash."""
+    return [F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))]
 
-def hash_lists(windows: DataFrame, most: int) -> dict[int, list[int]] | None:
-    """The hashes by window length if there are at most ``most``, else None."""
-    if windows.limit(most + 1).count() > most:
+
+def bit_field(windows: DataFrame, most: int = MOST_BITS) -> tuple[Column, int] | None:
+    """The bits of all windows as a constant array of longs, and their number; None without windows."""
+    n = windows.count()
+    if not n:
         return None
-    lists: dict[int, list[int]] = {}
-    for n, h in windows.select("n", "hash").distinct().collect():
-        lists.setdefault(n, []).append(h)
-    return {n: sorted(hashes) for n, hashes in sorted(lists.items())}
+    bits = max(64, min(1 << (WINDOW_BITS * n - 1).bit_length(), most))
+    set_bits = windows.select(F.explode(F.array(*probes(F.col("hash"), bits))).alias("bit"))
+    longs = [0] * (bits // 64)  # no more rows than longs
+    for at, value in set_bits.groupBy(F.expr("bit div 64").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")).alias("value")
+    ).collect():
+        longs[at] = value
+    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>"), bits
 
 
-HITS = "array<struct<start:int,n:int>>"
+PLACES, HITS = "array<struct<start:int,n:int>>", "array<struct<start:int,n:int,hash:bigint>>"
 
 
 def places(words: Column, n: int) -> Column:
@@ -60,44 +69,55 @@ def places(words: Column, n: int) -> Column:
     each = F.transform(
         F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.struct(i.cast("int").alias("start"), F.lit(n).alias("n"))
     )
-    return F.when(F.size(words) >= n, each).otherwise(F.array().cast(HITS))
+    return F.when(F.size(words) >= n, each).otherwise(F.array().cast(PLACES))
 
 
-def hits_in(words: Column, lists: dict[int, list[int]]) -> Column:
-    """The places of the words whose window's hash is in the set of its length."""
+def hits_in(words: Column, field: tuple[Column, int], lengths: list[int]) -> Column:
+    """The places of the words whose window has its bits in the field: (start, n, hash)."""
+    longs, bits = field
 
-    def known(n: int, hashes: list[int]) -> Column:
-        return F.filter(places(words, n), lambda at: F.xxhash64(F.slice(words, at["start"], n)).isin(hashes))
+    def known(at: Column) -> Column:
+        def is_set(bit: Column) -> Column:
+            return F.getbit(F.get(longs, F.shiftright(bit, 6).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
 
-    return F.concat(F.array().cast(HITS), *[known(n, hashes) for n, hashes in lists.items()])
+        first, second = probes(at["hash"], bits)
+        return is_set(first) & is_set(second)
 
+    def hashed(at: Column) -> Column:
+        return F.struct(at["start"].alias("start"), at["n"].alias("n"), F.xxhash64(F.slice(words, at["start"], at["n"])).alias("hash"))
 
-def find_hits(
-    docs: DataFrame, windows: DataFrame, doc: str = "doc_id", text: str = "text", most: int = SET_WINDOWS
-) -> DataFrame:
-    """One row per document: doc, key, n_words, spans (start and end of each hit window, words from 0, end
-    exclusive, in order), items (sorted)."""
-    lists = hash_lists(windows, most)
-    lengths = sorted(lists) if lists is not None else [r[0] for r in windows.select("n").distinct().collect()]
+    return F.concat(F.array().cast(HITS), *[F.filter(F.transform(places(words, n), hashed), known) for n in lengths])
+
+
+def candidates(docs: DataFrame, windows: DataFrame, doc: str, text: str, most: int) -> DataFrame:
+    """A row per place that may be a hit, and one with a NULL place for a document without: doc, key, n_words, hit
+    (start from 1, n, hash, window)."""
+    field = bit_field(windows, most)
+    lengths = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most WORDS of them
 
     def scanned(words: Column) -> Column:
-        if lists is not None:
-            hits = hits_in(words, lists)
-        else:
-            hits = F.concat(F.array().cast(HITS), *[places(words, n) for n in lengths])
+        found = hits_in(words, field, lengths) if field else F.array().cast(HITS)
         with_words = F.transform(
-            hits, lambda h: F.struct(h["start"].alias("start"), h["n"].alias("n"), F.slice(words, h["start"], h["n"]).alias("window"))
+            found,
+            lambda h: F.struct(h["start"].alias("start"), h["n"].alias("n"), h["hash"].alias("hash"), F.slice(words, h["start"], h["n"]).alias("window")),
         )
         return F.struct(F.size(words).cast("bigint").alias("n_words"), with_words.alias("hits"))
 
-    read = docs.select(
+    return docs.select(
         F.col(doc).alias("doc"), row_key(doc, text).alias("key"), let(normal_words(text), scanned).alias("s")
     ).select("doc", "key", F.col("s.n_words").alias("n_words"), F.explode_outer("s.hits").alias("hit"))
-    # rows without a hit get a window that no item has, each its own, so that a shuffled join stays even
-    none = F.array(F.concat(F.lit("\u0000"), F.col("key").cast("string")))
-    checked = read.select("doc", "key", "n_words", "hit.start", "hit.n", F.coalesce("hit.window", none).alias("window")).join(
-        windows.select("window", "items"), "window", "left"
+
+
+def find_hits(docs: DataFrame, windows: DataFrame, doc: str = "doc_id", text: str = "text", most: int = MOST_BITS) -> DataFrame:
+    """One row per document: doc, key, n_words, spans (start and end of each hit window, words from 0, end
+    exclusive, in order), items (sorted). ``most`` bounds the bit field (a power of two, 64 or more)."""
+    read = candidates(docs, windows, doc, text, most)
+    # rows without a place get a hash of their own, so that a shuffled join stays even, and a window that no item has
+    asked = read.select(
+        "doc", "key", "n_words", "hit.start", "hit.n",
+        F.coalesce("hit.hash", "key").alias("hash"), F.coalesce("hit.window", F.array().cast("array<string>")).alias("window"),
     )
+    checked = asked.join(windows.select("hash", "window", "items"), ["hash", "window"], "left")
     return (
         checked.groupBy("doc", "key", "n_words")
         .agg(
@@ -123,15 +143,18 @@ def covered(spans: Column) -> Column:
 
 
 def drop_contaminated(
-    docs: DataFrame, items: DataFrame, n: int = WORDS, doc: str = "doc_id", text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
+    docs: DataFrame, items: DataFrame, n: int = WORDS, doc: str = "doc_id", text: str = "text", item: str = "item_id", most: int = MOST_BITS
 ) -> DataFrame:
-    """The documents in which no window of an item occurs, with their columns."""
-    hit = find_hits(docs, item_windows(items, n, item, text), doc, text, most).where(F.size("spans") > 0)
-    return marked(docs, hit, doc, text, "left_anti")[0]
+    """The documents in which no window of an item occurs, with their columns. Only places whose bits are set are
+    looked up, and the list of documents to drop is written: Spark broadcasts it or not by its size."""
+    windows = item_windows(items, n, item, text)
+    asked = candidates(docs, windows, doc, text, most).where("hit IS NOT NULL").select("doc", "key", "hit.hash", "hit.window")
+    hit = asked.join(windows.select("hash", "window"), ["hash", "window"], "left_semi").select("doc", "key").distinct()
+    return marked(docs, cut(hit, "contaminated"), doc, text, "left_anti")[0]
 
 
 def remove_spans(
-    docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id", most: int = SET_WINDOWS
+    docs: DataFrame, items: DataFrame, n: int = WORDS, text: str = "text", item: str = "item_id", most: int = MOST_BITS
 ) -> DataFrame:
     """The documents with every word of a hit window taken out; a touched text becomes its remaining words, in
     lower case and with single spaces."""

@@ -153,7 +153,7 @@ def test_license_spans(spark, monkeypatch):
     assert list(licenses.words_of("ab CDé, f" * 9)) == [b"ab", "cdé".encode(), *[b"fab", "cdé".encode()] * 8, b"f"]
 
 
-@pytest.mark.parametrize("most", [decontam.SET_WINDOWS, 3])
+@pytest.mark.parametrize("most", [decontam.MOST_BITS, 64])
 def test_decontamination(docs, texts, spark, most):
     df, rows = docs
     some = [" ".join(texts[i].split()[3:30]) for i in (1, 8, 20)]
@@ -211,12 +211,35 @@ def test_empty_tables(empty, spark):
 
 
 def test_equal_hashes_are_not_hits(spark, monkeypatch):
-    """Words decide in every form, whatever the size of the benchmark: here all windows seem to be known by hash."""
-    monkeypatch.setattr(decontam, "hits_in", lambda words, lists: decontam.places(words, 3))
+    """Words decide: here every window seems to have the hash of the item's."""
+
+    def all_known(words, field, lengths):
+        same = F.xxhash64(F.array(F.lit("b"), F.lit("c"), F.lit("d")))
+        return F.transform(decontam.places(words, 3), lambda at: F.struct(at["start"].alias("start"), at["n"].alias("n"), same.alias("hash")))
+
+    monkeypatch.setattr(decontam, "hits_in", all_known)
     docs = spark.createDataFrame([(1, "A b c d e"), (2, "x y z w"), (None, None)], "doc_id bigint, text string")
     items = spark.createDataFrame([(1, "b c d")], "item_id bigint, text string")
-    for most in (100, 0):
-        kept = decontam.drop_contaminated(docs, items, 3, most=most).collect()
-        assert {(r.doc_id, r.text) for r in kept} == {(2, "x y z w"), (None, None)}
-        cut = decontam.remove_spans(docs, items, 3, most=most)
-        assert cut.columns == docs.columns and {(r.doc_id, r.text) for r in cut.collect()} == {(1, "a e"), (2, "x y z w"), (None, None)}
+    kept = decontam.drop_contaminated(docs, items, 3).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(2, "x y z w"), (None, None)}
+    cut = decontam.remove_spans(docs, items, 3)
+    assert cut.columns == docs.columns and {(r.doc_id, r.text) for r in cut.collect()} == {(1, "a e"), (2, "x y z w"), (None, None)}
+
+
+def test_million_item_windows(spark):
+    """Few places of clean texts become rows, however large the benchmark is."""
+
+    def numbers(first, n):
+        return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.concat(F.lit("w"), (F.col("id") * first + i).cast("string"))), " ")
+
+    items = spark.range(20_000).select(F.col("id").alias("item_id"), numbers(60, 60).alias("text"))
+    windows = decontam.item_windows(items)
+    assert windows.count() == 20_000 * 51
+    clean = spark.range(100).select(F.col("id").alias("doc_id"), F.concat(F.lit("x"), numbers(500, 500)).alias("text"))
+    clean = clean.withColumn("text", F.replace("text", F.lit(" w"), F.lit(" v")))
+    dirty = spark.createDataFrame([(-1, "a " + " ".join(f"w{i}" for i in range(600, 615)) + " z")], "doc_id bigint, text string")
+    docs = clean.union(dirty)
+    places = decontam.candidates(docs, windows, "doc_id", "text", decontam.MOST_BITS).where("hit IS NOT NULL").count()
+    assert 6 <= places <= 0.03 * 100 * 491
+    hit = decontam.find_hits(docs, windows).where(F.size("spans") > 0).collect()
+    assert [(r.doc, r.n_words, r["items"], r.spans[0].start, r.spans[-1].end) for r in hit] == [(-1, 17, ["10"], 1, 16)]

@@ -146,50 +146,73 @@ def laid_out(sized: DataFrame, doc: str, n_docs: int) -> DataFrame:
     )
 
 
-def mix(
-    docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source",
-    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block_words: int = BLOCK_WORDS,
-) -> DataFrame:
-    """One row per document: doc, _text_key, source, size, source_size, target, taken.
-
-    ``taken`` is how many words the mix takes of the document, repeats counted. It is at most ``most`` times the size:
-    a block that the schedule would take more often is not taken again.
-    """
-    sized = cut(
+def sized_rows(docs: DataFrame, doc: str, text: str, source: str) -> DataFrame:
+    """doc, _text_key, source, size: written, as several steps read it."""
+    return cut(
         docs.select(
             F.col(doc).alias("doc"), F.xxhash64(text).alias("_text_key"), F.col(source).cast("string").alias("source"), n_words(text).alias("size")
         ),
         "sized",
     )
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_docs"))
-    targets = cut(set_targets(sizes.drop("_docs"), weights, share, most), "targets")
-    blocks = targets.select(
-        F.col("source").alias("_source"), F.ceil(F.col("source_size") / block_words).alias("n_blocks"), "source_size", "target"
-    )
-    slots = schedule(targets, block_words)
-    # how often each block is taken: the slots whose rank comes round to it
-    times = (
-        slots.join(blocks, F.col("source").eqNullSafe(F.col("_source")))
-        .where(F.col("rank") < F.lit(int(most)) * F.col("n_blocks"))
-        .groupBy("source", (F.col("rank") % F.col("n_blocks")).alias("block"))
-        .agg(F.count("*").alias("times"))
+
+
+def source_targets(sized: DataFrame, weights: tuple[int, ...], share: float, most: float) -> DataFrame:
+    return cut(set_targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
+
+
+def slot_pieces(sized: DataFrame, targets: DataFrame, most: float, block_words: int) -> DataFrame:
+    """slot, source, rank, block, at, doc, _text_key, first, last: the words [first, last) of a document that stand at
+    word ``at`` of a slot. Every slot takes the block that its rank comes round to; of blocks taken ``most`` times the
+    slots stay empty."""
+    n_blocks = F.ceil(F.col("source_size") / block_words)
+    blocks = targets.select(F.col("source").alias("_source"), n_blocks.alias("n_blocks"))
+    slots = (
+        schedule(targets, block_words)
+        .join(blocks, F.col("source").eqNullSafe(F.col("_source")))
+        .where(F.col("rank") < F.lit(most) * F.col("n_blocks"))
+        .select("slot", "rank", F.col("source").alias("_source"), (F.col("rank") % F.col("n_blocks")).alias("_block"))
     )
     placed = laid_out(sized, "doc", sized.count())
-    first, last = F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}")
+    begin = F.greatest(F.col("start"), F.col("block") * block_words)
     pieces = (
         placed.where("size > 0")
-        .withColumn("block", F.explode(F.sequence(first, last)))
-        .withColumn(
-            "words",
-            F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.greatest(F.col("start"), F.col("block") * block_words),
+        .withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), F.expr(f"(start + size - 1) div {block_words}"))))
+        .select(
+            "doc", "_text_key", "source", "block",
+            (begin - F.col("block") * block_words).alias("at"),
+            (begin - F.col("start")).alias("first"),
+            (F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block_words) - F.col("start")).alias("last"),
         )
     )
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block"))
+    return pieces.join(slots, same).select("slot", "source", "rank", "block", "at", "doc", "_text_key", "first", "last")
+
+
+def mix_blocks(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """The mix itself, in order: slot, source, rank, block, at, doc, _text_key, first, last (see ``slot_pieces``)."""
+    sized = sized_rows(docs, doc, text, source)
+    return slot_pieces(sized, source_targets(sized, weights, share, most), most, block_words).orderBy("slot", "at")
+
+
+def mix(
+    docs: DataFrame, doc: str = "doc_id", text: str = "text", source: str = "source",
+    weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST, block_words: int = BLOCK_WORDS,
+) -> DataFrame:
+    """One row per document: doc, _text_key, source, size, source_size, target, taken.
+
+    ``taken`` is how many words the slots of the mix take of the document, repeats counted. It is at most ``most`` times
+    the size, a fraction rounded up: a block that the schedule would take more often is not taken again.
+    """
+    sized = sized_rows(docs, doc, text, source)
+    targets = source_targets(sized, weights, share, most)
+    blocks = targets.select(F.col("source").alias("_source"), "source_size", "target")
     taken = (
-        pieces.select("doc", "_text_key", "source", "block", "words")
-        .join(times.select(F.col("source").alias("_source"), F.col("block").alias("_block"), "times"),
-              F.col("source").eqNullSafe(F.col("_source")) & (F.col("block") == F.col("_block")))
+        slot_pieces(sized, targets, most, block_words)
         .groupBy("doc", "_text_key", "source")
-        .agg(F.sum(F.col("words") * F.col("times")).alias("_taken"))
+        .agg(F.sum(F.col("last") - F.col("first")).alias("_taken"))
     )
     rows = sized.withColumnRenamed("doc", "_doc").withColumnRenamed("source", "_of").withColumnRenamed("_text_key", "_key")
     copies = rows.groupBy("_doc", "_key", "_of").agg(F.first("size").alias("size"), F.count("*").alias("_copies"))

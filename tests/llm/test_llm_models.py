@@ -111,6 +111,39 @@ def test_mix_meets_targets(docs):
     assert in_mix.where("taken > 0").count() == in_mix.count() > 0
 
 
+def test_mix_in_slot_order(docs):
+    """Slots hold the words that ``taken`` counts, without gaps or overlaps, and name their source in the schedule."""
+    df, rows = docs
+    rows = mixing.mix_blocks(df, block_words=8).collect()
+    taken, filled = {}, {}
+    for r in rows:
+        assert r.at == filled.get(r.slot, (0,))[0] and 0 <= r.first < r["last"]
+        filled[r.slot] = (r.at + r["last"] - r.first, r.source)
+        key = r.doc, r["_text_key"], r.source
+        taken[key] = taken.get(key, 0) + r["last"] - r.first
+    assert [r.slot for r in rows] == sorted(r.slot for r in rows) and all(n <= 8 for n, _ in filled.values())
+    want = {}
+    for r in mixing.mix(df, block_words=8).collect():
+        key = r.doc, r["_text_key"], r.source
+        want[key] = want.get(key, 0) + r.taken
+    assert taken == {k: n for k, n in want.items() if n}
+    # a stretch of the mix has the shares of the whole
+    half = sorted(filled)[: len(filled) // 2]
+    for source in {s for _, s in filled.values()}:
+        whole = sum(n for n, s in filled.values() if s == source) / sum(n for n, _ in filled.values())
+        part = sum(filled[i][0] for i in half if filled[i][1] == source) / sum(filled[i][0] for i in half)
+        assert abs(part - whole) < 0.02
+
+
+def test_mix_with_a_fraction_at_most(spark):
+    df = spark.createDataFrame([(i, "w " * 20, "ab"[i % 4 == 0]) for i in range(80)], "doc_id bigint, text string, source string")
+    for most, small in ((1.5, 600), (2.0, 800)):
+        got = mixing.mix(df, weights=(1, 50), most=most, block_words=8).where("source = 'a'").collect()
+        assert {r.target for r in got} == {2400.0 - small} and sum(r.taken for r in got) > 1200
+        got = mixing.mix(df, weights=(1, 50), most=most, block_words=8).where("source = 'b'").collect()
+        assert abs(sum(r.taken for r in got) - small) <= 16 and all(r.taken <= 40 for r in got)
+
+
 def test_schedule_is_even_in_every_stretch(spark):
     targets = spark.createDataFrame([("a", 8000.0), ("b", 4000.0), (None, 2000.0), ("d", 2000.0)], "source string, target double")
     slots = sorted(mixing.schedule(targets, 4).collect(), key=lambda r: r.slot)

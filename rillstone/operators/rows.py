@@ -168,19 +168,22 @@ def iterate(
 
 
 def iterate_recursive(df: DataFrame, key: str, col: str, step: str, again: str, max_steps: int = 100) -> DataFrame:
-    """Key and final value by a recursive query, for values that need few steps: ``step`` and ``again`` are SQL expressions of
-    ``col``. The first step is always taken.
+    """Key and final value by a recursive query, for values that need few steps: ``step`` and ``again`` are deterministic SQL
+    expressions of ``col``. The first step is always taken.
 
-    One plan and no passes, but every step keeps its rows: with many steps or large tables :func:`iterate` is the way. A value
-    that still goes on after ``max_steps`` is an error, and so are more rows in all steps than
+    The recursion runs over the different values, each once, and every row then looks up the end of its value: the rows of the
+    steps grow with the values there are and not with the table. With many steps or many different values :func:`iterate` is
+    the way. A value that still goes on after ``max_steps`` is an error, and so are more rows in all steps than
     ``spark.sql.cteRecursionRowLimit`` (a million unless set).
     """
     name = f"turns_of_{uuid.uuid4().hex}"
-    df.select(key, col).createOrReplaceTempView(name)
+    rows = df.select(key, col)
+    rows.select(col).distinct().createOrReplaceTempView(name)
     kind = df.schema[col].dataType.simpleString()
-    return df.sparkSession.sql(
-        f"WITH RECURSIVE turns({key}, {col}, on) MAX RECURSION LEVEL {max_steps} AS ("
-        f"SELECT {key}, {col}, true FROM {name} UNION ALL SELECT {key}, {col}, coalesce({again}, false) FROM "
-        f"(SELECT {key}, CAST({step} AS {kind}) AS {col} FROM turns WHERE on)) "
-        f"SELECT {key}, {col} FROM turns WHERE NOT on"
+    ends = df.sparkSession.sql(
+        f"WITH RECURSIVE turns(_from, {col}, _on) MAX RECURSION LEVEL {max_steps} AS ("
+        f"SELECT {col}, {col}, true FROM {name} UNION ALL SELECT _from, {col}, coalesce({again}, false) FROM "
+        f"(SELECT _from, CAST({step} AS {kind}) AS {col} FROM turns WHERE _on)) "
+        f"SELECT _from, {col} AS _end FROM turns WHERE NOT _on"
     )
+    return rows.join(ends, rows[col].eqNullSafe(ends["_from"])).select(key, F.col("_end").alias(col))

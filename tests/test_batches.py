@@ -207,6 +207,16 @@ def test_recursion(spark):
         spark.conf.set("spark.sql.cteRecursionRowLimit", before)
 
 
+def test_recursion_grows_with_the_values_and_not_the_rows(spark):
+    df = spark.range(500).select("id", F.when(F.col("id") % 10 > 0, (F.col("id") % 10).cast("int")).alias("v"))
+    before = spark.conf.get("spark.sql.cteRecursionRowLimit")
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "200")
+    try:
+        got = {r.id: r.v for r in row_ops.iterate_recursive(df, "id", "v", "v - 3", "v > 0").collect()}
+    finally:
+        spark.conf.set("spark.sql.cteRecursionRowLimit", before)
+    assert got == {i: (i % 10 - 1) % 3 - 2 if i % 10 else None for i in range(500)}
+
 def deliver(spark, folder, rows, schema, build, out, progress, each):
     spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
     stream = read_rows_stream(spark, folder, spark.createDataFrame([], schema).schema)

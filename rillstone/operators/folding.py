@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from rillstone.operators.scan import BLOCK, BLOCK_ROWS, CUTS, REAL, with_blocks
+from rillstone.operators.scan import BLOCK, BLOCK_ROWS, REAL, with_blocks
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -83,7 +83,7 @@ def rolling_combine(
     A NULL contributes nothing. ``seq`` is unique per key.
     """
     keys = list(keys)
-    rows = with_blocks(df.withColumn(out, F.col(value) if isinstance(value, str) else value), keys, seq, block_rows).drop(CUTS)
+    rows = with_blocks(df.withColumn(out, F.col(value) if isinstance(value, str) else value), keys, seq, block_rows)
     rows = rows.withColumn(REAL, F.lit(1))
     slim = rows.where(F.col(BLOCK) > 0).select(*keys, BLOCK, seq, out)
     totals = _along(slim, [*keys, BLOCK], [seq], out, slim.schema, combine, "last").drop(seq)

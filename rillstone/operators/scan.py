@@ -6,15 +6,16 @@ Here a key with more than ``block_rows`` rows is cut along ``seq`` into blocks:
 
 1. count rows per key (map-side combined, the one job that always runs before the plan is made). If no key is
    over the limit, the plain window is the plan. Otherwise the rows are written to the shared folder, so that an
-   expensive input is computed twice at most, and the large keys are cut at quantiles of ``seq``: into
-   ``rows / block_rows`` blocks of about equally many rows, however uneven ``seq`` is. Rows of one key with
-   one ``seq`` value stay together;
+   expensive input is computed twice at most, and dealt by range of (key, ``seq``) to tasks that sort them and
+   number them as they lie: every ``block_rows`` of them are a block, however uneven ``seq`` is and however many
+   blocks a key has. No list of cuts is made or searched, so the work for a row does not grow with the blocks;
 2. aggregate each block of those keys (map-side combined), and run the same aggregate over the
    block totals: what a block inherits from all earlier blocks of its key;
 3. put that inherited value into the block as a first row and window over (key, block).
 
-Keys under the limit stay in one piece (block 0) and never take part in step 2. One shuffle moves full
-rows; the others move one row per key or per block. All expressions are deterministic in the input, so a lost executor recomputes the same blocks.
+Keys under the limit stay in one piece (block 0) and never take part in step 2. Two shuffles move full
+rows, by range and by block; the others move one row per key or per block. The rows are written with their blocks before
+anything reads them, so all steps see the same blocks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,12 @@ BLOCK_ROWS = 2_000_000
 
 BLOCK, CUTS, REAL = "_block", "_cuts", "_real"
 
+#: rows that a task puts in order at least, where blocks are smaller
+_PART_ROWS = 50_000
+
+#: ``monotonically_increasing_id`` counts the rows of a task in these bits
+_IN_TASK = 2**33
+
 #: cuts that are looked through at a time: a place is found by the first cuts of all groups, then in one group
 _GROUP = 64
 
@@ -123,21 +130,57 @@ def _large_keys(stored: DataFrame, keys: Sequence[str], at: Column, block_rows:
     return written(cuts.select(*["_big_" + k for k in keys], F.struct(heads.alias("heads"), F.col("_c").alias("cuts")).alias(CUTS)), "cuts")
 
 
+def _most_and_all(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """Rows of the largest key, and of all."""
+    most, rows = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n"), F.sum("_n")).first()
+    return most or 0, rows or 0
+
+
 def with_blocks(
     df: DataFrame,
     keys: Sequence[str],
     seq: str,
     block_rows: int = BLOCK_ROWS,
     sized_by: DataFrame | None = None,
+    tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Add ``_block``: 0 for keys within the limit, else a number from 1 that grows with ``seq``; and ``_cuts``, where
-    the key is cut (NULL for block 0, see :func:`block_at`).
+    """Add ``_block``: 0 for keys within the limit, else a number above 0 that grows with ``seq`` (and ``tie``). A block has
+    ``block_rows`` rows at most; the numbers of a key's blocks have gaps.
 
     ``sized_by`` is what to count first instead of ``df``, if that is cheaper and about as large.
     """
+    keys = list(keys)
+    position(df, seq)  # an order that is neither a number nor a time is an error
+    most, rows = _most_and_all(df if sized_by is None else sized_by, keys)
+    if most <= block_rows:
+        return df.select("*", F.lit(0).cast("bigint").alias(BLOCK))
+    stored = written(df, "unordered")
+    if keys:
+        counted = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+        large = written(counted.select(*[F.col(k).alias("_big_" + k) for k in keys], "_n"), "large-keys")
+        placed = stored.join(large, null_safe(stored, large, keys, "_big_"), "left")
+    else:
+        placed = stored.withColumn("_n", F.lit(rows))
+    order = [*keys, seq, *tie]
+    parts = -(-rows // min(max(block_rows, _PART_ROWS), BLOCK_ROWS))
+    numbered = (
+        placed.select(*[F.col(c) for c in df.columns], F.col("_n").isNotNull().alias("_large"))
+        .repartitionByRange(parts, *order)
+        .sortWithinPartitions(*order)
+        .withColumn("_no", F.monotonically_increasing_id())
+    )
+    block = F.expr(f"_no - _no % {_IN_TASK} + (_no % {_IN_TASK}) div {block_rows} + 1")
+    blocks = numbered.select(*[F.col(c) for c in df.columns], F.when(F.col("_large"), block).otherwise(0).alias(BLOCK))
+    return written(blocks, "blocks")
+
+
+def with_cuts(df: DataFrame, keys: Sequence[str], seq: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Add ``_block``: 0 for keys within the limit, else a number from 1 that grows with ``seq``, without gaps; and ``_cuts``,
+    where the key is cut (NULL for block 0), from which :func:`block_at` finds the block of any other place. Rows of one key with
+    one ``seq`` value stay together. For keys of not too many blocks: every row looks through them.
+    """
     keys, at = list(keys), position(df, seq)
-    sizes = (df if sized_by is None else sized_by).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if (sizes.agg(F.max("_n")).first()[0] or 0) <= block_rows:
+    if _most_and_all(df, keys)[0] <= block_rows:
         none = F.lit(None).cast("struct<heads:array<bigint>,cuts:array<bigint>>")
         return df.select("*", F.lit(0).cast("bigint").alias(BLOCK), none.alias(CUTS))
     stored = written(df, "ordered")
@@ -169,7 +212,7 @@ def scan(
     :func:`with_blocks`.
     """
     keys = list(keys)
-    lifted = with_blocks(df, keys, seq, block_rows, sized_by=sized_by).drop(CUTS)
+    lifted = with_blocks(df, keys, seq, block_rows, sized_by=sized_by, tie=tie)
     for name, fold in folds.items():
         lifted = lifted.withColumn(name, fold.lift)
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rillstone.operators.scan import BLOCK, BLOCK_ROWS, CUTS, REAL, block_at, with_blocks
+from rillstone.operators.scan import BLOCK, BLOCK_ROWS, CUTS, REAL, block_at, with_blocks, with_cuts
 from rillstone.timeunits import as_micros, epoch_micros, interval
 
 
@@ -28,7 +28,6 @@ def rolling_ttl(
     keys, micros = list(keys), as_micros(ttl)
     rows = (
         with_blocks(df, keys, seq, block_rows)
-        .drop(CUTS)
         .withColumn("_at", epoch_micros(ts))
         .withColumn("_v", F.coalesce(F.col(value), F.lit(0)))
         .withColumn(REAL, F.lit(1))
@@ -92,7 +91,7 @@ def last_n(
 ) -> DataFrame:
     """Per row the last ``n`` values of its key, oldest first. Blocks repeat the ``n - 1`` rows before them."""
     keys = list(keys)
-    rows = with_blocks(df, keys, seq, block_rows).drop(CUTS).withColumn(REAL, F.lit(1))
+    rows = with_blocks(df, keys, seq, block_rows).withColumn(REAL, F.lit(1))
     newest_first = Window.partitionBy(*keys, BLOCK).orderBy(F.col(seq).desc())
     tails = (
         rows.where(F.col(BLOCK) > 0)
@@ -140,7 +139,7 @@ def last_within(
     """
     keys, micros = list(keys), as_micros(ttl)
     rows = (
-        with_blocks(df, keys, ts, block_rows)
+        with_cuts(df, keys, ts, block_rows)
         .withColumn("_at", epoch_micros(ts))
         .withColumn("_seq", F.col(seq))
         .withColumn("_value", F.col(value))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from tests.helpers import at, by_key
 from pyspark.sql import functions as F
 
-from rillstone.operators import rolling, state
+from rillstone.operators import rolling, scan as scanning, state
 from rillstone.operators.scan import (
     BLOCK,
     count,
@@ -17,6 +19,7 @@ from rillstone.operators.scan import (
     total,
     with_blocks,
 )
+from rillstone.session import shared_dir
 
 SIZES = [2_000_000, 50, 7, 1]
 
@@ -90,6 +93,27 @@ def test_many_cuts_of_one_key(spark):
     assert out.where("s != seq + 1").count() == 0
 
 
+def lists_of_cuts(spark):
+    return {p.name for p in Path(shared_dir(spark).removeprefix("file:")).glob("cuts-*")}
+
+
+@pytest.mark.parametrize("keys", [["key"], []])
+def test_blocks_are_numbered_without_a_list_of_cuts(spark, monkeypatch, keys):
+    """Some 10,000 blocks, dealt to tasks that each see a range of the order."""
+    monkeypatch.setattr(scanning, "_PART_ROWS", 1500)
+    before = lists_of_cuts(spark)
+    df = spark.range(20_000).select(
+        (F.pmod(F.col("id") * 7919, F.lit(20_000)) - 5).alias("seq"), F.lit("k").alias("key"), F.lit(1).cast("bigint").alias("v")
+    )
+    blocks = with_blocks(df, keys, "seq", 2)
+    assert blocks.columns == ["seq", "key", "v", BLOCK]
+    assert {r["count"] for r in blocks.groupBy(BLOCK).count().collect()} <= {1, 2}
+    assert [r["seq"] for r in blocks.orderBy(BLOCK, "seq").collect()] == list(range(-5, 19_995))
+    out = scan(df, keys, "seq", {"s": total("v")}, block_rows=2)
+    assert out.where("s != seq + 6").count() == 0 and out.count() == 20_000
+    assert lists_of_cuts(spark) == before
+
+
 @pytest.mark.parametrize("block_rows", [3, 10, 25])
 def test_live_values_reach_over_several_blocks(spark, block_rows):
     """A crowd of rows at one time, and rows within the expiry behind it."""

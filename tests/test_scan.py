@@ -8,7 +8,7 @@ import pytest
 from tests.helpers import at, by_key
 from pyspark.sql import functions as F
 
-from rillstone.operators import rolling, scan as scanning, state
+from rillstone.operators import rolling, scan as scanning, state, windows
 from rillstone.operators.scan import (
     BLOCK,
     count,
@@ -114,6 +114,23 @@ def test_blocks_are_numbered_without_a_list_of_cuts(spark, monkeypatch, keys):
     assert lists_of_cuts(spark) == before
 
 
+def test_late_rows_of_one_arrival_are_cut_too(spark, monkeypatch):
+    """2,000 rows that arrive at one time, in an order that ``tie`` settles, and 200 that follow."""
+    monkeypatch.setattr(scanning, "_PART_ROWS", 300)
+    before = lists_of_cuts(spark)
+    rows = [(i, 5 if i < 2000 else i, at(i * 1709 % 2200 * 1000)) for i in range(2200)]
+    df = spark.createDataFrame(rows, "id bigint, arrival bigint, ts timestamp_ntz")
+    blocks = with_blocks(df, [], "arrival", 50, tie=["id"])
+    assert max(r["count"] for r in blocks.groupBy(BLOCK).count().collect()) <= 50
+    out = windows.with_lateness(df, "ts", "60 seconds", "0 seconds", "arrival", tie=["id"], block_rows=50)
+    got, newest = {r["id"]: r["is_late"] for r in out.collect()}, -1
+    for i, _, _ in rows:
+        ms = i * 1709 % 2200 * 1000
+        assert got[i] == (newest >= 0 and ms - ms % 60_000 + 60_000 <= newest)
+        newest = max(newest, ms)
+    assert lists_of_cuts(spark) == before
+
+
 @pytest.mark.parametrize("block_rows", [3, 10, 25])
 def test_live_values_reach_over_several_blocks(spark, block_rows):
     """A crowd of rows at one time, and rows within the expiry behind it."""

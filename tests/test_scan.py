@@ -131,6 +131,22 @@ def test_late_rows_of_one_arrival_are_cut_too(spark, monkeypatch):
     assert lists_of_cuts(spark) == before
 
 
+def test_running_distinct_in_blocks_of_two_rows(spark, monkeypatch):
+    """A row and the mark of a first appearance have one place in the order and may lie in two blocks or tasks."""
+    monkeypatch.setattr(scanning, "_PART_ROWS", 100)
+    before = lists_of_cuts(spark)
+    rows = [(i, "ab"[i % 3 == 0], i * 37 % 400 // (1 + i % 5)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "seq bigint, key string, v bigint")
+    out = rolling.rolling_distinct(df, ["key"], "seq", "v", block_rows=2)
+    got = {r["seq"]: (r["hits"], r["distinct_values"]) for r in out.collect()}
+    for group in by_key(rows).values():
+        seen = set()
+        for n, (seq, _, v) in enumerate(group, 1):
+            seen.add(v)
+            assert got[seq] == (n, len(seen))
+    assert lists_of_cuts(spark) == before
+
+
 @pytest.mark.parametrize("block_rows", [3, 10, 25])
 def test_live_values_reach_over_several_blocks(spark, block_rows):
     """A crowd of rows at one time, and rows within the expiry behind it."""

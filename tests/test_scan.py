@@ -8,7 +8,7 @@ import pytest
 from tests.helpers import at, by_key
 from pyspark.sql import functions as F
 
-from rillstone.operators import rolling, scan as scanning, state, windows
+from rillstone.operators import joins, rolling, scan as scanning, state, windows
 from rillstone.operators.scan import (
     BLOCK,
     count,
@@ -147,6 +147,28 @@ def test_running_distinct_in_blocks_of_two_rows(spark, monkeypatch):
     assert lists_of_cuts(spark) == before
 
 
+def test_dimension_changes_in_blocks_of_two_rows(spark, monkeypatch):
+    monkeypatch.setattr(scanning, "_PART_ROWS", 100)
+    before = lists_of_cuts(spark)
+    changes = [(i, "ab"[i % 2], ("INSERT", "UPDATE", "DELETE")[i // 20 % 3], f"n{i}") for i in range(0, 1500, 20)]
+    changes += [(i + 1, "b", "UPDATE", f"n{i + 1}") for i in range(0, 1500, 20)]
+    facts = [(i, "ab"[i % 3 == 0]) for i in range(1500) if i % 20 > 1]
+    out = joins.dim_asof_join(
+        spark.createDataFrame(facts, "seq bigint, key string"),
+        spark.createDataFrame(changes, "seq bigint, key string, op string, name string"),
+        "key", "seq", "name", block_rows=2,
+    )
+    got, now, by_seq = {r["seq"]: r["name"] for r in out.collect()}, {}, {c[0]: c for c in changes}
+    keys = dict(facts)
+    for i in range(1500):
+        if i in by_seq:
+            _, key, op, name = by_seq[i]
+            now[key] = None if op == "DELETE" else name
+        if i in keys:
+            assert got[i] == now.get(keys[i])
+    assert len(got) == len(facts) and lists_of_cuts(spark) == before
+
+
 @pytest.mark.parametrize("block_rows", [3, 10, 25])
 def test_live_values_reach_over_several_blocks(spark, block_rows):
     """A crowd of rows at one time, and rows within the expiry behind it."""

@@ -57,8 +57,12 @@ def src_file_watch(spark, sf):
     return spark.read.parquet(out)
 
 
-def _grow(lines, folder, whole):
-    """Four text files of document lines in order; without ``whole`` the last line has been written by half only."""
+#: characters of a growing file, about
+_FILE_CHARS = 128 * 1024 * 1024
+
+
+def _grow(docs, folder, files, whole):
+    """Text files of the documents' lines in order; without ``whole`` the last line has been written by half only."""
 
     def write(batches):
         from pyspark import TaskContext
@@ -67,30 +71,35 @@ def _grow(lines, folder, whole):
         store.create_dir(root, recursive=True)
         with store.open_output_stream(f"{root}/{TaskContext.get().partitionId()}.txt") as out:
             last = None
-            for line in (v.as_py().encode() for batch in batches for v in batch.column(0)):
+            for text in (v.as_py().encode() for batch in batches for v in batch.column(0)):
                 if last is not None:
                     out.write(last + b"\n")
-                last = line
+                last = text
             if last is not None:
-                out.write(last + b"\n" if whole else last[: len(last) // 2])
+                before, _, line = (b"\n" + last).rpartition(b"\n")
+                out.write(last + b"\n" if whole else (before + b"\n" + line[: len(line) // 2])[1:])
         return iter(())
 
-    lines.repartition(4, "doc_id").sortWithinPartitions("doc_id", "at").select("line").mapInArrow(write, "line string").count()
+    docs.repartition(files, "doc_id").sortWithinPartitions("doc_id").select("text").mapInArrow(write, "text string").count()
 
 
-def _ordered_lines(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return docs.where(~F.contains("line", F.lit("\r")))
+def _whole_lines(spark, sf):
+    """Documents without their lines that have a carriage return."""
+    lines = F.filter(F.split("text", "\n"), lambda line: ~F.contains(line, F.lit("\r")))
+    docs = table(spark, sf, "documents").select("doc_id", lines.alias("lines")).where(F.size("lines") > 0)
+    return docs.select("doc_id", F.array_join("lines", "\n").alias("text"))
 
 
 @query("src_tailed_files", f"WITH {LINES} SELECT line FROM lines WHERE NOT contains(line, chr(13))")
 def src_tailed_files(spark, sf):
-    """Files that grow between two runs are read on from the byte that was reached, in ranges of 64 KiB."""
+    """Files that grow between two runs are read on from the byte that was reached, in ranges of 64 KiB. There are four files,
+    or more for large tables, so that none grows with the table."""
     folder, out, progress = (fresh_path(spark, n) for n in ("growing", "lines", "progress"))
-    lines = _ordered_lines(spark, sf)
-    middle = lines.agg(F.percentile_approx("doc_id", 0.4)).first()[0]
+    docs = table(spark, sf, "documents")
+    middle, chars = docs.agg(F.percentile_approx("doc_id", 0.4), F.sum(F.length("text"))).first()
+    files = max(4, -(-(chars or 0) // _FILE_CHARS))
     for upto, whole in ((F.col("doc_id") <= middle, False), (F.lit(True), True)):
-        _grow(lines.where(upto), folder, whole)
+        _grow(_whole_lines(spark, sf).where(upto), folder, files, whole)
         run(tail_lines(spark, folder, range_bytes=65536).select("line"), progress, path=out)
     return spark.read.parquet(out)
 

@@ -135,6 +135,24 @@ def test_ranges_share_lines_out(growing):
         assert got == lines_of({"f": text})
 
 
+def test_small_ranges_and_files_do_not_make_more_tasks(growing):
+    growing.mkdir()
+    texts = {"a": b"".join(b"%d %s\n" % (i, b"x" * (i * 31 % 200)) for i in range(40_000)), "b": b"y" * 300_000 + b"\nend\n"}
+    texts |= {f"c{i:03}": b"line %d\nmore\n" % i for i in range(300)}
+    for name, text in texts.items():
+        (growing / name).write_bytes(text)
+    reader = TailReader(str(growing), 1024, None)
+    shares = reader.partitions({}, reader.latestOffset())
+    assert len(shares) <= 100
+    got = [
+        row
+        for share in shares
+        for batch in reader.read(share)
+        for row in zip(*[c.to_pylist() for c in batch.columns], strict=True)
+    ]
+    assert got == lines_of(texts)
+
+
 def test_bound_per_trigger_and_shrunk_file(growing):
     growing.mkdir()
     (growing / "f").write_bytes(b"0123456789\n" * 20)

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
+import pyarrow as pa
 from pyspark.sql import Column, SparkSession, functions as F
 
 
@@ -36,16 +35,22 @@ def random_int(n: int) -> Column:
 
 
 def register_split_udtf(spark: SparkSession, name: str = "py_split_words") -> None:
-    """The same table function in Python, for rules SQL cannot state; rows come and go in Arrow batches."""
-
-    @F.udtf(returnType="word: string", useArrow=True)
-    class SplitWords:
-        def eval(self, line: str, sep: str) -> Iterator[tuple[str]]:
-            if line is not None:
-                words = line.split(sep)
-                while len(words) > 1 and not words[-1] or line and words == [""]:
-                    words.pop()  # empty words at the end don't count
-                for word in words:
-                    yield (word,)
-
-    spark.udtf.register(name, SplitWords)
+    """The same table function in Python, for rules SQL cannot state. Python gets a batch of lines as Arrow columns and gives back
+    a list of words for each line, which Spark spreads into rows: no call, batch or row object of its own for a line or a word."""
+
+    def words_of(line: str, sep: str) -> list[str]:
+        words = line.split(sep)
+        while len(words) > 1 and not words[-1] or line and words == [""]:
+            words.pop()  # empty words at the end don't count
+        return words
+
+    @F.arrow_udf(returnType="array<string>")
+    def words(lines: pa.Array, seps: pa.Array) -> pa.Array:
+        pairs = zip(lines.to_pylist(), seps.to_pylist(), strict=True)
+        return pa.array([None if line is None else words_of(line, sep) for line, sep in pairs], pa.list_(pa.string()))
+
+    spark.udf.register(f"{name}_of_line", words)
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(line STRING, sep STRING) "
+        f"RETURNS TABLE(word STRING) RETURN SELECT explode({name}_of_line(line, sep))"
+    )

@@ -104,6 +104,20 @@ def test_sql_functions(spark):
         assert sorted(column(words, "word")) == ["a", "b", "c"]
 
 
+def test_python_table_function_takes_lines_in_batches(spark):
+    """The words of odd lines, by a plan that has one Python call for many lines."""
+    register_functions(spark)
+    register_split_udtf(spark)
+    lines = ["a b", "a  b ", " c", "   ", "", None, "x" * 100_000 + " y", " "]
+    spark.createDataFrame(list(enumerate(lines)) + [(100 + i, f"{i} w") for i in range(12_000)], "id bigint, line string").createOrReplaceTempView("odd_lines")
+    got = {}
+    for name in ("split_words", "py_split_words"):
+        words = spark.sql(f"SELECT id, word FROM odd_lines, LATERAL {name}(line, ' ')")
+        got[name] = sorted((r.id, r.word) for r in words.collect())
+    assert got["py_split_words"] == got["split_words"] and len(got["split_words"]) == 24_010
+    assert "PythonUDTF" not in words._jdf.queryExecution().executedPlan().toString()
+
+
 def test_script(spark):
     text = "-- one; two\nSELECT 'a;b' AS x; ; /* ; */ SELECT \"c;d\" AS y;\n"
     assert script.statements(text) == ["SELECT 'a;b' AS x", 'SELECT "c;d" AS y']

@@ -31,8 +31,11 @@ from rillstone.llm.graph import components
 
 #: the ratio of the sizes within a band
 BAND = 1.9
-#: bits of the fine sketch per shingle, and members that a task compares at once
-BITS, PIECE = 2, 128
+#: bits of the fine sketch per shingle, and members of a piece: a member is moved once for each piece of its block, so a
+#: block that is compared as it is has two
+BITS, PIECE = 2, 512
+#: sets that have a shingle which counts as frequent
+OFTEN = 128
 #: rows, with a sketch each, that a task compares in one call
 TOGETHER = 4_000
 #: members up to which a block is compared as it is
@@ -256,7 +259,7 @@ def narrowed(members: DataFrame, sets: DataFrame, part: int, whole: int) -> Data
     same = F.col("block") == F.col("_block")
     wanted = members.join(crowded, same, "leftsemi").select("sig", "comp").distinct()
     each = sets.join(wanted, "sig").select("sig", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
-    often = each.groupBy("hash").agg(F.count("*").alias("_n")).where(F.col("_n") >= PIECE).select(F.col("hash").alias("_hash"), "_n")
+    often = each.groupBy("hash").agg(F.count("*").alias("_n")).where(F.col("_n") >= OFTEN).select(F.col("hash").alias("_hash"), "_n")
     order = F.sort_array(F.collect_set(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "hash")))
     first = F.expr(f"n - (n * {part} + {whole - 1}) div {whole} + 1").cast("int")
     rare = cut(

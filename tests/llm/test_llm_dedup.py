@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from rillstone.llm import graph, jaccard, line_dedup, suffix_dedup
 from rillstone.llm.common import row_key
@@ -200,3 +201,11 @@ def test_empty_tables(empty):
 def test_row_key_tells_texts_apart(docs):
     df, rows = docs
     assert df.select(row_key("doc_id", "text")).distinct().count() == len(distinct(rows))
+
+
+def test_a_block_compared_as_it_is_moves_each_member_twice_at_most(spark):
+    members = spark.range(jaccard.CROWD).select(F.lit(7).cast("bigint").alias("block"), F.col("id").alias("sig"), F.col("id").alias("comp"))
+    dealt = jaccard.dealt_out(members)
+    assert dealt.count() <= 2 * jaccard.CROWD
+    met = dealt.groupBy("group", "low", "high").agg(F.collect_set("sig").alias("s")).collect()
+    assert len({(a, b) for r in met for a in r.s for b in r.s if a < b}) == jaccard.CROWD * (jaccard.CROWD - 1) // 2

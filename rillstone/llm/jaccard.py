@@ -19,7 +19,7 @@ empty results, other columns are dropped. Sets are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from rillstone.llm.graph import components
 BAND = 1.9
 #: bits of the fine sketch per shingle, and members of a piece: a member is moved once for each piece of its block, so a
 #: block that is compared as it is has two
-BITS, PIECE = 2, 512
+BITS, PIECE = 1, 512
 #: sets that have a shingle which counts as frequent
 OFTEN = 128
 #: rows, with a sketch each, that a task compares in one call
@@ -203,6 +203,17 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return texts.select("sig", "text").mapInArrow(run, "sig bigint, hashes array<bigint>")
 
 
+def sets_for(docs: DataFrame, known: DataFrame, sigs: DataFrame, size: int) -> DataFrame:
+    """The sets of the classes named in ``sigs`` and of no others. The list of them is written first: its size is then
+    known, and while it is short it goes to the texts instead of the texts to it."""
+    wanted = cut(known.join(sigs, "sig").select("first.doc", "first.key", "sig"), "wanted")
+    return cut(sets_of(docs, wanted, size), "hashes")
+
+
+def ends_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sig")).union(pairs.select(F.col("b").alias("sig"))).distinct()
+
+
 def near_by_sketch(pairs: DataFrame, facts: DataFrame, part: int, whole: int) -> DataFrame:
     """The pairs (a, b) whose sizes and bit sketches allow the similarity."""
 
@@ -244,8 +255,9 @@ def similar(pairs: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFra
     return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
 
 
-def narrowed(members: DataFrame, sets: DataFrame, part: int, whole: int) -> DataFrame:
+def narrowed(members: DataFrame, sets_named: Callable[[DataFrame], DataFrame], part: int, whole: int) -> DataFrame:
     """The members (block, sig, comp), those of blocks with more than ``CROWD`` by their rarest shingles as blocks.
+    ``sets_named`` gives the sets of named classes.
 
     Of two similar sets each has ``part / whole`` of its shingles in common with the other. In any one order of all
     shingles, the first that they share is thus in both among the first ``n - ceil(n * part / whole) + 1``. The order
@@ -258,7 +270,7 @@ def narrowed(members: DataFrame, sets: DataFrame, part: int, whole: int) -> Data
         return members
     same = F.col("block") == F.col("_block")
     wanted = members.join(crowded, same, "leftsemi").select("sig", "comp").distinct()
-    each = sets.join(wanted, "sig").select("sig", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
+    each = sets_named(wanted.select("sig").distinct()).join(wanted, "sig").select("sig", "comp", F.size("hashes").alias("n"), F.explode("hashes").alias("hash"))
     often = each.groupBy("hash").agg(F.count("*").alias("_n")).where(F.col("_n") >= OFTEN).select(F.col("hash").alias("_hash"), "_n")
     order = F.sort_array(F.collect_set(F.struct(F.coalesce("_n", F.lit(0)).alias("n"), "hash")))
     first = F.expr(f"n - (n * {part} + {whole - 1}) div {whole} + 1").cast("int")
@@ -347,19 +359,19 @@ def join_components(
     known = cut(classes.join(members.select("sig").distinct(), "sig"), "classes")
     stars = members.where("sig != center").select(F.least("center", "sig").alias("a"), F.greatest("center", "sig").alias("b")).distinct()
     close = cut(near_by_sketch(stars, known, part, whole), "close")
-    # members whose block has others besides the center may have to be compared with each other
-    crowded = members.groupBy("block").agg(F.count("*").alias("_n")).where("_n > 2").select("block")
-    maybe = members.join(crowded, "block").where("sig != center").select("sig")
-    needed = close.select(F.col("a").alias("sig")).union(close.select(F.col("b").alias("sig"))).union(maybe).distinct()
-    sets = cut(sets_of(rows, known.join(needed, "sig").select("first.doc", "first.key", "sig"), size), "hashes")
-    linked = cut(similar(close, sets, part, whole), "linked")
+
+    def sets_named(sigs: DataFrame) -> DataFrame:
+        return sets_for(rows, known, sigs, size)
+
+    linked = cut(similar(close, sets_named(ends_of(close)), part, whole), "linked")
     found = cut(components(linked), "found")
 
     root = F.coalesce("component", F.col("sig"))
     placed = members.where("sig != center").join(found.withColumnRenamed("node", "sig"), "sig", "left").select("block", "sig", root.alias("comp"))
     open_ = placed.groupBy("block").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).where("_x < _y").select("block")
     rest = cut(placed.join(open_, "block"), "open")
-    more = cut(similar(across_components(narrowed(rest, sets, part, whole), known, part, whole), sets, part, whole), "more")
+    near = cut(across_components(narrowed(rest, sets_named, part, whole), known, part, whole), "near")
+    more = cut(similar(near, sets_named(ends_of(near)), part, whole), "more")
     final = cut(components(linked.union(more)), "components")
 
     placed_docs = facts.join(final.withColumnRenamed("node", "sig"), "sig", "left").select("doc", "key", "n", root.alias("root"))

@@ -154,6 +154,21 @@ def test_jaccard_crowded_block(spark, monkeypatch):
     assert sum(sizes) == 125 * 1000 and max(sizes) < 5 * 100
 
 
+def test_jaccard_takes_sets_of_pairs_that_sketches_pass(spark, monkeypatch):
+    """Texts that only share a passage meet in blocks, but their sets are not written."""
+    wanted, real = [], jaccard.sets_of
+    monkeypatch.setattr(jaccard, "sets_of", lambda docs, which, size: wanted.append(which.count()) or real(docs, which, size))
+    pick = random.Random(31)
+    words = [f"w{i}" for i in range(5000)]
+    passage = " ".join(pick.choice(words) for _ in range(120))
+    rows = [" ".join([*[pick.choice(words) for _ in range(60)], passage]) for _ in range(80)]
+    rows.append(rows[3] + " x")
+    docs = list(enumerate(rows))
+    got = {r.doc: (r.n, r.component) for r in jaccard.join_components(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == dict(enumerate(plain.components(docs))) and got[80][1] == 3
+    assert 2 <= sum(wanted) < 10
+
+
 def test_jaccard_keeps_one(spark, docs):
     df, rows = docs
     each = distinct(rows)

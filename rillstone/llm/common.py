@@ -63,6 +63,41 @@ def marked(docs: DataFrame, wanted: DataFrame, doc: str, text: str, how: str, ex
     return keyed.join(right, same, how).select(*columns_of(docs), *([more] if extra else [])), more
 
 
+#: the bit field: bits for each hash, and how many it has at most (4 MB, which two million hashes fill to an eighth)
+HASH_BITS, MOST_BITS = 16, 1 << 25
+
+
+def probes(h: Column, bits: int) -> list[Column]:
+    """The two bits of a hash."""
+    return [F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))]
+
+
+def bit_field(hashes: DataFrame, most: int = MOST_BITS) -> tuple[Column, int] | None:
+    """The bits of all hashes (a column ``hash``) as a constant array of longs, and their number; None without rows."""
+    n = hashes.count()
+    if not n:
+        return None
+    bits = max(64, min(1 << (HASH_BITS * n - 1).bit_length(), most))
+    set_bits = hashes.select(F.explode(F.array(*probes(F.col("hash"), bits))).alias("bit"))
+    longs = [0] * (bits // 64)  # no more rows than longs
+    for at, value in set_bits.groupBy(F.expr("bit div 64").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")).alias("value")
+    ).collect():
+        longs[at] = value
+    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>"), bits
+
+
+def in_field(h: Column, field: tuple[Column, int]) -> Column:
+    """Whether both bits of a hash are set: always for the field's own hashes, and seldom for others."""
+    longs, bits = field
+
+    def is_set(bit: Column) -> Column:
+        return F.getbit(F.get(longs, F.shiftright(bit, 6).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
+
+    first, second = probes(h, bits)
+    return is_set(first) & is_set(second)
+
+
 #: while it is on, the shuffle files of a write go as soon as it is done, instead of when the driver next collects garbage
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

@@ -14,11 +14,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rillstone.llm.common import NOT_WORD, ascii_lower, cut, let, marked, row_key, spare, split_words, whole_text
+from rillstone.llm.common import MOST_BITS, NOT_WORD, ascii_lower, bit_field, cut, in_field, let, marked, row_key, spare, split_words, whole_text
 
 WORDS = 10
-#: the bit field: bits for each window, and how many it has at most (4 MB, which two million windows fill to an eighth)
-WINDOW_BITS, MOST_BITS = 16, 1 << 25
 
 
 def normal_words(text: str) -> Column:
@@ -41,26 +39,6 @@ def item_windows(items: DataFrame, n: int = WORDS, item: str = "item_id", text:
     return cut(known.select("window", F.size("window").alias("n"), F.xxhash64("window").alias("hash"), "items"), "windows")
 
 
-def probes(h: Column, bits: int) -> list[Column]:
-    """The two bits of a hash."""
-    return [F.pmod(h, F.lit(bits)), F.pmod(F.shiftright(h, 32), F.lit(bits))]
-
-
-def bit_field(windows: DataFrame, most: int = MOST_BITS) -> tuple[Column, int] | None:
-    """The bits of all windows as a constant array of longs, and their number; None without windows."""
-    n = windows.count()
-    if not n:
-        return None
-    bits = max(64, min(1 << (WINDOW_BITS * n - 1).bit_length(), most))
-    set_bits = windows.select(F.explode(F.array(*probes(F.col("hash"), bits))).alias("bit"))
-    longs = [0] * (bits // 64)  # no more rows than longs
-    for at, value in set_bits.groupBy(F.expr("bit div 64").alias("at")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(bit % 64 AS INT))")).alias("value")
-    ).collect():
-        longs[at] = value
-    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>"), bits
-
-
 PLACES, HITS = "array<struct<start:int,n:int>>", "array<struct<start:int,n:int,hash:bigint>>"
 
 
@@ -74,14 +52,9 @@ def places(words: Column, n: int) -> Column:
 
 def hits_in(words: Column, field: tuple[Column, int], lengths: list[int]) -> Column:
     """The places of the words whose window has its bits in the field: (start, n, hash)."""
-    longs, bits = field
 
     def known(at: Column) -> Column:
-        def is_set(bit: Column) -> Column:
-            return F.getbit(F.get(longs, F.shiftright(bit, 6).cast("int")), F.pmod(bit, F.lit(64)).cast("int")) == 1
-
-        first, second = probes(at["hash"], bits)
-        return is_set(first) & is_set(second)
+        return in_field(at["hash"], field)
 
     def hashed(at: Column) -> Column:
         return F.struct(at["start"].alias("start"), at["n"].alias("n"), F.xxhash64(F.slice(words, at["start"], at["n"])).alias("hash"))

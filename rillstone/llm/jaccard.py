@@ -26,7 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from rillstone.llm.common import cut, marked, mix64, row_key
+from rillstone.llm.common import bit_field, cut, in_field, marked, mix64, row_key
 from rillstone.llm.graph import components
 
 #: the ratio of the sizes within a band
@@ -186,7 +186,8 @@ def block_rows(rows: DataFrame, size: int, part: int, whole: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """sig, hashes of the wanted documents (doc, key, sig)."""
+    """sig, hashes of the wanted documents (doc, key, sig). A bit field of the wanted keys sorts out the other texts
+    where they are read, so that none but the wanted and a few more are moved to the join, which decides."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -196,7 +197,9 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 sets = [shingles(t, size, memo).view(np.int64) for t in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["sig", "hashes"])
 
-    texts = docs.join(
+    field = bit_field(wanted.select(F.col("key").alias("hash")))
+    likely = docs.where(in_field(F.col("key"), field)) if field else docs
+    texts = likely.join(
         wanted.select(F.col("doc").alias("_doc"), F.col("key").alias("_key"), "sig"),
         (F.col("key") == F.col("_key")) & F.col("doc").eqNullSafe(F.col("_doc")),
     )
@@ -204,8 +207,8 @@ def sets_of(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def sets_for(docs: DataFrame, known: DataFrame, sigs: DataFrame, size: int) -> DataFrame:
-    """The sets of the classes named in ``sigs`` and of no others. The list of them is written first: its size is then
-    known, and while it is short it goes to the texts instead of the texts to it."""
+    """The sets of the classes named in ``sigs`` and of no others. The list of them is written first: it is counted, made
+    a bit field of and joined, and while it is short it goes to the texts instead of the likely texts to it."""
     wanted = cut(known.join(sigs, "sig").select("first.doc", "first.key", "sig"), "wanted")
     return cut(sets_of(docs, wanted, size), "hashes")
 

@@ -169,6 +169,32 @@ def test_jaccard_takes_sets_of_pairs_that_sketches_pass(spark, monkeypatch):
     assert 2 <= sum(wanted) < 10
 
 
+def rows_shuffled(plan):
+    """Rows written by the exchanges of an executed plan without adaptive execution."""
+    below = plan.children()
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(rows_shuffled(below.apply(i)) for i in range(below.size()))
+
+
+def test_jaccard_leaves_unwanted_texts_in_place(spark):
+    """Where the list of wanted documents is too long to go to every text, the other texts are not moved either."""
+    docs = spark.range(5000).selectExpr("nullif(id, 7) AS doc", "concat('a b c d ', id) AS text").select("doc", row_key("doc", "text").alias("key"), "text")
+    wanted = docs.where("doc IS NULL OR doc % 100 = 0").select("doc", "key", F.coalesce("doc", F.lit(7)).alias("sig"))
+    before = {name: spark.conf.get(name) for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        found = jaccard.sets_of(docs, wanted, 4)
+        got = found.collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    memo = jaccard.WordHashes()
+    assert {r.sig: r.hashes for r in got} == {i: jaccard.shingles(f"a b c d {i}", 4, memo).view("int64").tolist() for i in [7, *range(0, 5000, 100)]}
+    assert len(got) == 51
+    assert 102 <= rows_shuffled(found._jdf.queryExecution().executedPlan()) < 102 + 250  # the list, its texts and few others
+
+
 def test_jaccard_keeps_one(spark, docs):
     df, rows = docs
     each = distinct(rows)
